@@ -1,0 +1,211 @@
+"""Secret scan: candidate strings, and a random forest that removes false positives.
+
+Candidates are strings of known credential formats, values assigned to names
+such as token or password, and long runs of key characters with a digit. Each
+one is described by its length, entropy, transitions between character
+classes, the share that dictionary words cover, what the path (the document's
+source) says, and its neighbouring words. A random forest trained on labelled
+findings - generated from the rules below, which pair real credential shapes
+with the usual false alarms - says how likely it is a secret.
+
+The scan is a map over whole texts, without a shuffle. Findings carry
+positions and hashes, never the secret itself; `redact` replaces them.
+
+Defined results: null and empty texts have no findings; overlapping candidates
+count once, at the first and longest; repeated rows have the same findings;
+an empty table gives none.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter
+from collections.abc import Iterator
+from functools import lru_cache
+from math import log2
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .trees import Forest
+
+THRESHOLD = 0.5
+# Published formats of credentials.
+KNOWN = {
+    "aws_access_key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
+    "github_token": r"\bgh[pousr]_[A-Za-z0-9]{36,}\b",
+    "slack_token": r"\bxox[abeoprs]-[A-Za-z0-9-]{10,}",
+    "google_api_key": r"\bAIza[0-9A-Za-z_-]{35}\b",
+    "stripe_key": r"\b[rs]k_(?:live|test)_[0-9A-Za-z]{16,}\b",
+    "json_web_token": r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
+    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
+}
+ASSIGNED = r"(?i:(?:api[_-]?key|access[_-]?key|token|secret|passw(?:or)?d|pwd|auth|credential|bearer)[A-Za-z_-]{0,12}[\"']?\s{0,3}(?::=|=>|=|:)\s{0,3}[\"']?)(?P<assigned>[^\s\"'`,;<>(){}\[\]]{6,})"
+RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
+CANDIDATE = re.compile("|".join([*(f"(?P<{k}>{v})" for k, v in KNOWN.items()), ASSIGNED, f"(?P<run>{RUN})"]))
+
+SECRET_WORDS = frozenset("key apikey token secret password passwd pwd auth authorization credential credentials bearer access private".split())
+HARMLESS_WORDS = frozenset("example sample placeholder dummy test fake checksum sha sha1 sha256 md5 hash digest commit revision uuid guid id etag integrity build version color image href src url license".split())
+PLACEHOLDERS = re.compile(r"(?i)x{4,}|your|example|change.?me|placeholder|dummy|insert|<|\*{3,}|\.{3,}|0{8,}|1234567|abcdef(?!\d)|foobar|password|secret|todo|null|none|true|false")
+HARMLESS_PATH = re.compile(r"(?i)(?:^|[/_.-])(?:tests?|spec|specs|examples?|samples?|docs?|fixtures?|mocks?|vendor|node_modules|lock|min|dist)(?:$|[/_.-])")
+#: Common words and parts of identifiers.
+DICTIONARY = frozenset(
+    "about access account action active address after again agent array author back base before begin between block body book build button cache call case center change check child class click client close code color column command comment common config content control copy count create current data date default delete describe detail device dialog disable display document domain down edit element email enable encode error event example export field file filter first float font form format found from function get global group handle head header height help hidden host html http icon image import index info init input insert item java json label language large last layout left length level library light limit line link list load local login long main make manager margin match message method middle model module mouse name network next node normal note null number object offset open option order output over page panel parent parse path pattern place plain point policy post print process profile property public query quick random read record reference refresh remove render request reset resource response result return right root route rule sample save scale schema scope screen script search section select send server service session setting shadow share show simple size small sort source space span start state static status step stop storage store stream string style submit success support switch system table tag target task template test text theme time title toggle tool total track transform tree trigger type under unit update upload user value variable vector version view visible wait width window word world wrap write zone the and for with this that have not you are was".split()
+)
+WORD = re.compile(r"[A-Za-z]+")
+
+
+def entropy(s: str) -> float:
+    n = len(s)
+    return -sum(c / n * log2(c / n) for c in Counter(s).values())
+
+
+def _kind(c: str) -> int:
+    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+
+
+def dictionary_cover(s: str) -> float:
+    """Share of the characters that words of three letters or more cover, the longest first from the left."""
+    low, at, covered = s.lower(), 0, 0
+    while at < len(low):
+        size = next((k for k in range(min(10, len(low) - at), 2, -1) if low[at : at + k] in DICTIONARY), 0)
+        covered += size
+        at += size or 1
+    return covered / max(1, len(s))
+
+
+FEATURES = ("length", "entropy", "transitions", "digits", "upper", "other", "hex", "cover", "distinct", "placeholder", "known", "assigned", "quoted", "path", "secret_near", "harmless_near", "vowels")
+
+
+def features_of(candidate: str, kind: str, before: str, after: str, path: str) -> list[float]:
+    n = len(candidate)
+    kinds = [_kind(c) for c in candidate]
+    near = {w.lower() for w in WORD.findall(before[-48:]) + WORD.findall(after[:24])}
+    letters = [c for c in candidate.lower() if c.isalpha()]
+    return [
+        min(n, 200), entropy(candidate), sum(a != b for a, b in zip(kinds, kinds[1:])) / max(1, n - 1), kinds.count(2) / n, kinds.count(1) / n, kinds.count(3) / n,  # noqa: B905
+        float(bool(re.fullmatch(r"(?:0x)?[0-9a-fA-F]+", candidate))), dictionary_cover(candidate), len(set(candidate)) / n, float(bool(PLACEHOLDERS.search(candidate))), float(kind in KNOWN), float(kind == "assigned" or bool(re.search(r"[=:]\s*[\"']?$", before))),
+        float(before[-1:] in ("'", '"')), float(bool(HARMLESS_PATH.search(path))), float(bool(near & SECRET_WORDS)), float(bool(near & HARMLESS_WORDS)), sum(c in "aeiou" for c in letters) / max(1, len(letters)),
+    ]
+
+
+def candidates(text: str) -> Iterator[tuple[int, str, str]]:
+    """(start, candidate, kind)."""
+    for m in CANDIDATE.finditer(text):
+        kind = m.lastgroup
+        start, found = m.start(kind), m[kind]
+        if kind == "run":
+            found = found.rstrip("=-_/+") + ("=" * min(2, len(found) - len(found.rstrip("="))) if len(found.rstrip("=")) % 4 else "")
+            if not any(c.isdigit() for c in found) or len(found) < 16:
+                continue
+        yield start, found, kind
+
+
+def labelled_findings(each: int = 40, seed: int = 3) -> list[tuple[str, str, str, str, str, int]]:
+    """(candidate, kind, text before, text after, path, 1: a secret), generated by rule from a seed."""
+    random = np.random.default_rng(seed)
+    pick = lambda x: x[int(random.integers(len(x)))]
+    some = lambda letters, n: "".join(letters[i] for i in random.integers(0, len(letters), n))
+    digits, lower = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    upper, words = lower.upper(), sorted(DICTIONARY)
+    mixed, base64, hexes = digits + lower + upper, digits + lower + upper + "+/", digits + "abcdef"
+    phrase = lambda n, sep: sep.join(pick(words) for _ in range(n))
+    prose = lambda: phrase(int(random.integers(2, 6)), " ")
+    name = lambda: pick(["token", "api_key", "apikey", "secret", "password", "access_token", "auth_token", "SECRET_KEY", "TOKEN", "client_secret", "passwd", "private_key"])
+    plain_path = lambda: pick(["src0", "src7", "app/settings.py", "deploy/env.sh", "config/prod.yml", "web", "crawl-12"])
+    test_path = lambda: pick(["tests/data.py", "docs/guide.md", "examples/run.sh", "spec/fixtures/a.json", "package.lock", "vendor/lib.min.js"])
+    out = []
+
+    def add(label: int, candidate: str, kind: str, before: str, after: str, path: str) -> None:
+        out.append((candidate, kind, before, after, path, label))
+
+    for _ in range(each):
+        quote = pick(['"', "'", ""])
+        assign = lambda: f"{prose()} {name()}{pick([' = ', '=', ': ', ' := '])}{quote}"  # noqa: B023, E731
+        # secrets
+        add(1, some(hexes, pick([32, 40, 48, 64])), "assigned", assign(), quote + " " + prose(), plain_path())
+        add(1, some(hexes, pick([32, 40, 64])).upper(), "assigned", assign().upper(), quote + " " + prose().upper(), plain_path())
+        add(1, some(mixed, int(random.integers(20, 48))), "assigned", assign(), quote + " " + prose(), plain_path())
+        add(1, some(base64, int(random.integers(24, 64))) + "=", "assigned", assign(), quote, plain_path())
+        add(1, some(mixed + "!@#$%^&*", int(random.integers(10, 20))), "assigned", assign(), quote, plain_path())
+        add(1, pick(["AKIA", "ASIA"]) + some(upper + digits, 16), "aws_access_key", pick([assign(), prose() + " "]), quote, plain_path())
+        add(1, "gh" + pick("pous") + "_" + some(mixed, 36), "github_token", pick([assign(), prose() + " "]), quote, plain_path())
+        add(1, f"xoxb-{some(digits, 12)}-{some(digits, 12)}-{some(mixed, 24)}", "slack_token", prose() + " ", " " + prose(), plain_path())
+        add(1, "AIza" + some(mixed + "_-", 35), "google_api_key", prose() + " ", " " + prose(), plain_path())
+        add(1, "sk_live_" + some(mixed, 24), "stripe_key", assign(), quote, plain_path())
+        add(1, "-----BEGIN RSA PRIVATE KEY-----", "private_key", prose() + "\n", "\n" + some(base64, 40), plain_path())
+        add(1, some(mixed, int(random.integers(24, 44))), "run", f"{prose()} authorization bearer ", " " + prose(), plain_path())
+        # false alarms
+        add(0, some(hexes, pick([40, 64])), "run", f"{prose()} {pick(['commit', 'sha256', 'checksum', 'md5', 'revision', 'digest'])} ", " " + prose(), pick([plain_path(), test_path()]))
+        add(0, some(hexes, 40), "run", prose() + " ", " " + prose(), plain_path())
+        add(0, "-".join(some(hexes, k) for k in (8, 4, 4, 4, 12)), "run", f"{prose()} {pick(['uuid', 'id', 'guid', ''])} ", " " + prose(), plain_path())
+        add(0, some(digits, int(random.integers(16, 24))), "run", prose() + " ", " " + prose(), plain_path())
+        add(0, phrase(3, pick(["_", "-", "/"])) + some(digits, 2), pick(["run", "assigned"]), pick([prose() + " ", assign()]), " " + prose(), plain_path())
+        add(0, phrase(4, "/") + "/" + some(digits, 4), "run", prose() + " https:", " " + prose(), plain_path())
+        add(0, "".join(pick(words).capitalize() for _ in range(4)) + some(digits, 1), "run", prose() + " ", "(" + prose(), plain_path())
+        add(0, pick(["your_api_key_here", "xxxxxxxxxxxxxxxx", "changeme123", "<password>", "example-token-1", "1234567890abcdef", "********", "REPLACE_ME_0000000000", "YOUR-TOKEN-12345", "dummy_secret_value1"]), "assigned", assign(), quote, pick([plain_path(), test_path()]))
+        add(0, some(hexes, 40), "assigned", f"example {assign()}", quote, test_path())
+        add(0, some(mixed, 32), "assigned", f"dummy {assign()}", quote + " sample", test_path())
+        add(0, pick(words) + pick(["", "_" + pick(words), "." + pick(words) + "()"]), "assigned", assign(), quote, plain_path())
+        add(0, "data" + some(base64, 48), "run", f"{prose()} src image base64 ", " " + prose(), plain_path())
+        add(0, "=" * 20 + some(digits, 1), "run", prose() + "\n", "\n", plain_path())
+    return out
+
+
+@lru_cache(maxsize=2)
+def train_forest(each: int = 40, seed: int = 3) -> Forest:
+    rows = labelled_findings(each, seed)
+    x = np.array([features_of(*r[:5]) for r in rows], dtype=np.float64)
+    return Forest.grow(x, np.array([r[5] for r in rows], dtype=np.float64))
+
+
+def scan_text(text: str, path: str, forest: Forest) -> list[tuple[int, str, str, float]]:
+    """(start, candidate, kind, score) of every candidate."""
+    found = list(candidates(text))
+    if not found:
+        return []
+    x = [features_of(c, kind, text[max(0, at - 64) : at], text[at + len(c) : at + len(c) + 32], path) for at, c, kind in found]
+    return [(at, c, kind, float(s)) for (at, c, kind), s in zip(found, forest.predict(np.array(x)), strict=True)]
+
+
+def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", path_column: str | None = "source", threshold: float = THRESHOLD) -> DataFrame:
+    """One row per candidate: id, start and length in code points, kind, secret_sha256, score, is_secret."""
+    shared = docs.sparkSession.sparkContext.broadcast(train_forest())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for k, (text, path) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                if text:
+                    rows += [(k, at, len(c), kind, hashlib.sha256(c.encode()).hexdigest(), s, s >= threshold) for at, c, kind, s in scan_text(text, path or "", shared.value)]
+            if rows:
+                k, *rest = zip(*rows, strict=True)
+                types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(k, pa.int64())), *(pa.array(x, t) for x, t in zip(rest, types, strict=True))], names=[id_column, "start", "length", "kind", "secret_sha256", "score", "is_secret"])
+
+    path = F.col(path_column) if path_column else F.lit("")
+    kind = docs.schema[id_column].dataType.simpleString()
+    return docs.select(id_column, text_column, path.cast("string").alias("__path")).mapInArrow(run, f"`{id_column}` {kind}, start bigint, length bigint, kind string, secret_sha256 string, score double, is_secret boolean")
+
+
+def redact(docs: DataFrame, text_column: str = "text", path_column: str | None = "source", threshold: float = THRESHOLD, mark: str = "[REDACTED]") -> DataFrame:
+    """The documents with every found secret replaced by a mark."""
+    shared = docs.sparkSession.sparkContext.broadcast(train_forest())
+    position = docs.columns.index(text_column)
+    path_at = docs.columns.index(path_column) if path_column else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column(path_at).to_pylist() if path_at is not None else [""] * len(batch)
+            out = []
+            for text, path in zip(batch.column(position).to_pylist(), paths, strict=True):
+                for at, c, _, s in reversed(scan_text(text, path or "", shared.value) if text else []):
+                    if s >= threshold:
+                        text = text[:at] + mark + text[at + len(c) :]
+                out.append(text)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:position], pa.array(out, pa.string()), *batch.columns[position + 1 :]], names=docs.columns)
+
+    return docs.mapInArrow(run, docs.schema)
