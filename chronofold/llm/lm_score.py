@@ -41,7 +41,7 @@ from .common import durable, fold
 from .textvec import END, WORD_NOT_SPACE, TextSlice, Words, find_words, text_slices, word_hashes
 
 DEPTH = 6
-MAX_STATES = 1 << 17
+MAX_STATES = 1 << 16
 LOOKUP_WORDS = 1 << 19
 MIN_COUNT = 4
 CUTOFF = 4.0
@@ -244,6 +244,19 @@ def tree_nodes(codes: np.ndarray, counts: np.ndarray, depth: int, min_count: int
             yield int(context[first[g]]), k, float(gain[g]), row
 
 
+def _sparse(row: np.ndarray) -> bytes:
+    """The symbols that occur, then their counts."""
+    at = np.flatnonzero(row)
+    return at.astype(np.uint8).tobytes() + row[at].tobytes()
+
+
+def _dense(blob: bytes) -> np.ndarray:
+    n = len(blob) // 5
+    out = np.zeros(CLASSES, dtype=np.float32)
+    out[np.frombuffer(blob, dtype=np.uint8, count=n)] = np.frombuffer(blob, dtype=np.uint32, offset=n) if n else 0
+    return out
+
+
 def ngram_nodes(docs: DataFrame, text_column: str, train: Column, classes: np.ndarray, depth: int, min_count: int, cutoff: float, buckets: int = BUCKETS) -> DataFrame:
     """The contexts that pass the divergence test, over all training documents."""
 
@@ -264,31 +277,42 @@ def ngram_nodes(docs: DataFrame, text_column: str, train: Column, classes: np.nd
         return _spread(keys, counts, keys >> (6 * (depth - 1)))  # the latest two symbols
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = Sum(np.int64)
+        total, last = Sum(np.int64), None
         for batch in batches:
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for bucket, a, b in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                if bucket != last and last is not None:
+                    yield from nodes(total)
+                    total.clear()
+                last = bucket
                 total.add(*_opened(a, b, np.int64))
-            total.full()
-        keys, counts = total.get()
-        context, length, gain, row = [list(x) for x in zip(*tree_nodes(keys, counts, depth, min_count, cutoff), strict=True)] or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(context, pa.int64()), pa.array(length, pa.int32()), pa.array(gain, pa.float64()), pa.array([r.tobytes() for r in row], pa.binary())], names=["context", "length", "gain", "next"])
+                if total.size > 4 * total.limit:
+                    total.get()
+        if last is not None:
+            yield from nodes(total)
+
+    def nodes(total: Sum) -> Iterator[pa.RecordBatch]:
+        found = list(tree_nodes(*total.get(), depth, min_count, cutoff))
+        if found:
+            context, length, gain, row = zip(*found, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(context, pa.int64()), pa.array(length, pa.int32()), pa.array(gain, pa.float64()), pa.array([_sparse(r) for r in row], pa.binary())], names=["context", "length", "gain", "next"])
 
     counted = docs.where(F.coalesce(train, F.lit(False))).select(text_column).mapInArrow(count, PACKED)
-    return counted.repartition(buckets, "bucket").mapInArrow(reduce, "context bigint, length int, gain double, next binary")
+    # the contexts that end in the same two symbols are worked on together, one such group at a time
+    return counted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(reduce, "context bigint, length int, gain double, next binary")
 
 
 def build_tree(nodes: list[tuple[int, int, bytes]], classes: np.ndarray, depth: int) -> Tree:
     """nodes: (context, length, counts), with every suffix of length 2 or more. Shorter contexts are summed from those of two symbols."""
-    rows = {(n, c): np.frombuffer(x, dtype=np.uint32).astype(np.float64) for c, n, x in nodes}
+    rows = {(n, c): _dense(x) for c, n, x in nodes}
     for n in (1, 0):
         for (m, c), x in [(k, v) for k, v in rows.items() if k[0] == n + 1]:
             at = (n, c >> 6)
             rows[at] = rows[at] + x if at in rows else x.copy()
-    rows.setdefault((0, 0), np.zeros(CLASSES))
+    rows.setdefault((0, 0), np.zeros(CLASSES, dtype=np.float32))
     order = sorted(rows, key=lambda k: (k[0], k[1]))
     index = {k: i for i, k in enumerate(order)}
     child = np.zeros((len(order), CLASSES), dtype=np.int32)
-    prob = np.zeros((len(order), CLASSES))
+    prob = np.zeros((len(order), CLASSES), dtype=np.float32)
     uniform = np.full(CLASSES, 1 / (CLASSES - 1))
     uniform[PAD] = 0
     for i, (n, c) in enumerate(order):

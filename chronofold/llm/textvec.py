@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at a time (a longer document is a slice of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: Ends each document in the joined buffer; never part of valid UTF-8.
 END = 0xFF
 
