@@ -316,8 +316,8 @@ def _bucketed_sets(docs: DataFrame, id_column: str, text_column: str, members: D
     return joined.select("text", "set", "bucket").mapInArrow(cut, "bucket bigint, set bigint, shingles array<bigint>")
 
 
-def _split_large(sets: DataFrame, percent: int, bucket_sets: int, most: int = 200) -> tuple[DataFrame, DataFrame]:
-    """(edges between sets, sets that are left) where no bucket that is left holds more than `bucket_sets`.
+def _split_large(sets: DataFrame, percent: int, bucket_sets: int, most: int = 8) -> tuple[DataFrame, DataFrame]:
+    """(edges between sets, sets that are left), after splitting buckets of more than `bucket_sets` sets.
 
     A large bucket's pivot is its smallest fingerprint. Its sets fall into: near
     (they link to the pivot, so they are one component), and the rest. Sets of
@@ -349,9 +349,7 @@ def _split_large(sets: DataFrame, percent: int, bucket_sets: int, most: int = 20
         edges = edges.unionAll(_cross_links(outer.select("bucket", "set", "shingles"), rest.where(shell).select("bucket", "set", "shingles"), percent, bucket_sets))
         edges = durable(edges)
         sets = durable(cold.unionAll(rest.select(F.xxhash64("bucket", F.lit(1)).alias("bucket"), "set", "shingles")))
-    else:
-        raise RuntimeError("large buckets did not split")
-    return edges, sets
+    return edges, sets  # after `most` rounds a bucket of many unlike sets goes on whole: the search stays exact
 
 
 def _cross_links(near: DataFrame, shell: DataFrame, percent: int, block: int) -> DataFrame:
