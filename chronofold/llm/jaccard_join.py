@@ -143,7 +143,7 @@ def prefixes(docs: DataFrame, id_column: str, text_column: str, ranks: np.ndarra
 
 
 def candidate_edges(sets: DataFrame, block: int = 3_000_000) -> DataFrame:
-    """(u, v): a connected graph over the sets that share a prefix shingle. sets: (set, prefix), distinct."""
+    """(u, v): a connected graph over the sets that share a prefix shingle. sets: (set, prefix); equal rows fall together within each task."""
 
     def own(shingles: np.ndarray, heads: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((heads, shingles))
@@ -394,12 +394,18 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50 and at most 100")
     own = durable(prefixes(docs, id_column, text_column, sketch(docs, text_column, k, sketch_bits), k, percent))
-    classes = durable(own.where("n > 0").groupBy("set").agg(F.min("id").alias("id"), F.first("prefix").alias("prefix")))
-    buckets = connected_components(candidate_edges(classes))
-    members = durable(classes.select("set", "id").join(buckets.withColumnRenamed("node", "set").withColumnRenamed("component", "bucket"), "set"))
-    edges, left = _split_large(durable(_bucketed_sets(docs, id_column, text_column, members, k, broadcast_sets)), percent, bucket_sets)
-    linked = connected_components(edges.unionAll(link_edges(left, percent)))
-    ids = classes.select("set", "id")
+    ids = durable(own.where("n > 0").groupBy("set").agg(F.min("id").alias("id")))
+    buckets = connected_components(candidate_edges(own.where("n > 0")))
+    members = durable(ids.join(buckets.withColumnRenamed("node", "set").withColumnRenamed("component", "bucket"), "set"))
+    large = durable(members.groupBy("bucket").count().where(F.col("count") > bucket_sets).select("bucket", F.lit(True).alias("large")))
+    edges = None
+    if not large.isEmpty():  # at most (sets / bucket_sets) rows
+        members = durable(members.join(F.broadcast(large), "bucket", "left"))
+        edges, left = _split_large(durable(_bucketed_sets(docs, id_column, text_column, members.where("large"), k, broadcast_sets)), percent, bucket_sets)
+        edges = edges.unionAll(link_edges(left, percent))
+        members = members.where("large is null")
+    found = link_edges(_bucketed_sets(docs, id_column, text_column, members, k, broadcast_sets), percent)
+    linked = connected_components(found if edges is None else edges.unionAll(found))
     named = ids.join(linked.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
     named = named.join(least, "component").select("set", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
