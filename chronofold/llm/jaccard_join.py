@@ -5,7 +5,7 @@ similarity of `percent` / 100 or more; documents that links connect are one
 component. The join is exact (shingles are told apart by 64-bit hashes).
 
 1. A sketch counts, over all documents, how many hold the shingles of each of
-   2**22 hash slots. It defines one global order of shingles, rare ones first.
+   2**24 hash slots. It defines one global order of shingles, rare ones first.
    Any fixed order gives right results; this one keeps passages that many
    documents share out of the prefixes.
 2. Documents with equal sets become one. Two linked sets of which the smaller
@@ -48,7 +48,7 @@ from .components import connected_components
 from .textvec import WORD_NOT_SPACE, find_words, mix64, shingle_sets, text_slices, word_hashes
 
 SHINGLE, PERCENT = 4, 85
-SKETCH_BITS, SKETCH_CHUNK = 22, 1 << 18
+SKETCH_BITS, SKETCH_CHUNK = 24, 1 << 19
 #: Candidate sets whose ids are broadcast (16 bytes each); beyond, they are joined by a shuffle.
 BROADCAST_SETS = 2_000_000
 BUCKET_SETS = 4096
@@ -94,7 +94,7 @@ def sketch(docs: DataFrame, text_column: str, k: int, bits: int = SKETCH_BITS) -
                 slots.sort()
                 first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]])) if len(slots) else slots
                 total[slots[first]] += np.diff(np.append(first, len(slots))).astype(np.uint32)
-        small = total.astype(np.uint8) if total.max(initial=0) < 256 else total
+        small = np.minimum(total, 255).astype(np.uint8)  # the order needs no more of one task
         yield pa.RecordBatch.from_arrays([pa.array(range(chunks), pa.int32()), pa.array([small[i * chunk : (i + 1) * chunk].tobytes() for i in range(chunks)], pa.binary())], names=["chunk", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +102,7 @@ def sketch(docs: DataFrame, text_column: str, k: int, bits: int = SKETCH_BITS) -
         for batch in batches:
             for c, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 total.setdefault(c, np.zeros(chunk, dtype=np.uint64))
-                total[c] += np.frombuffer(x, dtype=np.uint8 if len(x) == chunk else np.uint32)
+                total[c] += np.frombuffer(x, dtype=np.uint8)
         ranks = {c: np.minimum(255, 8 * np.log2(x.astype(np.float64) + 1)).astype(np.uint8) for c, x in total.items()}
         yield pa.RecordBatch.from_arrays([pa.array(ranks.keys(), pa.int32()), pa.array([r.tobytes() for r in ranks.values()], pa.binary())], names=["chunk", "counts"])
 
