@@ -23,7 +23,9 @@ component. The join is exact (shingles are told apart by 64-bit hashes).
    (DivideSkip), and sets with the required overlap are retained, reached, and
    taken out of the index. So a family of near copies is reached by its first
    member, without its pairs.
-   A bucket larger than `bucket_sets` is first split: sets are compared with a
+   A bucket larger than `bucket_sets` is first cut finer by the candidates of
+   other orders, made from that bucket's own counts (no link crosses these
+   buckets either). What stays larger is split: sets are compared with a
    pivot, in parallel; Jaccard distance is a metric, so sets far enough from
    the pivot can't link to those near it, and each part goes on by itself.
 
@@ -53,6 +55,8 @@ SKETCH_BITS, SKETCH_CHUNK = 24, 1 << 19
 BROADCAST_SETS = 2_000_000
 BUCKET_SETS = 4096
 SALTS = 16
+#: Rounds that cut large buckets finer, and the sketch of such a round: at most 2**REFINE_BITS bytes.
+REFINEMENTS, REFINE_BITS = 3, 26
 #: DivideSkip's balance between merging short lists and probing long ones.
 MU = 0.01
 
@@ -77,25 +81,27 @@ def document_sets(column: pa.Array, k: int) -> Iterator[tuple[int, list[np.ndarr
         yield part.first, shingle_sets(part, words, word_hashes(part, words), k)
 
 
-def slots_of(shingles: np.ndarray, bits: int) -> np.ndarray:
-    return (mix64(shingles ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - bits)).astype(np.int64)
+def slots_of(shingles: np.ndarray, bits: int, turn: int = 0) -> np.ndarray:
+    return (mix64(shingles ^ np.uint64(0x2545F4914F6CDD1D + turn)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def sketch(docs: DataFrame, text_column: str, k: int, bits: int = SKETCH_BITS) -> np.ndarray:
+def sketch(docs: DataFrame, text_column: str, k: int, bits: int = SKETCH_BITS, turn: int = 0) -> np.ndarray:
     """slot -> class of the number of documents that hold its shingles: eight classes for each power of two."""
     chunk = min(SKETCH_CHUNK, 1 << bits)
     chunks = (1 << bits) // chunk
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, dtype=np.uint32)
+        total = np.zeros(1 << bits, dtype=np.uint8)  # up to 255: the order needs no more of one task
         for batch in batches:
             for _, sets in document_sets(batch.column(0), k):
-                slots = slots_of(np.concatenate(sets), bits)
+                slots = slots_of(np.concatenate(sets), bits, turn)
                 slots.sort()
                 first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]])) if len(slots) else slots
-                total[slots[first]] += np.diff(np.append(first, len(slots))).astype(np.uint32)
-        small = np.minimum(total, 255).astype(np.uint8)  # the order needs no more of one task
-        yield pa.RecordBatch.from_arrays([pa.array(range(chunks), pa.int32()), pa.array([small[i * chunk : (i + 1) * chunk].tobytes() for i in range(chunks)], pa.binary())], names=["chunk", "counts"])
+                slots, more = slots[first], np.diff(np.append(first, len(slots)))
+                total[slots] = np.minimum(total[slots] + more, 255)
+        parts = total.reshape(chunks, chunk)
+        some = np.flatnonzero(parts.any(axis=1)).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[i].tobytes() for i in some], pa.binary())], names=["chunk", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -114,8 +120,8 @@ def sketch(docs: DataFrame, text_column: str, k: int, bits: int = SKETCH_BITS) -
     return out
 
 
-def prefixes(docs: DataFrame, id_column: str, text_column: str, ranks: np.ndarray, k: int, percent: int) -> DataFrame:
-    """(id, row, n, set, prefix) of every document: its set's size, fingerprint and first shingles in the global order."""
+def prefixes(docs: DataFrame, id_column: str, text_column: str, ranks: np.ndarray, k: int, percent: int, turn: int = 0) -> DataFrame:
+    """(id, n, set, prefix) of every document: its set's size, fingerprint and first shingles in the global order."""
     bits = int(np.log2(len(ranks)))
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
@@ -127,7 +133,7 @@ def prefixes(docs: DataFrame, id_column: str, text_column: str, ranks: np.ndarra
                 for s in sets:
                     p = prefix_size(len(s), percent)
                     if p < len(s):
-                        r = rank[slots_of(s, bits)]
+                        r = rank[slots_of(s, bits, turn)]
                         edge = np.partition(r, p - 1)[p - 1]
                         s = np.concatenate([s[r < edge], s[r == edge]])[:p]  # equal ranks go by hash
                     prefix.append(s.view(np.int64))
@@ -316,6 +322,32 @@ def _bucketed_sets(docs: DataFrame, id_column: str, text_column: str, members: D
     return joined.select("text", "set", "bucket").mapInArrow(cut, "bucket bigint, set bigint, shingles array<bigint>")
 
 
+def _refined(docs: DataFrame, id_column: str, text_column: str, members: DataFrame, k: int, percent: int, bucket_sets: int, broadcast_sets: int, bits: int) -> DataFrame:
+    """members (set, id, n, bucket) with the buckets of more than `bucket_sets` sets cut finer, by other orders of shingles.
+
+    Linked sets share a prefix shingle in every order. Each round counts the
+    shingles of the large buckets' sets only, in a sketch with a slot or two a
+    shingle (up to 2**bits), so a passage of two sets ranks behind the shingles of one;
+    sets go on together if they were together before and still are.
+    """
+    for turn in range(1, REFINEMENTS + 1):
+        large = durable(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).where(F.col("sets") > bucket_sets))
+        sets, shingles = large.agg(F.sum("sets"), F.sum("shingles")).first()
+        if not sets:
+            break
+        marked = durable(members.join(F.broadcast(large.select("bucket", F.lit(True).alias("large"))), "bucket", "left"))
+        ids = marked.where("large").select(F.col("id").alias("_id")).distinct()
+        own = docs.select(id_column, text_column).join(F.broadcast(ids) if sets <= broadcast_sets else ids, F.col(id_column).eqNullSafe(F.col("_id")), "left_semi")
+        ranks = sketch(own, text_column, k, min(bits, int(shingles).bit_length() + 1), turn)
+        parts = connected_components(candidate_edges(durable(prefixes(own, id_column, text_column, ranks, k, percent, turn).where("n > 0"))))
+        finer = marked.where("large").drop("large").join(parts.withColumnRenamed("node", "set"), "set").withColumn("bucket", F.xxhash64("bucket", "component", F.lit(turn)))
+        now = durable(marked.where("large is null").select("set", "id", "n", "bucket").unionAll(finer.select("set", "id", "n", "bucket")))
+        before, members = members, now
+        if now.count() == before.count() and now.select("bucket").distinct().count() == before.select("bucket").distinct().count():
+            break
+    return members
+
+
 def _split_large(sets: DataFrame, percent: int, bucket_sets: int, most: int = 8) -> tuple[DataFrame, DataFrame]:
     """(edges between sets, sets that are left), after splitting buckets of more than `bucket_sets` sets.
 
@@ -394,9 +426,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50 and at most 100")
     own = durable(prefixes(docs, id_column, text_column, sketch(docs, text_column, k, sketch_bits), k, percent))
-    ids = durable(own.where("n > 0").groupBy("set").agg(F.min("id").alias("id")))
+    ids = durable(own.where("n > 0").groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n")))
     buckets = connected_components(candidate_edges(own.where("n > 0")))
-    members = durable(ids.join(buckets.withColumnRenamed("node", "set").withColumnRenamed("component", "bucket"), "set"))
+    members = durable(ids.join(buckets.withColumnRenamed("node", "set").withColumnRenamed("component", "bucket"), "set")).select("set", "id", "n", "bucket")
+    members = _refined(docs, id_column, text_column, members, k, percent, bucket_sets, broadcast_sets, REFINE_BITS)
     large = durable(members.groupBy("bucket").count().where(F.col("count") > bucket_sets).select("bucket", F.lit(True).alias("large")))
     edges = None
     if not large.isEmpty():  # at most (sets / bucket_sets) rows
