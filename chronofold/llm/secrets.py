@@ -194,7 +194,8 @@ def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 def redact(docs: DataFrame, text_column: str = "text", path_column: str | None = "source", threshold: float = THRESHOLD, mark: str = "[REDACTED]") -> DataFrame:
     """The documents with every found secret replaced by a mark."""
     shared = docs.sparkSession.sparkContext.broadcast(train_forest())
-    position = docs.columns.index(text_column)
+    names = docs.columns
+    position = names.index(text_column)
     path_at = docs.columns.index(path_column) if path_column else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,6 +207,6 @@ def redact(docs: DataFrame, text_column: str = "text", path_column: str | None =
                     if s >= threshold:
                         text = text[:at] + mark + text[at + len(c) :]
                 out.append(text)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:position], pa.array(out, pa.string()), *batch.columns[position + 1 :]], names=docs.columns)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:position], pa.array(out, pa.string()), *batch.columns[position + 1 :]], names=names)
 
     return docs.mapInArrow(run, docs.schema)

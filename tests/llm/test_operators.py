@@ -300,7 +300,7 @@ def test_transducer_is_minimal_and_exact():
     t = bpe.Transducer.compile(words)
     assert t.lookup(words).tolist() == list(range(len(words)))
     assert (t.lookup([b"", b"walkin", b"xalk", b"walkings"]) == -1).all()
-    assert len(t.final) == 11  # the endings of walk- and talk- are shared
+    assert len(t.final) == 10  # start, w, t; a, al, alk shared by walk- and talk-; e, i, in, end
 
 
 PAGE = """<html><head><title>T</title><script>var a="</p>";</script></head><body><header><a href=/>Home</a><p>A long welcome text of the site that goes on and on and on</p></header><nav><ul><li><a>One</a><li><a>Two</a></ul></nav>
