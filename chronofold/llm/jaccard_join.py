@@ -101,22 +101,22 @@ def sketch(docs: DataFrame, text_column: str, k: int, bits: int = SKETCH_BITS, t
                 total[slots] = np.minimum(total[slots] + more, 255)
         parts = total.reshape(chunks, chunk)
         some = np.flatnonzero(parts.any(axis=1)).tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[i].tobytes() for i in some], pa.binary())], names=["chunk", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([pa.compress(parts[i].tobytes(), codec="zstd", asbytes=True) for i in some], pa.binary())], names=["chunk", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for c, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 total.setdefault(c, np.zeros(chunk, dtype=np.uint64))
-                total[c] += np.frombuffer(x, dtype=np.uint8)
+                total[c] += np.frombuffer(pa.decompress(x, chunk, codec="zstd", asbytes=True), dtype=np.uint8)
         ranks = {c: np.minimum(255, 8 * np.log2(x.astype(np.float64) + 1)).astype(np.uint8) for c, x in total.items()}
-        yield pa.RecordBatch.from_arrays([pa.array(ranks.keys(), pa.int32()), pa.array([r.tobytes() for r in ranks.values()], pa.binary())], names=["chunk", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(ranks.keys(), pa.int32()), pa.array([pa.compress(r.tobytes(), codec="zstd", asbytes=True) for r in ranks.values()], pa.binary())], names=["chunk", "counts"])
 
     schema = "chunk int, counts binary"
-    rows = docs.select(text_column).mapInArrow(count, schema).repartition(chunks, "chunk").mapInArrow(add, schema).collect()  # 2**bits bytes
+    rows = docs.select(text_column).mapInArrow(count, schema).repartition(chunks, "chunk").mapInArrow(add, schema).collect()  # 2**bits bytes at most
     out = np.zeros(1 << bits, dtype=np.uint8)
     for r in rows:
-        out[r.chunk * chunk : (r.chunk + 1) * chunk] = np.frombuffer(r.counts, dtype=np.uint8)
+        out[r.chunk * chunk : (r.chunk + 1) * chunk] = np.frombuffer(pa.decompress(r.counts, chunk, codec="zstd", asbytes=True), dtype=np.uint8)
     return out
 
 
