@@ -22,6 +22,7 @@ rows are kept as they are, repeated ones too; an empty table stays empty.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
@@ -29,7 +30,7 @@ import re
 import tempfile
 from array import array
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -38,10 +39,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import durable
+
 #: Words compiled into the lexicon at most.
 LEXICON_WORDS = 1 << 17
 #: Chunks that a worker remembers before it starts anew.
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 400_000
 BLOCK_CHARS = 4_000_000
 NEVER = 1 << 30
 
@@ -224,8 +227,8 @@ def compile_lexicon(vocabulary: Vocabulary, words: Iterable[str]) -> bytes:
     """The transducer of the words and their id sequences, packed."""
     sorted_words = sorted({w.encode() for w in words if w})
     ids = Merger(vocabulary).merge(sorted_words)
-    ends = np.cumsum([len(x) for x in ids], dtype=np.int64) if ids else np.zeros(0, dtype=np.int64)
-    flat = np.array([i for x in ids for i in x], dtype=np.int32)
+    ends = np.cumsum([len(x) // 4 for x in ids], dtype=np.int64) if ids else np.zeros(0, dtype=np.int64)
+    flat = np.frombuffer(b"".join(ids), dtype=np.int32)
     return pack(Transducer.compile(sorted_words).arrays() | {"ends": ends, "ids": flat})
 
 
@@ -246,14 +249,15 @@ class Merger:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.ranks[at], NEVER).astype(np.int32)
 
-    def merge(self, words: list[bytes], longest: int = 48, rows: int = 16384) -> list[list[int]]:
-        out: list[list[int]] = [[]] * len(words)
+    def merge(self, words: list[bytes], longest: int = 48, rows: int = 16384) -> list[bytes]:
+        """Each word's ids, as the bytes of int32 values."""
+        out: list[bytes] = [b""] * len(words)
+        if not len(self.keys):
+            return [self.byte_ids[np.frombuffer(w, dtype=np.uint8)].tobytes() for w in words]
         order = sorted(range(len(words)), key=lambda k: len(words[k]))
         short = [k for k in order if 0 < len(words[k]) <= longest]
         for k in order[len(order) - sum(len(w) > longest for w in words) :]:
-            out[k] = self.vocabulary.merge(words[k])
-        if not len(self.keys):
-            return [[self.vocabulary.byte_ids[b] for b in w] for w in words]
+            out[k] = array("i", self.vocabulary.merge(words[k])).tobytes()
         for first in range(0, len(short), rows):
             part = np.array(short[first : first + rows])
             size = np.array([len(words[k]) for k in part])
@@ -268,8 +272,10 @@ class Merger:
                 value = np.take_along_axis(rank, best[:, None], 1)[:, 0] if rank.shape[1] else np.full(len(part), NEVER)
                 done = value == NEVER
                 if done.any():
-                    for k, row, n in zip(part[done].tolist(), ids[done].tolist(), size[done].tolist(), strict=True):
-                        out[k] = row[:n]
+                    flat = ids[done].tobytes()
+                    starts = np.arange(int(done.sum())) * (4 * ids.shape[1])
+                    for k, start, end in zip(part[done].tolist(), starts.tolist(), (starts + 4 * size[done]).tolist(), strict=True):
+                        out[k] = flat[start:end]
                     go = ~done
                     part, ids, rank, size, best, value = part[go], ids[go], rank[go], size[go], best[go], value[go]
                     if not len(part):
@@ -291,84 +297,106 @@ class Merger:
 
 
 class Encoder:
-    """Of one worker process. encode() cuts texts into keys; `maps` tell for each kind what a key stands for."""
+    """Of one worker process. It remembers what the chunks it has seen stand for, up to a bound."""
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: bytes, kinds: tuple[str, ...]):
-        self.vocabulary, self.merger, self.kinds = vocabulary, Merger(vocabulary), kinds
+    def __init__(self, vocabulary: Vocabulary, lexicon: bytes):
+        self.merger = Merger(vocabulary)
         x = unpack_mapped(lexicon)
         self.lexicon = Transducer(*(x[k] for k in ("arc_keys", "arc_to", "arc_add", "final")))
-        self.ends, self.ids = x["ends"], x["ids"]
-        self.decimal = {i: str(i) for i in vocabulary.spell}
-        self.special = {(s,): [i] for s, i in vocabulary.special.items()}
+        self.bounds, self.ids = np.concatenate([[0], x["ends"]]) * 4, x["ids"].view(np.uint8).data
+        self.special = {(s,): array("i", [i]).tobytes() for s, i in vocabulary.special.items()}
         self.split_special = re.compile("(" + "|".join(re.escape(s) for s in sorted(vocabulary.special, key=len, reverse=True)) + ")") if vocabulary.special else None
-        self._forget()
-
-    def _forget(self) -> None:
-        self.maps: dict[str, dict] = {kind: {key: self._value(kind, ids) for key, ids in self.special.items()} for kind in self.kinds}
+        self.known: dict = dict(self.special)
 
-    def _value(self, kind: str, ids: list[int]) -> str | bytes:
-        if kind == "decimal":
-            decimal = self.decimal
-            return ",".join([decimal[i] for i in ids])
-        if kind == "decoded":
-            spell = self.vocabulary.spell
-            return b"".join([spell[i] for i in ids])
-        return array("i", ids).tobytes()
-
-    def word_ids(self, words: list[str]) -> list[list[int]]:
+    def word_ids(self, words: list[str]) -> list[bytes]:
         raw = [w.encode() for w in words]
         index = self.lexicon.lookup(raw)
-        out: list = [None] * len(words)
-        for k in np.flatnonzero(index >= 0).tolist():
-            j = index[k]
-            out[k] = self.ids[self.ends[j - 1] if j else 0 : self.ends[j]].tolist()
-        unseen = np.flatnonzero(index < 0).tolist()
+        out: list = [b""] * len(words)
+        seen, unseen = np.flatnonzero(index >= 0), np.flatnonzero(index < 0).tolist()
+        for k, start, end in zip(seen.tolist(), self.bounds[index[seen]].tolist(), self.bounds[index[seen] + 1].tolist(), strict=True):
+            out[k] = bytes(self.ids[start:end])
         for k, ids in zip(unseen, self.merger.merge([raw[k] for k in unseen]), strict=True):
             out[k] = ids
         return out
 
     def _learn(self, chunks: list[str]) -> None:
-        whole = [c for c in chunks if (c[1:] if c[0] == " " else c).isalpha()]
-        rest = {c: WORD.findall(c) for c in set(chunks).difference(whole)}
-        words = [*{*whole, *(w for found in rest.values() for w in found)}]
+        whole, rest = [], []
+        for c in chunks:
+            (whole if (c[1:] if c[0] == " " else c).isalpha() else rest).append(c)
+        cut = list(map(WORD.findall, rest))
+        words = [*set(whole).union(*cut)]
         ids = dict(zip(words, self.word_ids(words), strict=True))
-        for kind in self.kinds:
-            value = {w: self._value(kind, x) for w, x in ids.items()}
-            to = self.maps[kind]
-            to.update((c, value[c]) for c in whole)
-            join = ",".join if kind == "decimal" else b"".join
-            to.update((c, join([value[w] for w in found])) for c, found in rest.items())
+        get = ids.__getitem__
+        self.known.update(zip(whole, map(get, whole), strict=True))
+        self.known.update(zip(rest, [b"".join(map(get, found)) for found in cut], strict=True))
 
     def _cut(self, text: str) -> list:
         if self.split_special and self.split_special.search(text):
             return [key for k, part in enumerate(self.split_special.split(text)) for key in ([(part,)] if k % 2 else CHUNK.findall(part))]
         return CHUNK.findall(text)
 
-    def encode(self, texts: list[str]) -> Iterator[list]:
-        """Each text's keys, in order; valid for `maps` until the next one is asked for."""
+    def encode(self, texts: list[str]) -> Iterator[list[bytes]]:
+        """Blocks of texts, in order; of each text the bytes of its ids as int32 values."""
         at = 0
         while at < len(texts):
             to, size = at, 0
             while to < len(texts) and (to == at or size < BLOCK_CHARS):
                 size += len(texts[to])
                 to += 1
-            block = [self._cut(t) for t in texts[at:to]]
-            if len(self.maps[self.kinds[0]]) > CACHE_CHUNKS:
-                self._forget()
-            if new := set().union(*block).difference(self.maps[self.kinds[0]]):
-                self._learn([*new])
-            yield from block
+            gc.disable()  # millions of small objects and no cycles
+            try:
+                out = self._block(texts[at:to])
+            finally:
+                gc.enable()
+            yield out
+            at = to
+
+    def _block(self, texts: list[str]) -> list[bytes]:
+        block = [self._cut(t) for t in texts]
+        if len(self.known) > CACHE_CHUNKS:
+            self.known = dict(self.special)
+        if new := set().union(*block).difference(self.known):
+            self._learn([*new])
+        get = self.known.__getitem__
+        return [b"".join(map(get, row)) for row in block]
+
+
+class Spelling:
+    """A piece of bytes for each id, to write out many ids at once."""
+
+    def __init__(self, pieces: dict[int, bytes]):
+        self.size = np.zeros(1 + max(pieces), dtype=np.int64)
+        for i, p in pieces.items():
+            self.size[i] = len(p)
+        self.first = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(pieces[i] for i in sorted(pieces)), dtype=np.uint8)
+
+    def write(self, raw: list[bytes], most: int = 1 << 20) -> Iterator[bytes]:
+        """The pieces of each id sequence, joined. About `most` ids are worked on at a time, or one sequence."""
+        at = 0
+        while at < len(raw):
+            to, tokens = at, 0
+            while to < len(raw) and (to == at or tokens + len(raw[to]) // 4 <= most):
+                tokens += len(raw[to]) // 4
+                to += 1
+            ids = np.frombuffer(b"".join(raw[at:to]), dtype=np.int32)
+            size = self.size[ids]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            out = self.data[np.arange(ends[-1]) + np.repeat(self.first[ids] - ends[:-1], size)].tobytes()
+            bounds = ends[np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw[at:to]])])].tolist()
+            yield from (out[a:b] for a, b in zip(bounds, bounds[1:]))  # noqa: B905
             at = to
 
 
-_encoders: dict[tuple, Encoder] = {}
+_workers: dict[str, tuple[Encoder, Spelling, Spelling]] = {}
 
 
-def _encoder(vocabulary: Vocabulary, lexicon: bytes, kinds: tuple[str, ...], key: str) -> Encoder:
-    if (key, kinds) not in _encoders:
-        _encoders.clear()
-        _encoders[key, kinds] = Encoder(vocabulary, lexicon, kinds)
-    return _encoders[key, kinds]
+def _worker(vocabulary: Vocabulary, lexicon: bytes, key: str) -> tuple[Encoder, Spelling, Spelling]:
+    """This process's encoder and the spellings of ids as decimals (each with a comma before it) and as text."""
+    if key not in _workers:
+        _workers.clear()
+        _workers[key] = Encoder(vocabulary, lexicon), Spelling({i: b",%d" % i for i in vocabulary.spell}), Spelling(vocabulary.spell)
+    return _workers[key]
 
 
 def count_words(docs: DataFrame, text_column: str = "text", flush: int = 400_000) -> DataFrame:
@@ -397,12 +425,22 @@ def count_words(docs: DataFrame, text_column: str = "text", flush: int = 400_000
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text", words: int = LEXICON_WORDS, longest: int = 64) -> bytes:
-    """The lexicon of the most frequent words; ties in code point order. At most `words` rows of `longest` characters reach the driver."""
-    top = count_words(docs, text_column).where(F.length("word") <= longest).orderBy(F.desc("n"), "word").limit(words)
-    return compile_lexicon(vocabulary, [r.word for r in top.select("word").collect()])
-
-
-def _encoded(docs: DataFrame, text_column: str, path: str, lexicon: bytes | None, columns: list[str], schema: str, kinds: tuple[str, ...], build) -> DataFrame:
+    """The lexicon of the most frequent words: from the top down all words of a frequency class, while they number `words` at most.
+
+    A class is one count up to 1024, and 1/64 of a power of two beyond. So no task sends the driver more than its share of the chosen words.
+    """
+    counts = durable(count_words(docs, text_column).where(F.length("word") <= longest))
+    counts = counts.withColumn("class", F.when(F.col("n") <= 1024, F.col("n")).otherwise(F.floor(F.log2(F.col("n").cast("double")) * 64) + 1024 - 640).cast("bigint"))
+    left, least = words, None
+    for row in counts.groupBy("class").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("class")).collect():  # some thousand classes
+        if row.words > left:
+            break
+        left, least = left - row.words, row["class"]
+    chosen = [] if least is None else counts.where(F.col("class") >= least).select("word").toArrow()["word"].to_pylist()
+    return compile_lexicon(vocabulary, chosen)
+
+
+def _encoded(docs: DataFrame, text_column: str, path: str, lexicon: bytes | None, columns: list[str], schema: str, build: Callable[..., list[pa.Array]]) -> DataFrame:
     vocabulary = Vocabulary.read(path)
     if lexicon is None:
         lexicon = build_lexicon(docs, vocabulary, text_column)
@@ -411,10 +449,13 @@ def _encoded(docs: DataFrame, text_column: str, path: str, lexicon: bytes | None
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(*shared.value, kinds, key)
+        encoder, decimal, decoded = _worker(*shared.value, key)
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *build(encoder, encoder.encode(texts))], names=[*columns, *names])
+            at = 0
+            for raw in encoder.encode([t or "" for t in batch.column(0).to_pylist()]):
+                part = batch.slice(at, len(raw))
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *build(raw, decimal, decoded)], names=[*columns, *names])
+                at += len(raw)
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in columns]).schema)
     return docs.select(text_column, *[F.col(f"`{c}`") for c in columns]).mapInArrow(run, f"{kept}, {schema}" if kept else schema)
@@ -428,11 +469,11 @@ def _id_lists(raw: list[bytes]) -> pa.Array:
 def encode_documents(docs: DataFrame, path: str, text_column: str = "text", columns: list[str] | None = None, lexicon: bytes | None = None) -> DataFrame:
     """`columns` (all but the text by default) and `ids`, an array of token ids. `path`: the vocabulary file."""
 
-    def build(encoder: Encoder, rows: Iterator[list]) -> list[pa.Array]:
-        return [_id_lists([b"".join(map(encoder.maps["raw"].__getitem__, row)) for row in rows])]
+    def build(raw: list[bytes], decimal: Spelling, decoded: Spelling) -> list[pa.Array]:
+        return [_id_lists(raw)]
 
     columns = [c for c in docs.columns if c != text_column] if columns is None else columns
-    return _encoded(docs, text_column, path, lexicon, columns, "ids array<int>", ("raw",), build)
+    return _encoded(docs, text_column, path, lexicon, columns, "ids array<int>", build)
 
 
 def decode_documents(encoded: DataFrame, path: str, ids_column: str = "ids", text_column: str = "text") -> DataFrame:
@@ -453,21 +494,12 @@ def decode_documents(encoded: DataFrame, path: str, ids_column: str = "ids", tex
 def encode_digests(docs: DataFrame, path: str, text_column: str = "text", columns: list[str] | None = None, lexicon: bytes | None = None, with_ids: bool = False) -> DataFrame:
     """`columns`, n_tokens, the SHA-256 of the comma-joined decimal ids and of the text decoded from them, and the ids if wanted."""
 
-    def build(encoder: Encoder, rows: Iterator[list]) -> list[pa.Array]:
-        counts, ids, texts, raw = [], [], [], []
-        for row in rows:
-            decimal, decoded = encoder.maps["decimal"], encoder.maps["decoded"]
-            text = ",".join(map(decimal.__getitem__, row))
-            counts.append(text.count(",") + 1 if text else 0)
-            ids.append(hashlib.sha256(text.encode()).hexdigest())
-            texts.append(hashlib.sha256(b"".join(map(decoded.__getitem__, row)).decode("utf-8", "replace").encode()).hexdigest())
-            if with_ids:
-                raw.append(b"".join(map(encoder.maps["raw"].__getitem__, row)))
-        out = [pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
-        if with_ids:
-            out.append(_id_lists(raw))
-        return out
+    def build(raw: list[bytes], decimal: Spelling, decoded: Spelling) -> list[pa.Array]:
+        ids = [hashlib.sha256(x[1:]).hexdigest() for x in decimal.write(raw)]
+        texts = [hashlib.sha256(x.decode("utf-8", "replace").encode()).hexdigest() for x in decoded.write(raw)]
+        out = [pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
+        return [*out, _id_lists(raw)] if with_ids else out
 
     columns = [c for c in docs.columns if c != text_column] if columns is None else columns
     schema = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return _encoded(docs, text_column, path, lexicon, columns, schema, ("decimal", "decoded", *["raw"] * with_ids), build)
+    return _encoded(docs, text_column, path, lexicon, columns, schema, build)
