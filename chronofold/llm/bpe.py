@@ -39,13 +39,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, frugal
 
 #: Words compiled into the lexicon at most.
 LEXICON_WORDS = 1 << 17
-#: Chunks that a worker remembers before it starts anew.
+#: Chunks that a worker remembers, within a task, before it starts anew.
 CACHE_CHUNKS = 400_000
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 NEVER = 1 << 30
 
 #: Fixed value: the byte-level vocabulary's way to cut texts into words.
@@ -306,6 +306,9 @@ class Encoder:
         self.bounds, self.ids = np.concatenate([[0], x["ends"]]) * 4, x["ids"].view(np.uint8).data
         self.special = {(s,): array("i", [i]).tobytes() for s, i in vocabulary.special.items()}
         self.split_special = re.compile("(" + "|".join(re.escape(s) for s in sorted(vocabulary.special, key=len, reverse=True)) + ")") if vocabulary.special else None
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict = dict(self.special)
 
     def word_ids(self, words: list[str]) -> list[bytes]:
@@ -354,7 +357,7 @@ class Encoder:
     def _block(self, texts: list[str]) -> list[bytes]:
         block = [self._cut(t) for t in texts]
         if len(self.known) > CACHE_CHUNKS:
-            self.known = dict(self.special)
+            self.forget()
         if new := set().union(*block).difference(self.known):
             self._learn([*new])
         get = self.known.__getitem__
@@ -421,7 +424,7 @@ def count_words(docs: DataFrame, text_column: str = "text", flush: int = 400_000
         if chunks:
             yield words_of(chunks)
 
-    return docs.select(text_column).mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(text_column).mapInArrow(frugal(count), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text", words: int = LEXICON_WORDS, longest: int = 64) -> bytes:
@@ -450,15 +453,17 @@ def _encoded(docs: DataFrame, text_column: str, path: str, lexicon: bytes | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decimal, decoded = _worker(*shared.value, key)
+        encoder.forget()
         for batch in batches:
             at = 0
             for raw in encoder.encode([t or "" for t in batch.column(0).to_pylist()]):
                 part = batch.slice(at, len(raw))
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], *build(raw, decimal, decoded)], names=[*columns, *names])
                 at += len(raw)
+        encoder.forget()
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in columns]).schema)
-    return docs.select(text_column, *[F.col(f"`{c}`") for c in columns]).mapInArrow(run, f"{kept}, {schema}" if kept else schema)
+    return docs.select(text_column, *[F.col(f"`{c}`") for c in columns]).mapInArrow(frugal(run), f"{kept}, {schema}" if kept else schema)
 
 
 def _id_lists(raw: list[bytes]) -> pa.Array:
@@ -488,7 +493,7 @@ def decode_documents(encoded: DataFrame, path: str, ids_column: str = "ids", tex
             texts = [b"".join([spell[i] for i in ids]).decode("utf-8", "replace") if ids is not None else "" for ids in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], names=[*rest, text_column])
 
-    return encoded.select(ids_column, *rest).mapInArrow(run, f"{kept + ', ' if kept else ''}`{text_column}` string")
+    return encoded.select(ids_column, *rest).mapInArrow(frugal(run), f"{kept + ', ' if kept else ''}`{text_column}` string")
 
 
 def encode_digests(docs: DataFrame, path: str, text_column: str = "text", columns: list[str] | None = None, lexicon: bytes | None = None, with_ids: bool = False) -> DataFrame:

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, frugal
 from .components import connected_components
 from .textvec import WORD_NOT_SPACE, find_words, mix64, shingle_sets, text_slices, word_hashes
 
@@ -113,7 +113,7 @@ def sketch(docs: DataFrame, text_column: str, k: int, bits: int = SKETCH_BITS, t
         yield pa.RecordBatch.from_arrays([pa.array(ranks.keys(), pa.int32()), pa.array([pa.compress(r.tobytes(), codec="zstd", asbytes=True) for r in ranks.values()], pa.binary())], names=["chunk", "counts"])
 
     schema = "chunk int, counts binary"
-    rows = docs.select(text_column).mapInArrow(count, schema).repartition(chunks, "chunk").mapInArrow(add, schema).collect()  # 2**bits bytes at most
+    rows = docs.select(text_column).mapInArrow(frugal(count), schema).repartition(chunks, "chunk").mapInArrow(frugal(add), schema).collect()  # 2**bits bytes at most
     out = np.zeros(1 << bits, dtype=np.uint8)
     for r in rows:
         out[r.chunk * chunk : (r.chunk + 1) * chunk] = np.frombuffer(pa.decompress(r.counts, chunk, codec="zstd", asbytes=True), dtype=np.uint8)
@@ -145,7 +145,7 @@ def prefixes(docs: DataFrame, id_column: str, text_column: str, ranks: np.ndarra
                 )
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(text_column, id_column).mapInArrow(cut, f"id {kind}, n bigint, set bigint, prefix array<bigint>")
+    return docs.select(text_column, id_column).mapInArrow(frugal(cut), f"id {kind}, n bigint, set bigint, prefix array<bigint>")
 
 
 def candidate_edges(sets: DataFrame, block: int = 3_000_000) -> DataFrame:
@@ -195,8 +195,8 @@ def candidate_edges(sets: DataFrame, block: int = 3_000_000) -> DataFrame:
             u, v = np.concatenate(u), np.concatenate(v)
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
-    made = sets.select("set", "prefix").mapInArrow(postings, "kind tinyint, a bigint, b bigint")
-    return made.repartition("a").sortWithinPartitions("kind", "a", "b").mapInArrow(link, "u bigint, v bigint").where("u != v").distinct()
+    made = sets.select("set", "prefix").mapInArrow(frugal(postings), "kind tinyint, a bigint, b bigint")
+    return made.repartition("a").sortWithinPartitions("kind", "a", "b").mapInArrow(frugal(link), "u bigint, v bigint").where("u != v").distinct()
 
 
 class Index:
@@ -307,7 +307,7 @@ def _bucketed_sets(docs: DataFrame, id_column: str, text_column: str, members: D
                         b, f, s = zip(*out, strict=True)
                         yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(f, pa.int64()), pa.array(s, pa.list_(pa.int64()))], names=["bucket", "set", "shingles"])
 
-        return docs.select(text_column, F.xxhash64(id_column)).mapInArrow(pick, "bucket bigint, set bigint, shingles array<bigint>")
+        return docs.select(text_column, F.xxhash64(id_column)).mapInArrow(frugal(pick), "bucket bigint, set bigint, shingles array<bigint>")
     joined = docs.select(F.col(text_column).alias("text"), F.xxhash64(id_column).alias("id")).join(members.select("set", "bucket", F.xxhash64("id").alias("id")), "id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,7 +319,7 @@ def _bucketed_sets(docs: DataFrame, id_column: str, text_column: str, members: D
                     b, f, s = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(b, pa.int64()), pa.array(f, pa.int64()), pa.array(s, pa.list_(pa.int64()))], names=["bucket", "set", "shingles"])
 
-    return joined.select("text", "set", "bucket").mapInArrow(cut, "bucket bigint, set bigint, shingles array<bigint>")
+    return joined.select("text", "set", "bucket").mapInArrow(frugal(cut), "bucket bigint, set bigint, shingles array<bigint>")
 
 
 def _refined(docs: DataFrame, id_column: str, text_column: str, members: DataFrame, k: int, percent: int, bucket_sets: int, broadcast_sets: int, bits: int) -> DataFrame:
