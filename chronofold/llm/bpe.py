@@ -39,12 +39,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, frugal
+from .common import durable, frugal, small_batches
 
 #: Words compiled into the lexicon at most.
 LEXICON_WORDS = 1 << 17
 #: Chunks that a worker remembers, within a task, before it starts anew.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 250_000
 BLOCK_CHARS = 2_000_000
 NEVER = 1 << 30
 
@@ -402,7 +402,7 @@ def _worker(vocabulary: Vocabulary, lexicon: bytes, key: str) -> tuple[Encoder,
     return _workers[key]
 
 
-def count_words(docs: DataFrame, text_column: str = "text", flush: int = 400_000) -> DataFrame:
+def count_words(docs: DataFrame, text_column: str = "text", flush: int = 300_000) -> DataFrame:
     """(word, n) over all documents. Each task sums before the shuffle, in bounded memory."""
 
     def words_of(chunks: Counter) -> pa.RecordBatch:
@@ -424,7 +424,7 @@ def count_words(docs: DataFrame, text_column: str = "text", flush: int = 400_000
         if chunks:
             yield words_of(chunks)
 
-    return docs.select(text_column).mapInArrow(frugal(count), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return small_batches(docs).select(text_column).mapInArrow(frugal(count), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text", words: int = LEXICON_WORDS, longest: int = 64) -> bytes:
@@ -463,7 +463,7 @@ def _encoded(docs: DataFrame, text_column: str, path: str, lexicon: bytes | None
         encoder.forget()
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in columns]).schema)
-    return docs.select(text_column, *[F.col(f"`{c}`") for c in columns]).mapInArrow(frugal(run), f"{kept}, {schema}" if kept else schema)
+    return small_batches(docs).select(text_column, *[F.col(f"`{c}`") for c in columns]).mapInArrow(frugal(run), f"{kept}, {schema}" if kept else schema)
 
 
 def _id_lists(raw: list[bytes]) -> pa.Array:

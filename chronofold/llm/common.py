@@ -38,6 +38,19 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+#: Rows of an Arrow batch, where the session sets none: Spark's own 10,000 whole texts take much memory on both sides.
+ARROW_ROWS = 2000
+ARROW_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The table, with its session set to small Arrow batches unless it has a number of its own."""
+    conf = df.sparkSession.conf
+    if conf.get(ARROW_ROWS_KEY, None) is None:
+        conf.set(ARROW_ROWS_KEY, str(ARROW_ROWS))
+    return df
+
+
 Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 

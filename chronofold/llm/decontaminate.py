@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import frugal
+from .common import frugal, small_batches
 from .textvec import WORD_ALNUM, TextSlice, find_words, text_slices, word_hashes
 
 WINDOW = 10
@@ -215,9 +215,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
     found_columns = "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, longest_match bigint, match_item string, match_at bigint"
     position = docs.columns.index(text_column)
     if keep:
-        return docs.mapInArrow(frugal(clean), docs.schema)
+        return small_batches(docs).mapInArrow(frugal(clean), docs.schema)
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(text_column, id_column).mapInArrow(frugal(report), f"`{id_column}` {kind}, {found_columns}")
+    return small_batches(docs).select(text_column, id_column).mapInArrow(frugal(report), f"`{id_column}` {kind}, {found_columns}")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", window: int = WINDOW) -> DataFrame:

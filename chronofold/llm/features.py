@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, frugal, text_or_empty
+from .common import fold, frugal, small_batches, text_or_empty
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, rows: int, id_column: str = "doc_id", text_column: str = "text") -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -41,7 +41,7 @@ def score_all(docs: DataFrame, scorer: Callable[[pa.Array], np.ndarray], folds:
 
     kind = docs.schema[id_column].dataType.simpleString()
     held_out = F.coalesce(fold(id_column, folds) == held, F.lit(True)).alias("held_out")
-    return docs.select(F.col(text_column), F.col(id_column), held_out).mapInArrow(frugal(run), f"`{id_column}` {kind}, held_out boolean, score double, predicted int")
+    return small_batches(docs).select(F.col(text_column), F.col(id_column), held_out).mapInArrow(frugal(run), f"`{id_column}` {kind}, held_out boolean, score double, predicted int")
 
 
 def keep_scored(docs: DataFrame, scorer: Callable[[pa.Array], np.ndarray], threshold: float, text_column: str = "text") -> DataFrame:
@@ -53,4 +53,4 @@ def keep_scored(docs: DataFrame, scorer: Callable[[pa.Array], np.ndarray], thres
         for batch in batches:
             yield batch.filter(pa.array(shared.value(batch.column(position)) >= threshold))
 
-    return docs.mapInArrow(frugal(run), docs.schema)
+    return small_batches(docs).mapInArrow(frugal(run), docs.schema)

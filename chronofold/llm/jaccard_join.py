@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, frugal
+from .common import durable, frugal, small_batches
 from .components import connected_components
 from .textvec import WORD_NOT_SPACE, find_words, mix64, shingle_sets, text_slices, word_hashes
 
@@ -425,6 +425,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """One row per document: id, n_shingles, component_id (the smallest id that links reach)."""
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50 and at most 100")
+    docs = small_batches(docs)
     own = durable(prefixes(docs, id_column, text_column, sketch(docs, text_column, k, sketch_bits), k, percent))
     ids = durable(own.where("n > 0").groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n")))
     buckets = connected_components(candidate_edges(own.where("n > 0")))
