@@ -39,7 +39,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, frugal, small_batches
+from .common import durable, frugal, give_back, small_batches
 
 #: Words compiled into the lexicon at most.
 LEXICON_WORDS = 1 << 17
@@ -440,7 +440,10 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "t
             break
         left, least = left - row.words, row["class"]
     chosen = [] if least is None else counts.where(F.col("class") >= least).select("word").toArrow()["word"].to_pylist()
-    return compile_lexicon(vocabulary, chosen)
+    lexicon = compile_lexicon(vocabulary, chosen)
+    del chosen
+    give_back()
+    return lexicon
 
 
 def _encoded(docs: DataFrame, text_column: str, path: str, lexicon: bytes | None, columns: list[str], schema: str, build: Callable[..., list[pa.Array]]) -> DataFrame:

@@ -26,7 +26,9 @@ def shared_folder(spark: SparkSession) -> str:
 def durable(df: DataFrame) -> DataFrame:
     """The rows written once into the shared folder, with no lineage left to recompute."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    give_back()  # what the driver's own steps left
+    return out
 
 
 def fold(id_column: str, folds: int) -> Column:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, frugal, small_batches, text_or_empty
+from .common import fold, frugal, give_back, small_batches, text_or_empty
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, rows: int, id_column: str = "doc_id", text_column: str = "text") -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -32,6 +32,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
 
 def score_all(docs: DataFrame, scorer: Callable[[pa.Array], np.ndarray], folds: int, held: int, threshold: float, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, held_out, score, predicted. scorer: a column of texts -> scores from 0 to 1."""
+    give_back()  # what fitting left
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,6 +47,7 @@ def score_all(docs: DataFrame, scorer: Callable[[pa.Array], np.ndarray], folds:
 
 def keep_scored(docs: DataFrame, scorer: Callable[[pa.Array], np.ndarray], threshold: float, text_column: str = "text") -> DataFrame:
     """The documents that score at least `threshold`, all columns."""
+    give_back()  # what fitting left
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
     position = docs.columns.index(text_column)
 
