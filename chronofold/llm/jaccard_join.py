@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, frugal, small_batches
+from .common import durable, frugal, give_back, small_batches
 from .components import connected_components
 from .textvec import WORD_NOT_SPACE, find_words, mix64, shingle_sets, text_slices, word_hashes
 
@@ -427,10 +427,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         raise ValueError("percent must be over 50 and at most 100")
     docs = small_batches(docs)
     own = durable(prefixes(docs, id_column, text_column, sketch(docs, text_column, k, sketch_bits), k, percent))
+    give_back()  # the driver's copies of the sketch; again after the larger ones
     ids = durable(own.where("n > 0").groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n")))
     buckets = connected_components(candidate_edges(own.where("n > 0")))
     members = durable(ids.join(buckets.withColumnRenamed("node", "set").withColumnRenamed("component", "bucket"), "set")).select("set", "id", "n", "bucket")
     members = _refined(docs, id_column, text_column, members, k, percent, bucket_sets, broadcast_sets, REFINE_BITS)
+    give_back()
     large = durable(members.groupBy("bucket").count().where(F.col("count") > bucket_sets).select("bucket", F.lit(True).alias("large")))
     edges = None
     if not large.isEmpty():  # at most (sets / bucket_sets) rows
