@@ -6,11 +6,16 @@ as one class with equal shares. Its contexts have variable length, up to
 `depth` symbols: a context of three symbols or more stays only if it was seen
 often enough and its next-symbol distribution diverges from that of the
 context one symbol shorter - n times their Kullback-Leibler divergence above a
-cutoff - or if a longer one of its extensions stays. If more than `max_states`
-stay, those of the largest divergence do (the tree's documented size bound;
-it makes the broadcast bounded). Distributions are smoothed towards the next
-shorter context. Each symbol is scored in the longest suffix of its past that
-is a state.
+cutoff - or if a longer one of its extensions stays. Distributions are smoothed
+towards the next shorter context. Each symbol is scored in the longest suffix
+of its past that is a state.
+
+All contexts that stay are used. The `max_states` seen most often (and all of
+two symbols) are a dense table that every task walks, with the extensions that
+they have beyond it. All of them are also broadcast in compressed blocks of
+bounded size, by their latest two symbols: where a symbol's past goes on into
+an extension beyond the dense table, it is looked up in its block, and tasks
+open one block after the other. So scores don't depend on `max_states`.
 
 A word's probability mixes its relative frequency with its spelling's
 probability in the tree, which goes on from the words before it. Both are
@@ -37,11 +42,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, fold
+from .common import durable, fold, frugal, small_batches
 from .textvec import END, WORD_NOT_SPACE, TextSlice, Words, find_words, text_slices, word_hashes
 
 DEPTH = 6
-MAX_STATES = 1 << 16
+MAX_STATES = 1 << 16  # in the dense table; the others are looked up
+#: Compressed bytes of a block of contexts; counts in opened blocks that a task keeps; slices of text that it works on at a time.
+BLOCK_BYTES, OPEN_COUNTS, SLICES = 2 << 20, 2_000_000, 4
 LOOKUP_WORDS = 1 << 19
 MIN_COUNT = 4
 CUTOFF = 4.0
@@ -57,6 +64,28 @@ def packed(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(bucket, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)], names=["kind", "bucket", "a", "b", "c"])
 
 
+def squeezed(*arrays: np.ndarray) -> bytes:
+    """Arrays in one blob, compressed byte plane by byte plane: high bytes are mostly zero."""
+    out = []
+    for x in arrays:
+        planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes()
+        blob = pa.compress(planes, codec="zstd", asbytes=True)
+        out += [np.array([len(planes), len(blob)], dtype=np.int64).tobytes(), x.dtype.str.encode().ljust(8), blob]
+    return b"".join(out)
+
+
+def opened(blob: bytes) -> list[np.ndarray]:
+    """The arrays of squeezed()."""
+    out, at = [], 0
+    while at < len(blob):
+        size, packed_size = np.frombuffer(blob, dtype=np.int64, count=2, offset=at).tolist()
+        kind = np.dtype(blob[at + 16 : at + 24].decode().strip())
+        at += 24 + packed_size
+        planes = np.frombuffer(pa.decompress(blob[at - packed_size : at], size, codec="zstd", asbytes=True), dtype=np.uint8)
+        out.append(np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).reshape(-1))
+    return out
+
+
 def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sums counts of equal keys; sorted by key."""
     k, c = np.concatenate(keys), np.concatenate(counts)
@@ -163,24 +192,22 @@ def classes_of(bytes_seen: np.ndarray) -> np.ndarray:
     return out
 
 
-def context_codes(classes: np.ndarray, depth: int) -> np.ndarray:
-    """Of each position: its past, the latest symbol in the highest bits, then the symbol itself in the lowest six."""
-    n = len(classes)
-    code, alive = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
+def context_codes(classes: np.ndarray, depth: int, at: np.ndarray | None = None) -> np.ndarray:
+    """Of each position (or those in `at`): its past, the latest symbol in the highest bits, then the symbol itself in the lowest six."""
+    at = np.arange(len(classes)) if at is None else at
+    code, alive = np.zeros(len(at), dtype=np.int64), np.ones(len(at), dtype=bool)
     for k in range(1, depth + 1):
-        past = np.zeros(n, dtype=np.int64)
-        past[k:] = classes[: max(0, n - k)]
-        if k <= n:
-            past[k - 1] = STOP  # what precedes the first document
+        past = np.where(at >= k, classes[np.maximum(at - k, 0)], PAD)
+        past[at == k - 1] = STOP  # what precedes the first document
         past[~alive] = PAD
         alive &= past != STOP
         code |= past << (6 * (depth - k + 1))
-    return code | classes
+    return code | classes[at]
 
 
 @dataclass
 class Tree:
-    """child[state, symbol]: the state one symbol further back, or 0. log10[state, symbol]."""
+    """child[state, symbol]: the state one symbol further back, 0 if there is none, -1 if it is in a block only. log10[state, symbol]."""
 
     classes: np.ndarray
     child: np.ndarray
@@ -188,8 +215,12 @@ class Tree:
     depth: int
 
     def score(self, data: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol in its longest suffix state; the documents follow one another."""
-        symbol = self.classes[data]
+        """log10 probability of each symbol in its longest suffix state here; the documents follow one another."""
+        return self.walk(self.classes[data])[0]
+
+    def walk(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(score() of the symbols, the positions whose longest suffix state is in a block only)."""
+        beyond = [np.zeros(0, dtype=np.int64)]
         state = np.zeros(len(symbol), dtype=np.int32)
         at = np.arange(len(symbol))
         flat = self.child.reshape(-1)
@@ -201,14 +232,19 @@ class Tree:
             if k > 1:
                 past[back == -1] = STOP
             now = flat[now.astype(np.int64) * CLASSES + past]
+            beyond.append(at[now < 0])
             live = now > 0
+            state[at[live]] = now[live]
+            live &= past != STOP  # nothing before its document counts, wherever the document stands
             at, now = at[live], now[live]
-            state[at] = now
-        return self.log10.reshape(-1)[state.astype(np.int64) * CLASSES + symbol]
+        return self.log10.reshape(-1)[state.astype(np.int64) * CLASSES + symbol], np.sort(np.concatenate(beyond))
 
 
-def tree_nodes(codes: np.ndarray, counts: np.ndarray, depth: int, min_count: int, cutoff: float) -> Iterator[tuple[int, int, float, np.ndarray]]:
-    """(context, length, divergence, next symbols' counts) of the contexts that stay, out of all counts below some contexts of two symbols."""
+Levels = list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def kept_levels(codes: np.ndarray, counts: np.ndarray, depth: int, min_count: int, cutoff: float) -> Levels:
+    """Of length 2, 3 ... `depth`: (context and next symbol, count, the context's divergence) of the contexts that stay, out of all counts below some contexts of two symbols."""
     levels = []
     for k in range(depth, 1, -1):
         context, symbol = codes >> (6 * (depth - k + 1)), codes & 63
@@ -236,12 +272,107 @@ def tree_nodes(codes: np.ndarray, counts: np.ndarray, depth: int, min_count: int
         context, first, up = levels[j][3], levels[j][4], levels[j - 1]
         at = np.searchsorted(up[3][up[4]], context[first] >> 6)
         np.maximum.at(gains[j - 1], at, gains[j])
-    for (k, codes_k, counts_k, context, first, _, _), gain in zip(levels, gains, strict=True):
+    out = []
+    for (_, codes_k, counts_k, _, _, group, _), gain in zip(levels, gains, strict=True):
+        own = gain[group]
+        out.append((codes_k[own > 0], counts_k[own > 0], own[own > 0]))
+    return out
+
+
+def tree_nodes(codes: np.ndarray, counts: np.ndarray, depth: int, min_count: int, cutoff: float) -> Iterator[tuple[int, int, float, np.ndarray]]:
+    """(context, length, divergence, next symbols' counts) of the contexts that stay."""
+    for k, (codes_k, counts_k, gain) in enumerate(kept_levels(codes, counts, depth, min_count, cutoff), 2):
+        contexts, first, _, _ = by_context(codes_k, counts_k)
         ends = np.append(first[1:], len(codes_k))
-        for g in np.flatnonzero(gain > 0).tolist():
+        for g, context in enumerate(contexts.tolist()):
             row = np.zeros(CLASSES, dtype=np.uint32)
             row[codes_k[first[g] : ends[g]] & 63] = np.minimum(counts_k[first[g] : ends[g]], 0xFFFFFFFF)
-            yield int(context[first[g]]), k, float(gain[g]), row
+            yield context, k, float(gain[first[g]]), row
+
+
+def by_context(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted codes: the contexts, where each one begins, its count, its kinds of next symbols."""
+    context = codes >> 6
+    first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(codes) else np.zeros(0, dtype=np.int64)
+    return context[first], first, np.add.reduceat(counts, first) if len(first) else counts, np.diff(np.append(first, len(codes)))
+
+
+@dataclass
+class Block:
+    """Contexts that end in some pairs of symbols, for lookups."""
+
+    levels: list[tuple[np.ndarray, ...]]  # of length 3, 4 ...: codes, counts, contexts, their counts, their kinds
+
+    @classmethod
+    def of(cls, groups: list[list[np.ndarray]], depth: int) -> Block:
+        """groups: the codes and counts of length 2, 3 ... of contexts with the same latest two symbols."""
+        levels = []
+        for k in range(3, depth + 1):
+            codes, counts = (np.concatenate([np.zeros(0, dtype=np.int64), *(g[2 * (k - 2) + j] for g in groups)]) for j in (0, 1))
+            order = np.argsort(codes, kind="stable")
+            codes, counts = codes[order], counts[order]
+            contexts, _, total, kinds = by_context(codes, counts)
+            levels.append((codes, counts, contexts, total, kinds))
+        return cls(levels)
+
+    def score(self, codes: np.ndarray, tree: Tree) -> np.ndarray:
+        """log10 probability of each code's symbol in the longest suffix of its past that stays."""
+        depth, symbol = tree.depth, codes & 63
+        state = tree.child[tree.child[0, codes >> (6 * depth)], (codes >> (6 * (depth - 1))) & 63]  # those of two symbols are all there
+        p = 10.0 ** tree.log10[state, symbol].astype(np.float64)
+        members = np.where(symbol == OTHER, max(1, (tree.classes == OTHER).sum()), 1)
+        live = np.arange(len(codes))
+        for k, (own, counts, contexts, total, kinds) in enumerate(self.levels, 3):
+            if not len(contexts):
+                break
+            wanted = codes[live] >> (6 * (depth - k + 1))
+            at = np.minimum(np.searchsorted(contexts, wanted), len(contexts) - 1)
+            hit = contexts[at] == wanted
+            live, at = live[hit], at[hit]
+            wanted = (contexts[at] << 6) | symbol[live]
+            i = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
+            x = np.where(own[i] == wanted, counts[i], 0) / members[live]
+            p[live] = (x + kinds[at] * p[live]) / (total[at] + kinds[at])
+        return np.log10(p)
+
+    def __len__(self) -> int:
+        return sum(len(x[0]) for x in self.levels)
+
+
+class Blocks:
+    """All contexts in broadcast blocks."""
+
+    def __init__(self, contexts: DataFrame, depth: int):
+        sc = contexts.sparkSession.sparkContext
+        self.block_of = np.zeros(CLASSES**2, dtype=np.int64)  # by the latest two symbols
+        self.shared, self.depth = [], depth
+        held: list[bytes] = []
+        for r in contexts.select("bucket", "a").coalesce(16).toLocalIterator():
+            held.append(r.a)
+            self.block_of[r.bucket] = len(self.shared)
+            if sum(map(len, held)) >= BLOCK_BYTES:
+                self.shared.append(sc.broadcast(held))
+                held = []
+        if held:
+            self.shared.append(sc.broadcast(held))
+
+    def score(self, codes: np.ndarray, tree: Tree, kept: dict[int, Block]) -> np.ndarray:
+        """Block.score() of each code; kept: opened blocks that the task keeps."""
+        bits = 6 * (self.depth + 1)
+        key = (self.block_of[codes >> (6 * (self.depth - 1))] << bits) | codes
+        order = np.argsort(key)
+        block = key[order] >> bits
+        edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) if len(codes) else []
+        out = np.zeros(len(codes))
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            k = int(block[a])
+            own = kept.get(k)
+            if own is None:
+                own = Block.of([opened(x) for x in self.shared[k].value], self.depth)
+                if sum(map(len, kept.values())) + len(own) <= OPEN_COUNTS:
+                    kept[k] = own
+            out[order[a:b]] = own.score(codes[order[a:b]], tree)
+        return out
 
 
 def _sparse(row: np.ndarray) -> bytes:
@@ -257,8 +388,8 @@ def _dense(blob: bytes) -> np.ndarray:
     return out
 
 
-def ngram_nodes(docs: DataFrame, text_column: str, train: Column, classes: np.ndarray, depth: int, min_count: int, cutoff: float, buckets: int = BUCKETS) -> DataFrame:
-    """The contexts that pass the divergence test, over all training documents."""
+def tree_table(docs: DataFrame, text_column: str, train: Column, classes: np.ndarray, depth: int, min_count: int, cutoff: float, buckets: int = BUCKETS) -> DataFrame:
+    """Packed rows (latest two symbols; codes and counts of length 2, 3 ...) of the contexts that pass the divergence test, over all training documents: a row for each two latest symbols."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = Sum(np.int64)
@@ -271,39 +402,72 @@ def ngram_nodes(docs: DataFrame, text_column: str, train: Column, classes: np.nd
                 if total.full():
                     yield packed([*rows(*total.get())])
                     total.clear()
-        yield packed([*rows(*total.get())] or [(0, 0, b"", b"", None)])
+        yield packed([*rows(*total.get())] or [(0, 0, b"", None, None)])
 
     def rows(keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
-        return _spread(keys, counts, keys >> (6 * (depth - 1)))  # the latest two symbols
+        group = keys >> (6 * (depth - 1))  # the latest two symbols
+        edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])) if len(keys) else []
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            yield 0, int(group[a]), squeezed(np.diff(keys[a:b], prepend=np.int64(0)), counts[a:b]), None, None
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, last = Sum(np.int64), None
         for batch in batches:
-            for bucket, a, b in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            for bucket, a in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if bucket != last and last is not None:
                     yield from nodes(total)
                     total.clear()
                 last = bucket
-                total.add(*_opened(a, b, np.int64))
+                if a:
+                    keys, counts = opened(a)
+                    total.add(np.cumsum(keys), counts)
                 if total.size > 4 * total.limit:
                     total.get()
         if last is not None:
             yield from nodes(total)
 
     def nodes(total: Sum) -> Iterator[pa.RecordBatch]:
-        found = list(tree_nodes(*total.get(), depth, min_count, cutoff))
-        if found:
-            context, length, gain, row = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(context, pa.int64()), pa.array(length, pa.int32()), pa.array(gain, pa.float64()), pa.array([_sparse(r) for r in row], pa.binary())], names=["context", "length", "gain", "next"])
+        codes, counts = total.get()
+        if len(codes):
+            levels = kept_levels(codes, counts, depth, min_count, cutoff)
+            yield packed([(0, int(codes[0] >> (6 * (depth - 1))), squeezed(*(x for level in levels for x in level[:2])), None, None)])
 
-    counted = docs.where(F.coalesce(train, F.lit(False))).select(text_column).mapInArrow(count, PACKED)
+    counted = docs.where(F.coalesce(train, F.lit(False))).select(text_column).mapInArrow(frugal(count), PACKED)
     # the contexts that end in the same two symbols are worked on together, one such group at a time
-    return counted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(reduce, "context bigint, length int, gain double, next binary")
+    return counted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(frugal(reduce), PACKED)
+
 
+def usual_nodes(table: DataFrame, most: int) -> list[tuple[int, int, bytes, bytes]]:
+    """(context, length, counts, symbols that lead on to longer contexts) of all contexts of two symbols and of the most frequent longer ones, `most` in all."""
 
-def build_tree(nodes: list[tuple[int, int, bytes]], classes: np.ndarray, depth: int) -> Tree:
-    """nodes: (context, length, counts), with every suffix of length 2 or more. Shorter contexts are summed from those of two symbols."""
-    rows = {(n, c): _dense(x) for c, n, x in nodes}
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(2).to_pylist():
+                arrays = opened(blob)
+                levels = [(codes, counts, *by_context(codes, counts)) for codes, counts in zip(arrays[::2], arrays[1::2], strict=True)]
+                # no other context can be among the most frequent ones
+                seen = np.concatenate([x[4] for x in levels[1:]] or [np.zeros(0, dtype=np.int64)])
+                least = np.partition(seen, len(seen) - most)[len(seen) - most] if len(seen) > most else 0
+                for k, (codes, counts, contexts, first, total, kinds) in enumerate(levels, 2):
+                    longer = levels[k - 1][2] if k - 1 < len(levels) else contexts[:0]
+                    edge = np.searchsorted(longer, contexts << 6), np.searchsorted(longer, (contexts + 1) << 6)
+                    own = np.flatnonzero((total >= least) | (k == 2)).tolist()
+                    if own:
+                        more = [(longer[edge[0][g] : edge[1][g]] & 63).astype(np.uint8).tobytes() for g in own]
+                        # the symbols that occur, then their counts
+                        blobs = [(codes[first[g] : first[g] + kinds[g]] & 63).astype(np.uint8).tobytes() + np.minimum(counts[first[g] : first[g] + kinds[g]], 0xFFFFFFFF).astype(np.uint32).tobytes() for g in own]
+                        yield pa.RecordBatch.from_arrays([pa.array(contexts[own]), pa.array([k] * len(own), pa.int32()), pa.array(total[own], pa.int64()), pa.array(blobs, pa.binary()), pa.array(more, pa.binary())], names=["context", "length", "seen", "next", "more"])
+
+    rows = table.select("kind", "bucket", "a").mapInArrow(listed, "context bigint, length int, seen bigint, next binary, more binary")
+    # a context is seen at least as often as its extensions: those that lead to a chosen one are chosen too
+    pairs = rows.where("length = 2").collect()  # CLASSES ** 2 at most
+    best = rows.where("length > 2").orderBy(F.desc("seen"), "length", "context").limit(max(0, most - len(pairs))).collect()
+    return [(r.context, r.length, r.next, r.more) for r in [*pairs, *best]]
+
+
+def build_tree(nodes: list[tuple], classes: np.ndarray, depth: int) -> Tree:
+    """nodes: (context, length, counts, symbols that lead on if they are known), with every suffix of length 2 or more. Shorter contexts are summed from those of two symbols."""
+    rows = {(n, c): _dense(x) for c, n, x, *_ in nodes}
     for n in (1, 0):
         for (m, c), x in [(k, v) for k, v in rows.items() if k[0] == n + 1]:
             at = (n, c >> 6)
@@ -312,6 +476,9 @@ def build_tree(nodes: list[tuple[int, int, bytes]], classes: np.ndarray, depth:
     order = sorted(rows, key=lambda k: (k[0], k[1]))
     index = {k: i for i, k in enumerate(order)}
     child = np.zeros((len(order), CLASSES), dtype=np.int32)
+    for c, n, _, *more in nodes:
+        for symbols_on in more:
+            child[index[n, c], np.frombuffer(symbols_on, dtype=np.uint8)] = -1  # unless it is found below
     prob = np.zeros((len(order), CLASSES), dtype=np.float32)
     uniform = np.full(CLASSES, 1 / (CLASSES - 1))
     uniform[PAD] = 0
@@ -348,8 +515,8 @@ class Model:
         return np.logaddexp(np.log(np.maximum(count * (1 - self.share) / self.tokens, 1e-300)), np.log(self.share) + spelling * np.log(10)) / np.log(10)
 
 
-def fit(docs: DataFrame, text_column: str, train: Column, depth: int = DEPTH, max_states: int = MAX_STATES, min_count: int = MIN_COUNT, cutoff: float = CUTOFF) -> tuple[Model, DataFrame]:
-    """The model, and the packed table of all words' counts."""
+def fit(docs: DataFrame, text_column: str, train: Column, depth: int = DEPTH, max_states: int = MAX_STATES, min_count: int = MIN_COUNT, cutoff: float = CUTOFF) -> tuple[Model, DataFrame, Blocks]:
+    """The model, the packed table of all words' counts, and all of the tree's contexts."""
     table = durable(word_table(docs, text_column, train))
     seen = table.where("kind = 1").select("a", "b").collect()
     bytes_seen = sum((np.frombuffer(r.a, dtype=np.int64) for r in seen), np.zeros(256, dtype=np.int64))
@@ -358,10 +525,9 @@ def fit(docs: DataFrame, text_column: str, train: Column, depth: int = DEPTH, ma
     totals = sum((np.frombuffer(r.c, dtype=np.int64) for r in top), np.zeros(2, dtype=np.int64))
     words, counts = merged([np.frombuffer(r.a, dtype=np.uint64) for r in top] or [np.zeros(0, dtype=np.uint64)], [np.frombuffer(r.b, dtype=np.int64) for r in top] or [np.zeros(0, dtype=np.int64)])
     classes = classes_of(bytes_seen)
-    nodes = ngram_nodes(docs, text_column, train, classes, depth, min_count, cutoff)
-    best = nodes.orderBy(F.desc("gain"), "length", "context").limit(max_states).select("context", "length", "next").collect()
-    tree = build_tree([(r.context, r.length, r.next) for r in best], classes, depth)
-    return Model(tree, words, counts, documents, int(totals[0]) + documents, int(totals[1]) + (documents > 0), len(words) == int(totals[1])), table.where("kind = 0")
+    contexts = durable(tree_table(docs, text_column, train, classes, depth, min_count, cutoff))
+    tree = build_tree(usual_nodes(contexts, max_states), classes, depth)
+    return Model(tree, words, counts, documents, int(totals[0]) + documents, int(totals[1]) + (documents > 0), len(words) == int(totals[1])), table.where("kind = 0"), Blocks(contexts, depth)
 
 
 SCORED = "kind int, bucket int, a binary, b binary, c binary, row bigint, n_tokens bigint, n_known bigint, base_score double, score double"
@@ -375,54 +541,72 @@ def _scored(kind: int, bucket: int, blobs: tuple, row: np.ndarray, *sums: np.nda
     )
 
 
+def _with_ids(batch: pa.RecordBatch, kind: pa.DataType, ids: pa.Array | None = None) -> pa.RecordBatch:
+    return batch.append_column("id", pa.nulls(len(batch), kind) if ids is None else ids)
+
+
 def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", held_out: tuple[int, int] = HELD_OUT, depth: int = DEPTH, max_states: int = MAX_STATES) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     folds, out_fold = held_out
-    model, table = fit(docs, text_column, fold(id_column, folds) != out_fold, depth, max_states)
+    docs = small_batches(docs)
+    model, table, blocks = fit(docs, text_column, fold(id_column, folds) != out_fold, depth, max_states)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     zero = np.zeros(1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
+        kept: dict[int, Block] = {}
+        walked: list[tuple] = []
         for batch in batches:
-            row_ids = batch.column(1).to_numpy()
             for part in text_slices(batch.column(0)):
                 words = find_words(part, WORD_NOT_SPACE)
-                hashes = word_hashes(part, words)
                 data, begins = symbols(part, words)
-                lp = np.concatenate([[0], np.cumsum(m.tree.score(data), dtype=np.float64)])
-                space = np.flatnonzero(data == 0x20) + 1  # one after each word
-                doc = words.doc_of()
-                start = np.empty(len(space), dtype=np.int64)
-                start[1:] = space[:-1]
-                first = words.bounds[:-1][np.diff(words.bounds) > 0]
-                start[first] = begins[:-1][np.diff(words.bounds) > 0]
-                spelling = lp[space] - lp[start]
-                stop = lp[begins[1:]] - lp[begins[1:] - 1]
-                at = np.minimum(np.searchsorted(m.words, hashes), max(0, len(m.words) - 1))
-                hit = m.words[at] == hashes if len(m.words) else np.zeros(len(hashes), dtype=bool)
-                count = m.counts[at[hit]] if len(m.words) else np.zeros(0)
-                known = hit if not m.whole else np.ones(len(hashes), dtype=bool)
-                here = np.zeros(len(hashes))
-                here[hit] = count
+                symbol = m.tree.classes[data]
+                local, beyond = m.tree.walk(symbol)
+                codes = context_codes(symbol, m.tree.depth, beyond)
                 n = len(part)
-                ends = np.full(n, m.documents)
-                rows = row_ids[part.first : part.first + n]
-                sums = [np.bincount(doc[known], weights=x, minlength=n) for x in (m.base(here[known]), m.mixed(here[known], spelling[known]))]
-                yield _scored(0, -1, (None, None, None), rows, np.diff(words.bounds) + 1, np.bincount(doc[hit], minlength=n) + (ends > 0), sums[0] + m.base(ends), sums[1] + m.mixed(ends, stop))
-                if not known.all():
-                    rare = np.flatnonzero(~known)
-                    rare = rare[np.argsort(hashes[rare], kind="stable")]
-                    bucket = (hashes[rare] >> np.uint64(48)).astype(np.int64) * BUCKETS >> 16
-                    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-                    for a, b in zip(edges[:-1], edges[1:], strict=True):
-                        x = rare[a:b]
-                        yield _scored(1, int(bucket[a]), (hashes[x].tobytes(), rows[doc[x]].tobytes(), spelling[x].astype(np.float32).tobytes()), np.full(1, -1), zero, zero, zero, zero)
+                walked.append((words, word_hashes(part, words), data, begins, local, beyond, codes, batch.column(1).slice(part.first, n).to_numpy(), batch.column(2).slice(part.first, n)))
+                if len(walked) >= SLICES:
+                    yield from summed(m, walked, kept)
+                    walked = []
+        yield from summed(m, walked, kept)
+
+    def summed(m: Model, walked: list[tuple], kept: dict[int, Block]) -> Iterator[pa.RecordBatch]:
+        looked_up = blocks.score(np.concatenate([np.zeros(0, dtype=np.int64), *(x[6] for x in walked)]), m.tree, kept)
+        for words, hashes, data, begins, local, beyond, _, rows, ids in walked:
+            local[beyond], looked_up = looked_up[: len(beyond)], looked_up[len(beyond) :]
+            lp = np.concatenate([[0], np.cumsum(local, dtype=np.float64)])
+            space = np.flatnonzero(data == 0x20) + 1  # one after each word
+            doc = words.doc_of()
+            start = np.empty(len(space), dtype=np.int64)
+            start[1:] = space[:-1]
+            first = words.bounds[:-1][np.diff(words.bounds) > 0]
+            start[first] = begins[:-1][np.diff(words.bounds) > 0]
+            spelling = lp[space] - lp[start]
+            stop = lp[begins[1:]] - lp[begins[1:] - 1]
+            at = np.minimum(np.searchsorted(m.words, hashes), max(0, len(m.words) - 1))
+            hit = m.words[at] == hashes if len(m.words) else np.zeros(len(hashes), dtype=bool)
+            count = m.counts[at[hit]] if len(m.words) else np.zeros(0)
+            known = hit if not m.whole else np.ones(len(hashes), dtype=bool)
+            here = np.zeros(len(hashes))
+            here[hit] = count
+            n = len(rows)
+            ends = np.full(n, m.documents)
+            sums = [np.bincount(doc[known], weights=x, minlength=n) for x in (m.base(here[known]), m.mixed(here[known], spelling[known]))]
+            yield _with_ids(_scored(0, -1, (None, None, None), rows, np.diff(words.bounds) + 1, np.bincount(doc[hit], minlength=n) + (ends > 0), sums[0] + m.base(ends), sums[1] + m.mixed(ends, stop)), ids.type, ids)
+            if not known.all():
+                rare = np.flatnonzero(~known)
+                rare = rare[np.argsort(hashes[rare], kind="stable")]
+                bucket = (hashes[rare] >> np.uint64(48)).astype(np.int64) * BUCKETS >> 16
+                edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+                for a, b in zip(edges[:-1], edges[1:], strict=True):
+                    x = rare[a:b]
+                    yield _with_ids(_scored(1, int(bucket[a]), (hashes[x].tobytes(), rows[doc[x]].tobytes(), spelling[x].astype(np.float32).tobytes()), np.full(1, -1), zero, zero, zero, zero), ids.type)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
         bucket, keys, counts = None, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        names = ["row", "n_tokens", "n_known", "base_score", "score"]
+        names = ["row", "n_tokens", "n_known", "base_score", "score", "id"]
         for batch in batches:
             kinds = batch.column(0).to_numpy()
             done = batch.filter(pa.array((kinds == 0) & (batch.column(1).to_numpy() < 0)))
@@ -440,16 +624,19 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
                 count = np.where(keys[at] == h, counts[at], 0) if len(keys) else np.zeros(len(h), dtype=np.int64)
                 own, doc = np.unique(rows, return_inverse=True)
                 sums = [np.bincount(doc, weights=w) for w in (count > 0, m.base(count), m.mixed(count, spelling))]
-                yield _scored(0, -1, (None, None, None), own, np.zeros(len(own), dtype=np.int64), sums[0].astype(np.int64), sums[1], sums[2]).select(names)
+                yield _with_ids(_scored(0, -1, (None, None, None), own, np.zeros(len(own), dtype=np.int64), sums[0].astype(np.int64), sums[1], sums[2]), batch.column("id").type).select(names)
 
-    source = docs.select(F.col(text_column), F.monotonically_increasing_id().alias("row"))
-    ids = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_column), (F.coalesce(fold(id_column, folds), F.lit(out_fold)) == out_fold).alias("held_out"))
-    scored = source.mapInArrow(score, SCORED)
+    # ids go along with their texts: rows dealt at random may come in another order when they are read again
+    source = docs.select(F.col(text_column), F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"))
+    kind = docs.schema[id_column].dataType.simpleString()
+    schema = f"{SCORED}, id {kind}"
+    scored = source.mapInArrow(frugal(score), schema)
     if not model.whole:
-        empty = [F.lit(None).cast(t).alias(c) for c, t in (("row", "bigint"), ("n_tokens", "bigint"), ("n_known", "bigint"), ("base_score", "double"), ("score", "double"))]
+        empty = [F.lit(None).cast(t).alias(c) for c, t in (("row", "bigint"), ("n_tokens", "bigint"), ("n_known", "bigint"), ("base_score", "double"), ("score", "double"), ("id", kind))]
         spread = F.when(F.col("bucket") < 0, -1 - F.col("row") % BUCKETS).otherwise(F.col("bucket"))  # rows without a lookup go anywhere
         scored = scored.unionByName(table.select("kind", "bucket", "a", "b", "c", *empty)).withColumn("to", spread)
         scored = scored.repartition(BUCKETS, "to").sortWithinPartitions("to", "kind").drop("to")
-        scored = scored.mapInArrow(look_up, "row bigint, n_tokens bigint, n_known bigint, base_score double, score double")
-    sums = scored.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
-    return ids.join(sums, "row").select(id_column, "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+        scored = scored.mapInArrow(frugal(look_up), f"row bigint, n_tokens bigint, n_known bigint, base_score double, score double, id {kind}")
+    sums = scored.groupBy("row").agg(F.max("id").alias("id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
+    is_held_out = F.coalesce(fold("id", folds), F.lit(out_fold)) == out_fold
+    return sums.select(F.col("id").alias(id_column), is_held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")

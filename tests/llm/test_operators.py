@@ -189,6 +189,30 @@ def test_lm_tree_is_a_distribution_and_takes_the_longest_suffix():
     assert np.allclose(tree.score(data)[8:60], expected)
 
 
+@pytest.mark.parametrize("lookup", [1 << 19, 64])
+def test_lm_scores_use_every_context_that_stays(docs, rows, monkeypatch, lookup):
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, *_ in rows}
+    monkeypatch.setattr(lm_score, "LOOKUP_WORDS", lookup)
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 1000)
+    joined = {i: b"".join(w.encode() + b" " for w in SPACE.findall(low(t))) + b"\xff" for i, t, *_ in rows}
+    learned = [np.frombuffer(x, dtype=np.uint8) for i, x in joined.items() if not held[i]]
+    classes = lm_score.classes_of(np.bincount(np.concatenate(learned), minlength=256))
+    codes, counts = np.unique(np.concatenate([lm_score.context_codes(classes[x], 6) for x in learned]), return_counts=True)
+    nodes = [(c, n, lm_score._sparse(x)) for c, n, _, x in lm_score.tree_nodes(codes, counts, 6, lm_score.MIN_COUNT, lm_score.CUTOFF)]
+    tree = lm_score.build_tree(nodes, classes, 6)
+    words = Counter(w for i, t, *_ in rows if not held[i] for w in [*SPACE.findall(low(t)), None])
+    total, most = sum(words.values()), sum(n == 2 for _, n, _ in nodes) + 20
+    assert len(nodes) > 2 * most  # most contexts are in blocks only
+    got = {r.doc_id: r.score for r in lm_score.score_documents(docs, max_states=most).collect()}
+    for i, t, *_ in rows:
+        lp, at, expected = tree.score(np.frombuffer(joined[i], dtype=np.uint8)).astype(float), 0, 0.0
+        for w in [*SPACE.findall(low(t)), None]:
+            size = 1 if w is None else len(w.encode()) + 1
+            expected += math.log10(0.5 * words[w] / total + 0.5 * 10 ** lp[at : at + size].sum())
+            at += size
+        assert math.isclose(got[i], expected, rel_tol=1e-5), i
+
+
 def test_lm_without_training_rows(empty):
     assert lm_score.score_documents(empty).count() == 0
 
