@@ -4,9 +4,11 @@ A page is cut at its block-level tags into flat blocks of text. Each block is
 described by its number of words and link density, those of the block before
 and after it, whether it is a heading, where it stands (inside an article or
 main element; outside though the page has one; no such element at all), and
-how many of the elements around it mark boilerplate by tag, role, class or id.
-A decision tree trained on the small labelled table below says which blocks
-belong to the main text.
+how many of the elements around it mark boilerplate by tag, role, class or id
+(those of html, body, article and main, or around the main element, don't).
+A decision tree trained on the labelled table below, and on blocks generated
+by the kinds listed after it, says which blocks belong to the main text: long
+text beside long text does wherever it stands, links beside links don't.
 
 Pages are independent, so this is a map without a shuffle; markup is read in
 one pass of linear time, however broken it is.
@@ -37,6 +39,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 UNCLOSED = frozenset("p li dt dd option tr td th tbody thead tfoot".split())  # often without an end tag
 MAIN = frozenset("article main".split())
+#: Elements whose classes describe the page ("has-sidebar"), not their own text.
+WHOLE = MAIN | {"html", "body"}
+HIDDEN = 3
 BOILERPLATE_TAGS = frozenset("nav aside footer form menu dialog select button fieldset".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Parts of class and id names.
@@ -63,13 +68,14 @@ class Block:
 
 
 def _marks(tag: str, attributes: str) -> int:
-    """Whether an element marks boilerplate by its tag, role, class, id or being hidden."""
-    if tag in BOILERPLATE_TAGS:
-        return 1
+    """Whether an element marks boilerplate by its tag, role, class or id (1) or is hidden (HIDDEN)."""
     if attributes:
         lower = attributes.lower()
         if re.search(r"\bhidden\b(?!-)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", lower):
-            return 1
+            return HIDDEN
+    if tag in BOILERPLATE_TAGS:
+        return 1
+    if attributes:
         for name, a, b, c in ATTRIBUTE.findall(lower):
             value = a or b or c
             if name == "role" and BOILERPLATE_ROLES & set(value.split()):
@@ -173,7 +179,11 @@ def blocks_of(html: str) -> list[Block]:
             marks, inside = stack[-1][1:] if stack else (0, False)
             own = _marks(tag, attributes)
             if tag == "header" and not inside:
-                own = 1
+                own = max(1, own)
+            if tag in WHOLE and not inside:
+                own = HIDDEN if own == HIDDEN else 0
+                if tag in MAIN and marks < HIDDEN:  # what encloses all of the main text says nothing about its parts
+                    marks = sum(name in BOILERPLATE_TAGS for name, *_ in stack)
             stack.append((tag, marks + own, inside or tag in MAIN or "itemprop=\"articleBody\"" in attributes))
     end_block()
     return out
@@ -201,16 +211,16 @@ LABELLED = """
 120 0.00  30 0.00   3 1.00 0  1 0   1
  18 0.00   6 1.00   6 1.00 0  1 0   1
   3 0.00   2 0.00   2 1.00 0  1 0   1
-  8 0.80   2 1.00   2 1.00 0  1 0   1
-  2 0.60   1 1.00   4 0.60 0  1 0   1
+  8 0.80   2 1.00   2 1.00 0  1 0   0
+  2 0.60   1 1.00   4 0.60 0  1 0   0
   2 0.00   3 0.00   4 0.00 0  1 0   1
   1 0.00   2 0.00   3 0.00 0  1 0   1
   1 0.00   9 0.00   1 0.00 0  1 0   1
-  2 1.00   5 0.00   2 1.00 0  1 0   1
-  4 0.00   2 1.00   2 1.00 0  1 0   1
-  5 0.90   1 1.00   1 1.00 0  1 0   1
+  2 1.00   5 0.00   2 1.00 0  1 0   0
+  4 0.00   2 1.00   2 1.00 0  1 0   0
+  5 0.90   1 1.00   1 1.00 0  1 0   0
   3 0.00   0 0.00   0 0.00 0  1 0   1
-  1 1.00   1 1.00   1 1.00 0  1 0   1
+  1 1.00   1 1.00   1 1.00 0  1 0   0
   6 0.70   8 0.00  12 0.00 0  1 0   1
  10 0.00  40 0.00   2 1.00 0  1 0   1
  30 0.30  60 0.40  80 0.50 0  1 0   1
@@ -246,15 +256,15 @@ LABELLED = """
   5 0.00  40 0.00  22 0.00 1  1 1   0
  22 0.00   5 0.00  18 0.00 0  1 1   0
  18 0.00  22 0.00   0 0.00 0  1 1   0
- 90 0.00  60 0.00  18 0.00 0  1 1   0
+ 90 0.00  60 0.00  18 0.00 0  1 1   1
   2 0.50  60 0.00   2 1.00 0  1 2   0
   4 1.00  80 0.00   4 1.00 0  1 1   0
  50 0.00   4 1.00   7 0.00 0  1 2   0
   1 1.00   0 0.00   1 1.00 0  0 1   0
   2 1.00   1 1.00  10 0.00 0  0 1   0
  16 0.00   2 1.00  50 0.00 0  0 1   0
- 55 0.00  16 0.00  50 0.00 0  0 1   0
-120 0.00  40 0.00   0 0.00 0  0 2   0
+ 55 0.00  16 0.00  50 0.00 0  0 1   1
+120 0.00  40 0.00   0 0.00 0  0 2   1
   1 1.00   2 1.00   1 1.00 0  0 0   0
   3 1.00   1 1.00   2 1.00 0  0 0   0
   2 0.00   1 1.00   1 1.00 0  0 0   0
@@ -287,8 +297,54 @@ LABELLED = """
 """
 
 
-def train_tree(depth: int = 7) -> Tree:
-    rows = np.array([line.split() for line in LABELLED.strip().splitlines()], dtype=np.float64)
+#: Kinds of blocks that text features tell apart, whatever encloses them. Least and most: words, link density, both of the block before, both of the block after, heading, place, marks; 1: main text.
+KINDS = (
+    # long text beside long text, also under marks or outside the article
+    ((40, 300), (0, 0.2), (40, 300), (0, 0.2), (0, 300), (0, 1), (0, 0), (-1, 1), (0, 2), 1),
+    ((40, 300), (0, 0.2), (0, 300), (0, 1), (40, 300), (0, 0.2), (0, 0), (-1, 1), (0, 2), 1),
+    # hidden, or text under marks or outside the article that isn't long, or stands alone
+    ((1, 300), (0, 1), (0, 300), (0, 1), (0, 300), (0, 1), (0, 0), (-1, 1), (3, 3), 0),
+    ((1, 38), (0, 1), (0, 300), (0, 1), (0, 300), (0, 1), (0, 1), (-1, 1), (1, 2), 0),
+    ((1, 38), (0, 1), (0, 300), (0, 1), (0, 300), (0, 1), (0, 1), (-1, -1), (0, 0), 0),
+    ((1, 38), (0, 0.3), (20, 300), (0, 0.3), (0, 300), (0, 1), (0, 0), (-1, 1), (1, 2), 0),
+    ((1, 38), (0, 0.3), (20, 300), (0, 0.3), (0, 300), (0, 1), (0, 0), (-1, -1), (0, 0), 0),
+    ((1, 38), (0, 0.3), (0, 300), (0, 1), (20, 300), (0, 0.3), (0, 0), (-1, 1), (1, 2), 0),
+    ((1, 38), (0, 0.3), (0, 300), (0, 1), (20, 300), (0, 0.3), (0, 0), (-1, -1), (0, 0), 0),
+    ((40, 300), (0, 0.2), (40, 300), (0, 0.2), (0, 300), (0, 1), (0, 0), (-1, 1), (3, 3), 0),
+    ((40, 300), (0, 0.2), (0, 300), (0, 1), (40, 300), (0, 0.2), (0, 0), (-1, 1), (3, 3), 0),
+    ((40, 150), (0, 1), (0, 38), (0, 1), (0, 38), (0, 1), (0, 0), (-1, 1), (1, 2), 0),
+    ((40, 150), (0, 1), (0, 38), (0, 1), (0, 38), (0, 1), (0, 0), (-1, -1), (0, 0), 0),
+    # links beside links, and the short text among them, also inside the article
+    ((1, 12), (0.75, 1), (1, 12), (0.75, 1), (0, 300), (0, 1), (0, 0), (-1, 1), (0, 2), 0),
+    ((1, 12), (0.75, 1), (0, 300), (0, 1), (1, 12), (0.75, 1), (0, 0), (-1, 1), (0, 2), 0),
+    ((1, 5), (0, 0.3), (1, 12), (0.75, 1), (1, 12), (0.75, 1), (0, 1), (-1, 1), (0, 2), 0),
+    # text inside the article, short or with a link, beside text
+    ((1, 300), (0, 0.5), (0, 300), (0, 0.4), (0, 300), (0, 0.4), (0, 1), (1, 1), (0, 0), 1),
+    ((7, 300), (0, 0.5), (0, 300), (0, 0.4), (0, 300), (0, 0.4), (0, 1), (0, 0), (0, 0), 1),
+    ((1, 60), (0.5, 1), (6, 300), (0, 0.4), (6, 300), (0, 0.4), (0, 0), (1, 1), (0, 0), 1),
+    ((7, 300), (0, 0.5), (0, 300), (0, 1), (0, 300), (0, 1), (0, 1), (1, 1), (0, 0), 1),
+)
+
+
+def labelled_blocks(each: int = 400, seed: int = 9) -> np.ndarray:
+    """The labelled table and, from a seed, as many rows of each kind."""
+    random = np.random.default_rng(seed)
+    rows = [np.array([line.split() for line in LABELLED.strip().splitlines()], dtype=np.float64)]
+    for *ranges, label in KINDS:
+        columns = []
+        for k, (least, most) in enumerate(ranges):
+            if k in (0, 2, 4):  # words: spread over their powers
+                columns.append(np.clip(np.round(np.exp(random.uniform(np.log(least + 0.6), np.log(most + 0.6), each))), least, most))
+            elif k in (1, 3, 5):  # link density: often none or all
+                columns.append(np.clip(random.uniform(least - 0.3, most + 0.3, each), least, most))
+            else:
+                columns.append(random.integers(least, most + 1, each))
+        rows.append(np.column_stack([*columns, np.full(each, label)]))
+    return np.concatenate(rows)
+
+
+def train_tree(depth: int = 10) -> Tree:
+    rows = labelled_blocks()
     return Tree.grow(rows[:, :-1], rows[:, -1], depth)
 
 

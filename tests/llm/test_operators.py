@@ -344,6 +344,24 @@ def test_html(spark):
         html_text.main_text(broken, tree)
 
 
+def test_html_text_features_decide():
+    tree = html_text.train_tree()
+    assert {1, 2, 3, 4, 5} <= set(tree.feature.tolist())  # link densities, and words of the neighbours
+    long = [" ".join(f"{a}{k}" for k in range(70)) for a in "abc"]
+    paragraphs = "".join(f"<p>{t}</p>" for t in long)
+    links = "<ul>" + "".join(f"<li><a href=/{k}>Other page</a></li>" for k in range(6)) + "</ul>"
+    text = "\n\n".join(long)
+    for page in (
+        f"<article>{paragraphs}{links}</article>",  # links inside
+        f"<article><p>A title of a page</p></article><div>{paragraphs}</div>{links}",  # long text outside
+        f"<div class='content-sidebar'>{paragraphs}{links}</div>",  # under marks
+        f"<body class='has-sidebar'><article class='post share'>{paragraphs}</article>{links}</body>",
+        f"<div class='header-and-footer'><main>{paragraphs}</main></div>",
+    ):
+        assert html_text.main_text(page, tree).removeprefix("A title of a page\n\n") == text, page[:60]
+    assert html_text.main_text(f"<main><p>Short.</p></main><div hidden>{paragraphs}</div>", tree) == "Short."
+
+
 def test_secrets(spark):
     token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
     rows = [(1, f'erti token = "{token}" more', "s"), (2, "commit da39a3ee5e6b4b0d3255bfef95601890afd80709 fixed it", "s"), (3, None, None), (4, "", "s"), (5, "call me 5551234567890123456 or not", "s"), (6, 'password = "your_password_here"', "docs/x.md")]
