@@ -33,6 +33,12 @@ from pyspark.sql import functions as F
 from .trees import Forest
 
 THRESHOLD = 0.5
+#: A private key: up to its END line, or where there is none before another key over the lines of base64 that follow.
+GAP = r"(?:\s|\\[rn])"  # also as it is written in a string
+PRIVATE_KEY = (
+    r"-----BEGIN (?P<label>[A-Z ]*)PRIVATE KEY-----(?:(?:(?!-----BEGIN )[\s\S])*?-----END (?P=label)PRIVATE KEY-----"
+    rf"|(?:{GAP}+(?:Proc-Type|DEK-Info): [^\r\n\\]*)*(?:(?:{GAP}+[A-Za-z0-9+/]{{16,}}={{0,2}})+(?:{GAP}+(?=[A-Za-z+/]*[0-9+/=])[A-Za-z0-9+/]{{1,15}}={{0,2}}(?![^\s\\\"']))?)?)"
+)
 # Published formats of credentials.
 KNOWN = {
     "aws_access_key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
@@ -41,7 +47,7 @@ KNOWN = {
     "google_api_key": r"\bAIza[0-9A-Za-z_-]{35}\b",
     "stripe_key": r"\b[rs]k_(?:live|test)_[0-9A-Za-z]{16,}\b",
     "json_web_token": r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}",
-    "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
+    "private_key": PRIVATE_KEY,
 }
 ASSIGNED = r"(?i:(?:api[_-]?key|access[_-]?key|token|secret|passw(?:or)?d|pwd|auth|credential|bearer)[A-Za-z_-]{0,12}[\"']?\s{0,3}(?::=|=>|=|:)\s{0,3}[\"']?)(?P<assigned>[^\s\"'`,;<>(){}\[\]]{6,})"
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
@@ -118,11 +124,18 @@ def labelled_findings(each: int = 40, seed: int = 3) -> list[tuple[str, str, str
     plain_path = lambda: pick(["src0", "src7", "app/settings.py", "deploy/env.sh", "config/prod.yml", "web", "crawl-12"])
     test_path = lambda: pick(["tests/data.py", "docs/guide.md", "examples/run.sh", "spec/fixtures/a.json", "package.lock", "vendor/lib.min.js"])
     out = []
+    bodies = np.random.default_rng([seed, 1])
+
+    def key(k: int) -> str:
+        """A whole private key, one without its END line, or its first line alone."""
+        lines = ["".join(base64[i] for i in bodies.integers(0, len(base64), n)) for n in [64] * int(bodies.integers(3, 26)) + [int(bodies.integers(4, 64))]]
+        begin, end = (f"-----{x} RSA PRIVATE KEY-----" for x in ("BEGIN", "END"))
+        return "\n".join([begin, *(lines if k % 4 else []), *([end] if k % 4 > 1 else [])])
 
     def add(label: int, candidate: str, kind: str, before: str, after: str, path: str) -> None:
         out.append((candidate, kind, before, after, path, label))
 
-    for _ in range(each):
+    for k in range(each):
         quote = pick(['"', "'", ""])
         assign = lambda: f"{prose()} {name()}{pick([' = ', '=', ': ', ' := '])}{quote}"  # noqa: B023, E731
         # secrets
@@ -136,7 +149,7 @@ def labelled_findings(each: int = 40, seed: int = 3) -> list[tuple[str, str, str
         add(1, f"xoxb-{some(digits, 12)}-{some(digits, 12)}-{some(mixed, 24)}", "slack_token", prose() + " ", " " + prose(), plain_path())
         add(1, "AIza" + some(mixed + "_-", 35), "google_api_key", prose() + " ", " " + prose(), plain_path())
         add(1, "sk_live_" + some(mixed, 24), "stripe_key", assign(), quote, plain_path())
-        add(1, "-----BEGIN RSA PRIVATE KEY-----", "private_key", prose() + "\n", "\n" + some(base64, 40), plain_path())
+        add(1, key(k), "private_key", prose() + "\n", "\n" + some(base64, 40), plain_path())
         add(1, some(mixed, int(random.integers(24, 44))), "run", f"{prose()} authorization bearer ", " " + prose(), plain_path())
         # false alarms
         add(0, some(hexes, pick([40, 64])), "run", f"{prose()} {pick(['commit', 'sha256', 'checksum', 'md5', 'revision', 'digest'])} ", " " + prose(), pick([plain_path(), test_path()]))
