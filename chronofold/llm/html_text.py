@@ -34,7 +34,10 @@ from .trees import Tree
 
 # Element names of HTML.
 BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
-RAW = frozenset("script style noscript title textarea iframe template svg math object video audio canvas noframes xmp head".split())
+RAW = frozenset("script style noscript title textarea iframe template svg math object video audio canvas noframes xmp".split())
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)") for tag in RAW}
+#: Raw elements that are taken as empty if they never end.
+EMPTY = frozenset("svg math object video audio canvas noscript template iframe textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 UNCLOSED = frozenset("p li dt dd option tr td th tbody thead tfoot".split())  # often without an end tag
@@ -93,6 +96,7 @@ def blocks_of(html: str) -> list[Block]:
     link_words = 0
     in_link = heading = False
     lower = None
+    unended: set[str] = set()  # raw elements without a further end tag
 
     def end_block() -> None:
         nonlocal link_words
@@ -140,13 +144,14 @@ def blocks_of(html: str) -> list[Block]:
                 lower = html.lower()
                 if len(lower) != n:  # some capitals lower to two characters
                     lower = re.sub("[A-Z]", lambda m: m[0].lower(), html)
-            end = lower.find(f"</{tag}", at)
-            if end < 0:
-                if tag in ("head", "svg", "object", "video", "audio", "canvas", "noscript", "template", "iframe"):
-                    continue  # never ended: as if it were empty
+            found = None if tag in unended else RAW_END[tag].search(lower, at)
+            if not found:
+                if tag in EMPTY:
+                    unended.add(tag)
+                    continue
                 at = n
                 continue
-            end = html.find(">", end)
+            end = html.find(">", found.end())
             at = n if end < 0 else end + 1
             continue
         if tag == "a":

@@ -362,6 +362,18 @@ def test_html_text_features_decide():
     assert html_text.main_text(f"<main><p>Short.</p></main><div hidden>{paragraphs}</div>", tree) == "Short."
 
 
+def test_html_raw_elements_end_at_their_own_tags():
+    tree = html_text.train_tree()
+    text = " ".join(f"w{k}" for k in range(60))
+    body = f"<article><header><h1>The title</h1><p>{text}</p></header><p>{text} again</p></article>"
+    expected = f"The title\n\n{text}\n\n{text} again"
+    for head in ("<head><title>T</title><style>p{}</style>", "<head><title>T</title><body>", "<head><script>var a = '<body></header>';</script></head><body>", ""):
+        assert html_text.main_text(f"<html>{head}{body}", tree) == expected, head
+    for unended in ("<math>", "<textarea>", "<svg></svgx>"):
+        assert html_text.main_text(f"{unended}{body}", tree) == expected, unended
+    assert html_text.main_text(f"{body}<title>no</titles></title >", tree) == expected
+
+
 def test_secrets(spark):
     token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
     rows = [(1, f'erti token = "{token}" more', "s"), (2, "commit da39a3ee5e6b4b0d3255bfef95601890afd80709 fixed it", "s"), (3, None, None), (4, "", "s"), (5, "call me 5551234567890123456 or not", "s"), (6, 'password = "your_password_here"', "docs/x.md")]
