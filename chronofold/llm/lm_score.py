@@ -1,67 +1,70 @@
 """Language-model scores from a probabilistic suffix tree.
 
-The tree's symbols are the bytes of the text (A-Z lower-cased, words joined by
-one space, an end mark), the 61 most frequent ones by themselves and the rest
-as one class with equal shares. Its contexts have variable length, up to
-`depth` symbols: a context of three symbols or more stays only if it was seen
-often enough and its next-symbol distribution diverges from that of the
-context one symbol shorter - n times their Kullback-Leibler divergence above a
-cutoff - or if a longer one of its extensions stays. Distributions are smoothed
-towards the next shorter context. Each symbol is scored in the longest suffix
-of its past that is a state.
-
-All contexts that stay are used. The `max_states` seen most often (and all of
-two symbols) are a dense table that every task walks, with the extensions that
-they have beyond it. All of them are also broadcast in compressed blocks of
-bounded size, by their latest two symbols: where a symbol's past goes on into
-an extension beyond the dense table, it is looked up in its block, and tasks
-open one block after the other. So scores don't depend on `max_states`.
-
-A word's probability mixes its relative frequency with its spelling's
-probability in the tree, which goes on from the words before it. Both are
-proper, so the score is a proper distribution over token sequences.
-
-Everything is gathered over all training documents: n-gram counts and word
-counts are summed within tasks and travel as packed sorted arrays. The most
-frequent `lookup_words` words are broadcast; every other word of a document is
-looked up in the table of its hash bucket, so no table has to fit in memory.
-Words are told apart by 64-bit hashes.
+The tree's symbols are bytes: the text with A-Z lower-cased, one space after
+each word, and an end mark. Its contexts have variable length, up to `depth`
+bytes (six at most, so that a context and its next byte fit into 64 bits). A
+context stays if it was seen often enough and its next-byte distribution
+diverges from that of the context one byte shorter - n times their
+Kullback-Leibler divergence reaches a cutoff - or if a longer one of its
+extensions stays. Each distribution is smoothed towards that of the next
+shorter context (by as many counts as it has kinds of next bytes), the empty
+one's towards the uniform one. A byte is scored in the longest suffix of its
+past that is a state, so `score` is the tree's probability of the text alone.
+
+1. Counting: tasks sum the codes of context and next byte, and word hashes, of
+   all training documents; the sums are added up by hashed groups, then brought
+   together by a context's latest two bytes, where the divergence tests are
+   made. All contexts that pass are kept, as a table.
+2. Asking: documents are cut into chunks of some MB; each chunk's distinct
+   codes and words are sent, once, to the parts of the tree and of the word
+   table that know them. The parts are copied for latest pairs of bytes that
+   many codes share, so no pair is worked on by one task.
+3. Scoring: a chunk's answers meet its texts, and every document is scored.
+
+Only tables whose size is bounded by the alphabet are broadcast (distributions
+of contexts of up to two bytes, 255**2 * 256 numbers at most). Words are told
+apart by 64-bit hashes; each kept table is split by the session's number of
+shuffle partitions. Nothing that is shuffled or kept depends on the order in
+which rows are read: a chunk's texts and questions are written together.
 
 Defined results: a null text is empty and has one token, the end; a null id
 isn't learned from and counts as held out; without training documents all
-counts are 0 and the tree is uniform; repeated rows are scored separately.
+counts are 0 and the tree is uniform; repeated rows are scored separately; an
+empty table gives an empty result; other columns, whatever their names, are
+not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import durable, fold, frugal, small_batches
-from .textvec import END, WORD_NOT_SPACE, TextSlice, Words, find_words, text_slices, word_hashes
+from .textvec import END, WORD_NOT_SPACE, TextSlice, Words, find_words, mix64, text_slices, word_hashes
 
 DEPTH = 6
-MAX_STATES = 1 << 16  # in the dense table; the others are looked up
-#: Compressed bytes of a block of contexts; counts in opened blocks that a task keeps; slices of text that it works on at a time.
-BLOCK_BYTES, OPEN_COUNTS, SLICES = 2 << 20, 2_000_000, 4
-LOOKUP_WORDS = 1 << 19
 MIN_COUNT = 4
 CUTOFF = 4.0
-SHARE = 0.5  # of the tree in a word's probability
 HELD_OUT = (7, 2)  # folds, the one that isn't learned from
-BUCKETS = 64
-CLASSES, PAD, STOP, OTHER = 64, 0, 1, 63
-PACKED = "kind int, bucket int, a binary, b binary, c binary"
-
-
-def packed(rows: list[tuple]) -> pa.RecordBatch:
-    kind, bucket, *blobs = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(bucket, pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)], names=["kind", "bucket", "a", "b", "c"])
+#: Text that is asked for and scored together; codes that a counting task holds.
+CHUNK_BYTES, HELD_CODES = 8 << 20, 3_000_000
+#: Parts of the kept tables for each shuffle partition.
+PARTS = 8
+PAD, STOP = 0, END
+#: byte -> symbol: PAD takes the place of the zero byte, which moves to one that UTF-8 never has.
+SYMBOL = np.arange(256, dtype=np.int64)
+SYMBOL[PAD] = 0xFE
+SYMBOLS = 255
+#: Kinds of rows. What is known comes before what is asked.
+CODES, WORDS, TOTALS, ASKED_CODES, ASKED_WORDS, TEXTS = range(6)
+COUNTED = "kind int, bucket bigint, blob binary, tokens bigint, kinds bigint"
+ROWS = "kind int, to bigint, bucket bigint, chunk bigint, blob binary"
 
 
 def squeezed(*arrays: np.ndarray) -> bytes:
@@ -78,14 +81,19 @@ def opened(blob: bytes) -> list[np.ndarray]:
     """The arrays of squeezed()."""
     out, at = [], 0
     while at < len(blob):
-        size, packed_size = np.frombuffer(blob, dtype=np.int64, count=2, offset=at).tolist()
+        size, packed = np.frombuffer(blob, dtype=np.int64, count=2, offset=at).tolist()
         kind = np.dtype(blob[at + 16 : at + 24].decode().strip())
-        at += 24 + packed_size
-        planes = np.frombuffer(pa.decompress(blob[at - packed_size : at], size, codec="zstd", asbytes=True), dtype=np.uint8)
+        at += 24 + packed
+        planes = np.frombuffer(pa.decompress(blob[at - packed : at], size, codec="zstd", asbytes=True), dtype=np.uint8)
         out.append(np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).reshape(-1))
     return out
 
 
+def steps(keys: np.ndarray) -> np.ndarray:
+    """Sorted keys as differences, which compress well; np.cumsum() undoes it."""
+    return np.diff(keys, prepend=keys.dtype.type(0))
+
+
 def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sums counts of equal keys; sorted by key."""
     k, c = np.concatenate(keys), np.concatenate(counts)
@@ -95,10 +103,22 @@ def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     return k[first], np.add.reduceat(c, first) if len(k) else c
 
 
+def runs(sorted_keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(start, end) of the runs of equal keys."""
+    edges = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1], [True]])) if len(sorted_keys) else np.zeros(1, dtype=np.int64)
+    return zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted; x is sorted in place."""
+    x.sort()
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 class Sum:
     """Counts by key in bounded memory: `full` tells when to hand them on."""
 
-    def __init__(self, kind: type = np.uint64, limit: int = 1_500_000):
+    def __init__(self, kind: type, limit: int = HELD_CODES):
         self.kind, self.limit = kind, limit
         self.clear()
 
@@ -109,10 +129,10 @@ class Sum:
         self.keys.append(keys)
         self.counts.append(counts)
         self.size += len(keys)
-
-    def full(self) -> bool:
         if self.size > self.limit:
             self.get()
+
+    def full(self) -> bool:
         return self.size > self.limit // 2
 
     def get(self) -> tuple[np.ndarray, np.ndarray]:
@@ -121,522 +141,357 @@ class Sum:
         return k, c
 
 
-def _spread(keys: np.ndarray, counts: np.ndarray, bucket_of: np.ndarray) -> Iterator[tuple]:
-    """Packed rows of sorted keys; bucket_of: of each key, not decreasing. Differences compress well."""
-    edges = np.flatnonzero(np.concatenate([[True], bucket_of[1:] != bucket_of[:-1], [True]])) if len(keys) else []
-    for a, b in zip(edges[:-1], edges[1:], strict=True):
-        yield 0, int(bucket_of[a]), np.diff(keys[a:b], prepend=keys.dtype.type(0)).tobytes(), counts[a:b].astype(np.uint32 if counts[a:b].max() < 1 << 32 else np.uint64).tobytes(), None
-
-
-def _opened(a: bytes, b: bytes, kind: type = np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.cumsum(np.frombuffer(a, dtype=kind), dtype=kind)
-    return keys, np.frombuffer(b, dtype=np.uint32 if len(b) * 2 == len(a) else np.uint64).astype(np.int64)
-
-
 def symbols(part: TextSlice, words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes with one space after each word and END after each document; where each document begins."""
+    """The symbols, with one space after each word and STOP after each document; where each document begins."""
     inside = WORD_NOT_SPACE[part.data]
     keep = inside | (part.data == END)
     keep[words.ends] = True
     out = np.where(inside | (part.data == END), part.data, np.uint8(0x20))[keep]
-    return out, np.concatenate([[0], np.cumsum(keep)[part.offsets[1:] - 1]])
-
-
-def word_table(docs: DataFrame, text_column: str, train: Column, buckets: int = BUCKETS) -> DataFrame:
-    """Packed (bucket; word hashes, counts) over the training documents, and one row of kind 1: bytes' counts, documents."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, bytes_seen, documents = Sum(), np.zeros(256, dtype=np.int64), 0
-        for batch in batches:
-            for part in text_slices(batch.column(0)):
-                words = find_words(part, WORD_NOT_SPACE)
-                total.add(*np.unique(word_hashes(part, words), return_counts=True))
-                bytes_seen += np.bincount(symbols(part, words)[0], minlength=256)
-                documents += len(part)
-                if total.full():
-                    yield packed([*rows(*total.get())])
-                    total.clear()
-        yield packed([*rows(*total.get()), (1, buckets, bytes_seen.tobytes(), np.array([documents]).tobytes(), None)])
+    return SYMBOL[out], np.concatenate([[0], np.cumsum(keep)[part.offsets[1:] - 1]])
 
-    def rows(keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
-        return _spread(keys, counts, (keys >> np.uint64(48)).astype(np.int64) * buckets >> 16)
 
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, Sum] = {}
-        bytes_seen, documents = np.zeros(256, dtype=np.int64), 0
-        for batch in batches:
-            for kind, bucket, a, b, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if kind:
-                    bytes_seen += np.frombuffer(a, dtype=np.int64)
-                    documents += int(np.frombuffer(b, dtype=np.int64)[0])
-                else:
-                    sums.setdefault(bucket, Sum()).add(*_opened(a, b))
-                    sums[bucket].full()
-        for bucket, x in sums.items():
-            k, c = x.get()
-            most = np.sort(np.argsort(-c, kind="stable")[: LOOKUP_WORDS // buckets])
-            yield packed([(0, bucket, k.tobytes(), c.tobytes(), None), (2, bucket, k[most].tobytes(), c[most].tobytes(), np.array([c.sum(), len(c)]).tobytes())])
-        if documents:
-            yield packed([(1, buckets, bytes_seen.tobytes(), np.array([documents]).tobytes(), None)])
-
-    counted = docs.where(F.coalesce(train, F.lit(False))).select(text_column).mapInArrow(count, PACKED)
-    return counted.repartition(buckets, "bucket").mapInArrow(reduce, PACKED)
-
-
-def classes_of(bytes_seen: np.ndarray) -> np.ndarray:
-    """byte -> symbol class; the most frequent bytes have one of their own."""
-    out = np.full(256, OTHER, dtype=np.int64)
-    usual = [b for b in np.argsort(-bytes_seen, kind="stable").tolist() if b != END and bytes_seen[b]][: CLASSES - 3]
-    out[usual] = np.arange(2, 2 + len(usual))
-    out[END] = STOP
-    return out
-
-
-def context_codes(classes: np.ndarray, depth: int, at: np.ndarray | None = None) -> np.ndarray:
-    """Of each position (or those in `at`): its past, the latest symbol in the highest bits, then the symbol itself in the lowest six."""
-    at = np.arange(len(classes)) if at is None else at
-    code, alive = np.zeros(len(at), dtype=np.int64), np.ones(len(at), dtype=bool)
+def context_codes(symbol: np.ndarray, depth: int) -> np.ndarray:
+    """Of each position: its past, the latest symbol in the highest byte, then the symbol itself in the lowest. The past ends at its document's begin: STOP, then PAD."""
+    code, alive = symbol.copy(), np.ones(len(symbol), dtype=bool)
     for k in range(1, depth + 1):
-        past = np.where(at >= k, classes[np.maximum(at - k, 0)], PAD)
-        past[at == k - 1] = STOP  # what precedes the first document
-        past[~alive] = PAD
+        past = np.zeros(len(symbol), dtype=np.int64)
+        past[k:] = symbol[:-k]
+        past[k - 1 : k] = STOP  # what precedes the first document
+        past *= alive
+        code |= past << (8 * (depth - k + 1))
         alive &= past != STOP
-        code |= past << (6 * (depth - k + 1))
-    return code | classes[at]
+    return code
 
 
-@dataclass
-class Tree:
-    """child[state, symbol]: the state one symbol further back, 0 if there is none, -1 if it is in a block only. log10[state, symbol]."""
+Levels = list[tuple[np.ndarray, np.ndarray]]
 
-    classes: np.ndarray
-    child: np.ndarray
-    log10: np.ndarray
-    depth: int
 
-    def score(self, data: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol in its longest suffix state here; the documents follow one another."""
-        return self.walk(self.classes[data])[0]
-
-    def walk(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(score() of the symbols, the positions whose longest suffix state is in a block only)."""
-        beyond = [np.zeros(0, dtype=np.int64)]
-        state = np.zeros(len(symbol), dtype=np.int32)
-        at = np.arange(len(symbol))
-        flat = self.child.reshape(-1)
-        now = np.zeros(len(symbol), dtype=np.int32)
-        for k in range(1, self.depth + 1):
-            back = at - k
-            past = symbol[np.maximum(back, 0)]
-            past[back < 0] = STOP if k == 1 else PAD
-            if k > 1:
-                past[back == -1] = STOP
-            now = flat[now.astype(np.int64) * CLASSES + past]
-            beyond.append(at[now < 0])
-            live = now > 0
-            state[at[live]] = now[live]
-            live &= past != STOP  # nothing before its document counts, wherever the document stands
-            at, now = at[live], now[live]
-        return self.log10.reshape(-1)[state.astype(np.int64) * CLASSES + symbol], np.sort(np.concatenate(beyond))
-
-
-Levels = list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+def by_context(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted codes: the contexts, where each one begins, its count, its kinds of next symbols."""
+    context = codes >> 8
+    first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(codes) else np.zeros(0, dtype=np.int64)
+    return context[first], first, np.add.reduceat(counts, first) if len(first) else counts, np.diff(np.append(first, len(codes)))
 
 
 def kept_levels(codes: np.ndarray, counts: np.ndarray, depth: int, min_count: int, cutoff: float) -> Levels:
-    """Of length 2, 3 ... `depth`: (context and next symbol, count, the context's divergence) of the contexts that stay, out of all counts below some contexts of two symbols."""
+    """Of length 2, 3 ... `depth`: (context and next symbol, count) of the contexts that stay, out of all counts of contexts with the same latest two symbols. Those two are all there: the test of contexts that short is made elsewhere."""
     levels = []
-    for k in range(depth, 1, -1):
-        context, symbol = codes >> (6 * (depth - k + 1)), codes & 63
-        if k < depth:
-            codes_k, counts_k = merged([(context << 6) | symbol], [counts])
-        else:
-            codes_k, counts_k = codes, counts
-        context = codes_k >> 6
-        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(context) else np.zeros(0, dtype=np.int64)
-        group = np.cumsum(np.concatenate([[False], context[1:] != context[:-1]])) if len(context) else first
-        total = np.add.reduceat(counts_k, first) if len(first) else counts_k
-        levels.append((k, codes_k, counts_k, context, first, group, total))
-    levels.reverse()  # short contexts first
-    gains = []
-    for j, (k, codes_k, counts_k, context, first, group, total) in enumerate(levels):
-        gain = np.full(len(first), np.inf) if k == 2 else np.zeros(len(first))
-        if k > 2 and len(first):
-            _, up_codes, up_counts, up_context, up_first, up_group, up_total = levels[j - 1]
-            at = np.searchsorted(up_codes, ((context >> 6) << 6) | (codes_k & 63))
-            ratio = (counts_k / total[group]) / (up_counts[at] / up_total[up_group[at]])
-            gain = np.add.reduceat(counts_k * np.log(ratio), first)
-            gain[(total < min_count) | (gain < cutoff) | (context[first] & 63 == PAD)] = 0
+    for k in range(2, depth + 1):
+        own = (codes, counts) if k == depth else merged([(codes >> (8 * (depth - k + 1)) << 8) | (codes & 255)], [counts])
+        contexts, first, total, kinds = by_context(*own)
+        levels.append((*own, contexts, total, np.repeat(np.arange(len(first)), kinds), first))
+    gains = [np.full(len(levels[0][2]), np.inf)]
+    for (up_codes, up_counts, _, up_total, up_group, _), (own, n, contexts, total, group, first) in zip(levels[:-1], levels[1:], strict=True):
+        if not len(first):
+            gains.append(np.zeros(0))
+            continue
+        at = np.searchsorted(up_codes, (own >> 16 << 8) | (own & 255))
+        gain = np.add.reduceat(n * np.log((n / total[group]) / (up_counts[at] / up_total[up_group[at]])), first)
+        gain[(total < min_count) | (gain < cutoff) | (contexts & 255 == PAD)] = 0
         gains.append(gain)
     for j in range(len(levels) - 1, 0, -1):  # a context is worth as much as its best extension
-        context, first, up = levels[j][3], levels[j][4], levels[j - 1]
-        at = np.searchsorted(up[3][up[4]], context[first] >> 6)
+        at = np.searchsorted(levels[j - 1][2], levels[j][2] >> 8)
         np.maximum.at(gains[j - 1], at, gains[j])
-    out = []
-    for (_, codes_k, counts_k, _, _, group, _), gain in zip(levels, gains, strict=True):
-        own = gain[group]
-        out.append((codes_k[own > 0], counts_k[own > 0], own[own > 0]))
-    return out
-
-
-def tree_nodes(codes: np.ndarray, counts: np.ndarray, depth: int, min_count: int, cutoff: float) -> Iterator[tuple[int, int, float, np.ndarray]]:
-    """(context, length, divergence, next symbols' counts) of the contexts that stay."""
-    for k, (codes_k, counts_k, gain) in enumerate(kept_levels(codes, counts, depth, min_count, cutoff), 2):
-        contexts, first, _, _ = by_context(codes_k, counts_k)
-        ends = np.append(first[1:], len(codes_k))
-        for g, context in enumerate(contexts.tolist()):
-            row = np.zeros(CLASSES, dtype=np.uint32)
-            row[codes_k[first[g] : ends[g]] & 63] = np.minimum(counts_k[first[g] : ends[g]], 0xFFFFFFFF)
-            yield context, k, float(gain[first[g]]), row
+    return [(x[0][stays], x[1][stays]) for x, gain in zip(levels, gains, strict=True) for stays in [gain[x[4]] > 0]]
 
 
-def by_context(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of sorted codes: the contexts, where each one begins, its count, its kinds of next symbols."""
-    context = codes >> 6
-    first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(codes) else np.zeros(0, dtype=np.int64)
-    return context[first], first, np.add.reduceat(counts, first) if len(first) else counts, np.diff(np.append(first, len(codes)))
-
-
-@dataclass
-class Block:
-    """Contexts that end in some pairs of symbols, for lookups."""
-
-    levels: list[tuple[np.ndarray, ...]]  # of length 3, 4 ...: codes, counts, contexts, their counts, their kinds
-
-    @classmethod
-    def of(cls, groups: list[list[np.ndarray]], depth: int) -> Block:
-        """groups: the codes and counts of length 2, 3 ... of contexts with the same latest two symbols."""
-        levels = []
-        for k in range(3, depth + 1):
-            codes, counts = (np.concatenate([np.zeros(0, dtype=np.int64), *(g[2 * (k - 2) + j] for g in groups)]) for j in (0, 1))
-            order = np.argsort(codes, kind="stable")
-            codes, counts = codes[order], counts[order]
-            contexts, _, total, kinds = by_context(codes, counts)
-            levels.append((codes, counts, contexts, total, kinds))
-        return cls(levels)
-
-    def score(self, codes: np.ndarray, tree: Tree) -> np.ndarray:
-        """log10 probability of each code's symbol in the longest suffix of its past that stays."""
-        depth, symbol = tree.depth, codes & 63
-        state = tree.child[tree.child[0, codes >> (6 * depth)], (codes >> (6 * (depth - 1))) & 63]  # those of two symbols are all there
-        p = 10.0 ** tree.log10[state, symbol].astype(np.float64)
-        members = np.where(symbol == OTHER, max(1, (tree.classes == OTHER).sum()), 1)
-        live = np.arange(len(codes))
-        for k, (own, counts, contexts, total, kinds) in enumerate(self.levels, 3):
-            if not len(contexts):
-                break
-            wanted = codes[live] >> (6 * (depth - k + 1))
-            at = np.minimum(np.searchsorted(contexts, wanted), len(contexts) - 1)
-            hit = contexts[at] == wanted
-            live, at = live[hit], at[hit]
-            wanted = (contexts[at] << 6) | symbol[live]
-            i = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
-            x = np.where(own[i] == wanted, counts[i], 0) / members[live]
-            p[live] = (x + kinds[at] * p[live]) / (total[at] + kinds[at])
-        return np.log10(p)
-
-    def __len__(self) -> int:
-        return sum(len(x[0]) for x in self.levels)
-
-
-class Blocks:
-    """All contexts in broadcast blocks."""
-
-    def __init__(self, contexts: DataFrame, depth: int):
-        sc = contexts.sparkSession.sparkContext
-        self.block_of = np.zeros(CLASSES**2, dtype=np.int64)  # by the latest two symbols
-        self.shared, self.depth = [], depth
-        held: list[bytes] = []
-        for r in contexts.select("bucket", "a").coalesce(16).toLocalIterator():
-            held.append(r.a)
-            self.block_of[r.bucket] = len(self.shared)
-            if sum(map(len, held)) >= BLOCK_BYTES:
-                self.shared.append(sc.broadcast(held))
-                held = []
-        if held:
-            self.shared.append(sc.broadcast(held))
-
-    def score(self, codes: np.ndarray, tree: Tree, kept: dict[int, Block]) -> np.ndarray:
-        """Block.score() of each code; kept: opened blocks that the task keeps."""
-        bits = 6 * (self.depth + 1)
-        key = (self.block_of[codes >> (6 * (self.depth - 1))] << bits) | codes
-        order = np.argsort(key)
-        block = key[order] >> bits
-        edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]])) if len(codes) else []
-        out = np.zeros(len(codes))
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            k = int(block[a])
-            own = kept.get(k)
-            if own is None:
-                own = Block.of([opened(x) for x in self.shared[k].value], self.depth)
-                if sum(map(len, kept.values())) + len(own) <= OPEN_COUNTS:
-                    kept[k] = own
-            out[order[a:b]] = own.score(codes[order[a:b]], tree)
-        return out
-
-
-def _sparse(row: np.ndarray) -> bytes:
-    """The symbols that occur, then their counts."""
-    at = np.flatnonzero(row)
-    return at.astype(np.uint8).tobytes() + row[at].tobytes()
-
-
-def _dense(blob: bytes) -> np.ndarray:
-    n = len(blob) // 5
-    out = np.zeros(CLASSES, dtype=np.float32)
-    out[np.frombuffer(blob, dtype=np.uint8, count=n)] = np.frombuffer(blob, dtype=np.uint32, offset=n) if n else 0
-    return out
-
-
-def tree_table(docs: DataFrame, text_column: str, train: Column, classes: np.ndarray, depth: int, min_count: int, cutoff: float, buckets: int = BUCKETS) -> DataFrame:
-    """Packed rows (latest two symbols; codes and counts of length 2, 3 ...) of the contexts that pass the divergence test, over all training documents: a row for each two latest symbols."""
+def count_table(docs: DataFrame, text_column: str, train: Column, depth: int, parts: int) -> DataFrame:
+    """COUNTED rows over the training documents: codes and counts by latest two symbols (several rows each), words and counts by hash bucket (one row each), and totals of the words of each bucket."""
+    lead = 8 * max(0, depth - 3)  # below a code's latest four symbols
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = Sum(np.int64)
+        codes, words = Sum(np.int64), Sum(np.uint64)
         for batch in batches:
             for part in text_slices(batch.column(0)):
-                code = context_codes(classes[symbols(part, find_words(part, WORD_NOT_SPACE))[0]], depth)
+                found = find_words(part, WORD_NOT_SPACE)
+                words.add(*np.unique(word_hashes(part, found), return_counts=True))
+                code = context_codes(symbols(part, found)[0], depth)
                 code.sort()
                 first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-                total.add(code[first], np.diff(np.append(first, len(code))))
-                if total.full():
-                    yield packed([*rows(*total.get())])
-                    total.clear()
-        yield packed([*rows(*total.get())] or [(0, 0, b"", None, None)])
-
-    def rows(keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
-        group = keys >> (6 * (depth - 1))  # the latest two symbols
-        edges = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]])) if len(keys) else []
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            yield 0, int(group[a]), squeezed(np.diff(keys[a:b], prepend=np.int64(0)), counts[a:b]), None, None
-
-    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, last = Sum(np.int64), None
+                codes.add(code[first], np.diff(np.append(first, len(code))))
+                if codes.full() or words.full():
+                    yield handed_on(codes, words)
+        yield handed_on(codes, words)
+
+    def handed_on(codes: Sum, words: Sum) -> pa.RecordBatch:
+        out = []
+        keys, counts = codes.get()
+        group = (mix64((keys >> lead).view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        keys, counts, group = keys[order], counts[order], group[order]
+        out += [(CODES, int(group[a]), squeezed(steps(keys[a:b]), counts[a:b]), None, None) for a, b in runs(group)]
+        keys, counts = words.get()
+        out += [(WORDS, b, squeezed(steps(keys[x:y]), counts[x:y]), None, None) for x, y, b in _by_hash(keys, parts)]
+        codes.clear()
+        words.clear()
+        return _batch(out, COUNTED)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, total = None, None
+        for batch in batches:
+            for kind, bucket, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if (kind, bucket) != last:
+                    if last:
+                        yield summed(*last, total)
+                    last, total = (kind, bucket), Sum(np.int64 if kind == CODES else np.uint64)
+                keys, counts = opened(blob)
+                total.add(np.cumsum(keys, dtype=keys.dtype), counts)
+        if last:
+            yield summed(*last, total)
+
+    def summed(kind: int, bucket: int, total: Sum) -> pa.RecordBatch:
+        keys, counts = total.get()
+        if kind == WORDS:
+            return _batch([(WORDS, bucket, squeezed(steps(keys), counts), None, None), (TOTALS, bucket, None, int(counts.sum()), len(keys))], COUNTED)
+        pair = keys >> (8 * (depth - 1))
+        return _batch([(CODES, int(pair[a]), squeezed(steps(keys[a:b]), counts[a:b]), None, None) for a, b in runs(pair)], COUNTED)
+
+    counted = docs.where(F.coalesce(train, F.lit(False))).select(text_column).mapInArrow(frugal(count), COUNTED)
+    return counted.repartition(parts // PARTS, "kind", "bucket").sortWithinPartitions("kind", "bucket").mapInArrow(frugal(add), COUNTED)
+
+
+def tree_table(counted: DataFrame, depth: int, min_count: int, cutoff: float, partitions: int) -> DataFrame:
+    """(bucket, blob, pair, longer): for each two latest symbols the contexts that stay, then by themselves the counts of the context of these two, and whether a longer one stays."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, total = None, Sum(np.int64, 4 * HELD_CODES)
         for batch in batches:
-            for bucket, a in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for bucket, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != last and last is not None:
-                    yield from nodes(total)
+                    yield row(last, total)
                     total.clear()
                 last = bucket
-                if a:
-                    keys, counts = opened(a)
-                    total.add(np.cumsum(keys), counts)
-                if total.size > 4 * total.limit:
-                    total.get()
+                keys, counts = opened(blob)
+                total.add(np.cumsum(keys), counts)
         if last is not None:
-            yield from nodes(total)
+            yield row(last, total)
 
-    def nodes(total: Sum) -> Iterator[pa.RecordBatch]:
-        codes, counts = total.get()
-        if len(codes):
-            levels = kept_levels(codes, counts, depth, min_count, cutoff)
-            yield packed([(0, int(codes[0] >> (6 * (depth - 1))), squeezed(*(x for level in levels for x in level[:2])), None, None)])
+    def row(bucket: int, total: Sum) -> pa.RecordBatch:
+        levels = kept_levels(*total.get(), depth, min_count, cutoff)
+        codes, counts = levels[0]
+        blobs = squeezed(*(x for level in levels[1:] for x in level)), squeezed((codes & 255).astype(np.uint8), counts)
+        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), *(pa.array([x], pa.binary()) for x in blobs), pa.array([len(levels) > 1 and len(levels[1][0]) > 0])], names=["bucket", "blob", "pair", "longer"])
 
-    counted = docs.where(F.coalesce(train, F.lit(False))).select(text_column).mapInArrow(frugal(count), PACKED)
-    # the contexts that end in the same two symbols are worked on together, one such group at a time
-    return counted.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(frugal(reduce), PACKED)
+    pairs = counted.where(F.col("kind") == CODES).select("bucket", "blob").repartition(partitions, "bucket").sortWithinPartitions("bucket")
+    return pairs.mapInArrow(frugal(keep), "bucket bigint, blob binary, pair binary, longer boolean")
 
 
-def usual_nodes(table: DataFrame, most: int) -> list[tuple[int, int, bytes, bytes]]:
-    """(context, length, counts, symbols that lead on to longer contexts) of all contexts of two symbols and of the most frequent longer ones, `most` in all."""
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(x, kinds[t]) for x, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for blob in batch.column(2).to_pylist():
-                arrays = opened(blob)
-                levels = [(codes, counts, *by_context(codes, counts)) for codes, counts in zip(arrays[::2], arrays[1::2], strict=True)]
-                # no other context can be among the most frequent ones
-                seen = np.concatenate([x[4] for x in levels[1:]] or [np.zeros(0, dtype=np.int64)])
-                least = np.partition(seen, len(seen) - most)[len(seen) - most] if len(seen) > most else 0
-                for k, (codes, counts, contexts, first, total, kinds) in enumerate(levels, 2):
-                    longer = levels[k - 1][2] if k - 1 < len(levels) else contexts[:0]
-                    edge = np.searchsorted(longer, contexts << 6), np.searchsorted(longer, (contexts + 1) << 6)
-                    own = np.flatnonzero((total >= least) | (k == 2)).tolist()
-                    if own:
-                        more = [(longer[edge[0][g] : edge[1][g]] & 63).astype(np.uint8).tobytes() for g in own]
-                        # the symbols that occur, then their counts
-                        blobs = [(codes[first[g] : first[g] + kinds[g]] & 63).astype(np.uint8).tobytes() + np.minimum(counts[first[g] : first[g] + kinds[g]], 0xFFFFFFFF).astype(np.uint32).tobytes() for g in own]
-                        yield pa.RecordBatch.from_arrays([pa.array(contexts[own]), pa.array([k] * len(own), pa.int32()), pa.array(total[own], pa.int64()), pa.array(blobs, pa.binary()), pa.array(more, pa.binary())], names=["context", "length", "seen", "next", "more"])
-
-    rows = table.select("kind", "bucket", "a").mapInArrow(listed, "context bigint, length int, seen bigint, next binary, more binary")
-    # a context is seen at least as often as its extensions: those that lead to a chosen one are chosen too
-    pairs = rows.where("length = 2").collect()  # CLASSES ** 2 at most
-    best = rows.where("length > 2").orderBy(F.desc("seen"), "length", "context").limit(max(0, most - len(pairs))).collect()
-    return [(r.context, r.length, r.next, r.more) for r in [*pairs, *best]]
-
-
-def build_tree(nodes: list[tuple], classes: np.ndarray, depth: int) -> Tree:
-    """nodes: (context, length, counts, symbols that lead on if they are known), with every suffix of length 2 or more. Shorter contexts are summed from those of two symbols."""
-    rows = {(n, c): _dense(x) for c, n, x, *_ in nodes}
-    for n in (1, 0):
-        for (m, c), x in [(k, v) for k, v in rows.items() if k[0] == n + 1]:
-            at = (n, c >> 6)
-            rows[at] = rows[at] + x if at in rows else x.copy()
-    rows.setdefault((0, 0), np.zeros(CLASSES, dtype=np.float32))
-    order = sorted(rows, key=lambda k: (k[0], k[1]))
-    index = {k: i for i, k in enumerate(order)}
-    child = np.zeros((len(order), CLASSES), dtype=np.int32)
-    for c, n, _, *more in nodes:
-        for symbols_on in more:
-            child[index[n, c], np.frombuffer(symbols_on, dtype=np.uint8)] = -1  # unless it is found below
-    prob = np.zeros((len(order), CLASSES), dtype=np.float32)
-    uniform = np.full(CLASSES, 1 / (CLASSES - 1))
-    uniform[PAD] = 0
-    for i, (n, c) in enumerate(order):
-        up = index[n - 1, c >> 6] if n else None
-        if up is not None:
-            child[up, c & 63] = i
-        x = rows[n, c]
-        kinds = max(1, np.count_nonzero(x))
-        prob[i] = (x + kinds * (uniform if up is None else prob[up])) / (x.sum() + kinds)
-    prob[:, OTHER] /= max(1, (classes == OTHER).sum())
-    with np.errstate(divide="ignore"):
-        return Tree(classes, child, np.log10(prob).astype(np.float32), depth)
+
+def _by_hash(keys: np.ndarray, parts: int) -> Iterator[tuple[int, int, int]]:
+    """(start, end, bucket) of sorted 64-bit hashes; buckets are ranges of hashes."""
+    bucket = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    return ((a, b, int(bucket[a])) for a, b in runs(bucket))
 
 
 @dataclass
-class Model:
-    tree: Tree
-    words: np.ndarray
-    counts: np.ndarray
+class Shared:
+    """What every task knows: the distributions of short contexts, the word totals, and how the rest is dealt out."""
+
+    depth: int
+    parts: int
+    first: np.ndarray  # latest symbol -> its distribution, or the empty context's where it isn't a state
+    pairs: np.ndarray  # latest two symbols that are states, sorted
+    second: np.ndarray  # their distributions
+    copies: np.ndarray  # of each pair's part of the tree
     documents: int
     tokens: int
     kinds: int
-    whole: bool  # no word is outside `words`
-    share: float = SHARE
 
-    def base(self, count: np.ndarray) -> np.ndarray:
+    @classmethod
+    def of(cls, rows: list[tuple[int, bytes, bool]], words: tuple[int, int], depth: int, parts: int, min_count: int, cutoff: float) -> Shared:
+        """rows: (pair, next symbols and counts, whether a longer context stays); words: how many there are, and how many kinds."""
+        by_pair = {}
+        for pair, blob, longer in sorted(rows):
+            symbol, n = opened(blob)
+            by_pair[pair] = np.zeros(256)
+            by_pair[pair][symbol] = n
+        longer = {pair for pair, _, more in rows if more}
+        ones = np.zeros((256, 256))
+        for pair, x in by_pair.items():
+            ones[pair >> 8] += x
+        zero = ones.sum(0)
+        uniform = np.full(256, 1 / SYMBOLS)
+        uniform[PAD] = 0
+        stays = lambda x, up: x.sum() >= min_count and (x[x > 0] * np.log(x[x > 0] / x.sum() / (up[x > 0] / up.sum()))).sum() >= cutoff
+        smooth = lambda x, up: (x + np.count_nonzero(x) * up) / max(1.0, x.sum() + np.count_nonzero(x)) if x.any() else up
+        two = [p for p, x in by_pair.items() if p & 255 != PAD and (p in longer or stays(x, ones[p >> 8]))]
+        leads = {p >> 8 for p in two}
+        empty = smooth(zero, uniform)
+        first = np.stack([smooth(x, empty) if k in leads or x.any() and stays(x, zero) else empty for k, x in enumerate(ones)])
+        second = np.stack([smooth(by_pair[p], first[p >> 8]) for p in two]) if two else np.zeros((0, 256))
+        copies = np.ones(1 << 16, dtype=np.int64)
+        for p, x in by_pair.items():
+            copies[p] += int(x.sum() / zero.sum() * parts)
+        documents = int(zero[STOP])
+        return cls(depth, parts, first, np.array(two, dtype=np.int64), second.astype(np.float32), copies, documents, words[0] + documents, words[1] + (documents > 0))
+
+    def base(self, count: np.ndarray | int) -> np.ndarray:
         return np.log10((count + 1) / (self.tokens + self.kinds + 1))
 
-    def mixed(self, count: np.ndarray, spelling: np.ndarray) -> np.ndarray:
-        """log10 of a word's probability; spelling: log10 of that in the tree."""
-        if not self.tokens:
-            return spelling
-        return np.logaddexp(np.log(np.maximum(count * (1 - self.share) / self.tokens, 1e-300)), np.log(self.share) + spelling * np.log(10)) / np.log(10)
-
-
-def fit(docs: DataFrame, text_column: str, train: Column, depth: int = DEPTH, max_states: int = MAX_STATES, min_count: int = MIN_COUNT, cutoff: float = CUTOFF) -> tuple[Model, DataFrame, Blocks]:
-    """The model, the packed table of all words' counts, and all of the tree's contexts."""
-    table = durable(word_table(docs, text_column, train))
-    seen = table.where("kind = 1").select("a", "b").collect()
-    bytes_seen = sum((np.frombuffer(r.a, dtype=np.int64) for r in seen), np.zeros(256, dtype=np.int64))
-    documents = sum(int(np.frombuffer(r.b, dtype=np.int64)[0]) for r in seen)
-    top = table.where("kind = 2").select("a", "b", "c").collect()  # LOOKUP_WORDS words at most
-    totals = sum((np.frombuffer(r.c, dtype=np.int64) for r in top), np.zeros(2, dtype=np.int64))
-    words, counts = merged([np.frombuffer(r.a, dtype=np.uint64) for r in top] or [np.zeros(0, dtype=np.uint64)], [np.frombuffer(r.b, dtype=np.int64) for r in top] or [np.zeros(0, dtype=np.int64)])
-    classes = classes_of(bytes_seen)
-    contexts = durable(tree_table(docs, text_column, train, classes, depth, min_count, cutoff))
-    tree = build_tree(usual_nodes(contexts, max_states), classes, depth)
-    return Model(tree, words, counts, documents, int(totals[0]) + documents, int(totals[1]) + (documents > 0), len(words) == int(totals[1])), table.where("kind = 0"), Blocks(contexts, depth)
-
-
-SCORED = "kind int, bucket int, a binary, b binary, c binary, row bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+    def log10(self, codes: np.ndarray, levels: list[tuple[np.ndarray, ...]]) -> np.ndarray:
+        """Of sorted codes with the same latest two symbols: log10 probability of the symbol in the longest suffix of its past that is a state. levels: of contexts of three symbols and more: codes, counts, contexts, their counts and kinds."""
+        symbol, pair = codes & 255, int(codes[0] >> (8 * (self.depth - 1)))
+        at = int(np.searchsorted(self.pairs, pair))
+        p = (self.second[at] if at < len(self.pairs) and self.pairs[at] == pair else self.first[pair >> 8])[symbol].astype(np.float64)
+        live = np.arange(len(codes))
+        for k, (own, counts, contexts, total, kinds) in enumerate(levels, 3):
+            if not len(contexts) or not len(live):
+                break
+            wanted = codes[live] >> (8 * (self.depth - k + 1))
+            at = np.minimum(np.searchsorted(contexts, wanted), len(contexts) - 1)
+            hit = contexts[at] == wanted
+            live, at = live[hit], at[hit]
+            wanted = (contexts[at] << 8) | symbol[live]
+            i = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
+            p[live] = (np.where(own[i] == wanted, counts[i], 0) + kinds[at] * p[live]) / (total[at] + kinds[at])
+        return np.log10(p)
 
 
-def _scored(kind: int, bucket: int, blobs: tuple, row: np.ndarray, *sums: np.ndarray) -> pa.RecordBatch:
-    n = len(row)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([kind] * n, pa.int32()), pa.array([bucket] * n, pa.int32()), *(pa.array([x] * n, pa.binary()) for x in blobs), pa.array(row, pa.int64()), *(pa.array(x, t) for x, t in zip(sums, (pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True))],
-        names=["kind", "bucket", "a", "b", "c", "row", "n_tokens", "n_known", "base_score", "score"],
-    )
+def questions(shared: Callable[[], Shared]) -> Callable:
+    """Documents (text, id, held out) -> ROWS: each chunk's texts, and its distinct codes and words, each to a part that knows them."""
 
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, chunk = shared(), TaskContext.get().partitionId() << 24
+        codes, words, texts, size = [], [], [], 0
+        for batch in batches:
+            for part in text_slices(batch.column(0)):
+                found = find_words(part, WORD_NOT_SPACE)
+                words.append(np.unique(word_hashes(part, found)))
+                codes.append(distinct(context_codes(symbols(part, found)[0], own.depth)))
+                texts.append(_sealed(batch.slice(part.first, len(part))))
+                size += len(part.data)
+                if size >= CHUNK_BYTES:
+                    yield rows(own, chunk, codes, words, texts)
+                    chunk, codes, words, texts, size = chunk + 1, [], [], [], 0
+        if texts:
+            yield rows(own, chunk, codes, words, texts)
+
+    def rows(own: Shared, chunk: int, codes: list[np.ndarray], words: list[np.ndarray], texts: list[bytes]) -> pa.RecordBatch:
+        copy = int(mix64(np.array([chunk], dtype=np.uint64))[0] >> np.uint64(16))
+        out = [(TEXTS, 0, k, chunk, x) for k, x in enumerate(texts)]
+        keys = distinct(np.concatenate(codes))
+        pairs = keys >> (8 * (own.depth - 1))
+        for a, b in runs(pairs):
+            pair = int(pairs[a])
+            out.append((ASKED_CODES, pair << 16 | copy % int(own.copies[pair]), pair, chunk, squeezed(steps(keys[a:b]))))
+        keys = distinct(np.concatenate(words))
+        out += [(ASKED_WORDS, -1 - bucket, bucket, chunk, squeezed(steps(keys[a:b]))) for a, b, bucket in _by_hash(keys, own.parts)]
+        return _batch(out, ROWS)
+
+    return ask
+
+
+def answers(shared: Callable[[], Shared]) -> Callable:
+    """ROWS sorted by (to, kind): what is known, then what is asked -> ROWS (chunk; keys and the tree's log10 probabilities or the words' counts)."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, last, levels, keys, counts = shared(), None, [], np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        for batch in batches:
+            out = []
+            for kind, to, bucket, chunk, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if to != last:
+                    last, levels, keys, counts = to, [], keys[:0], counts[:0]
+                arrays = opened(blob)
+                if kind == CODES:
+                    levels = [(c, n, x, total, kinds) for c, n in zip(arrays[::2], arrays[1::2], strict=True) for x, _, total, kinds in [by_context(c, n)]]
+                elif kind == WORDS:
+                    keys, counts = np.cumsum(arrays[0], dtype=np.uint64), arrays[1]
+                elif kind == ASKED_CODES:
+                    out.append((kind, 0, bucket, chunk, squeezed(arrays[0], own.log10(np.cumsum(arrays[0]), levels).astype(np.float32))))
+                else:
+                    wanted = np.cumsum(arrays[0], dtype=np.uint64)
+                    at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
+                    found = np.where(keys[at] == wanted, counts[at], 0) if len(keys) else np.zeros(len(wanted), dtype=np.int64)
+                    out.append((kind, 0, bucket, chunk, squeezed(arrays[0], found)))
+            yield _batch(out, ROWS)
 
-def _with_ids(batch: pa.RecordBatch, kind: pa.DataType, ids: pa.Array | None = None) -> pa.RecordBatch:
-    return batch.append_column("id", pa.nulls(len(batch), kind) if ids is None else ids)
+    return answer
 
 
-def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", held_out: tuple[int, int] = HELD_OUT, depth: int = DEPTH, max_states: int = MAX_STATES) -> DataFrame:
-    """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    folds, out_fold = held_out
-    docs = small_batches(docs)
-    model, table, blocks = fit(docs, text_column, fold(id_column, folds) != out_fold, depth, max_states)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    zero = np.zeros(1)
+def scorer(shared: Callable[[], Shared], id_column: str) -> Callable:
+    """ROWS sorted by (chunk, kind, bucket): a chunk's answers, then its texts -> a row for each document."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = shared.value
-        kept: dict[int, Block] = {}
-        walked: list[tuple] = []
-        for batch in batches:
-            for part in text_slices(batch.column(0)):
-                words = find_words(part, WORD_NOT_SPACE)
-                data, begins = symbols(part, words)
-                symbol = m.tree.classes[data]
-                local, beyond = m.tree.walk(symbol)
-                codes = context_codes(symbol, m.tree.depth, beyond)
-                n = len(part)
-                walked.append((words, word_hashes(part, words), data, begins, local, beyond, codes, batch.column(1).slice(part.first, n).to_numpy(), batch.column(2).slice(part.first, n)))
-                if len(walked) >= SLICES:
-                    yield from summed(m, walked, kept)
-                    walked = []
-        yield from summed(m, walked, kept)
-
-    def summed(m: Model, walked: list[tuple], kept: dict[int, Block]) -> Iterator[pa.RecordBatch]:
-        looked_up = blocks.score(np.concatenate([np.zeros(0, dtype=np.int64), *(x[6] for x in walked)]), m.tree, kept)
-        for words, hashes, data, begins, local, beyond, _, rows, ids in walked:
-            local[beyond], looked_up = looked_up[: len(beyond)], looked_up[len(beyond) :]
-            lp = np.concatenate([[0], np.cumsum(local, dtype=np.float64)])
-            space = np.flatnonzero(data == 0x20) + 1  # one after each word
-            doc = words.doc_of()
-            start = np.empty(len(space), dtype=np.int64)
-            start[1:] = space[:-1]
-            first = words.bounds[:-1][np.diff(words.bounds) > 0]
-            start[first] = begins[:-1][np.diff(words.bounds) > 0]
-            spelling = lp[space] - lp[start]
-            stop = lp[begins[1:]] - lp[begins[1:] - 1]
-            at = np.minimum(np.searchsorted(m.words, hashes), max(0, len(m.words) - 1))
-            hit = m.words[at] == hashes if len(m.words) else np.zeros(len(hashes), dtype=bool)
-            count = m.counts[at[hit]] if len(m.words) else np.zeros(0)
-            known = hit if not m.whole else np.ones(len(hashes), dtype=bool)
-            here = np.zeros(len(hashes))
-            here[hit] = count
-            n = len(rows)
-            ends = np.full(n, m.documents)
-            sums = [np.bincount(doc[known], weights=x, minlength=n) for x in (m.base(here[known]), m.mixed(here[known], spelling[known]))]
-            yield _with_ids(_scored(0, -1, (None, None, None), rows, np.diff(words.bounds) + 1, np.bincount(doc[hit], minlength=n) + (ends > 0), sums[0] + m.base(ends), sums[1] + m.mixed(ends, stop)), ids.type, ids)
-            if not known.all():
-                rare = np.flatnonzero(~known)
-                rare = rare[np.argsort(hashes[rare], kind="stable")]
-                bucket = (hashes[rare] >> np.uint64(48)).astype(np.int64) * BUCKETS >> 16
-                edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-                for a, b in zip(edges[:-1], edges[1:], strict=True):
-                    x = rare[a:b]
-                    yield _with_ids(_scored(1, int(bucket[a]), (hashes[x].tobytes(), rows[doc[x]].tobytes(), spelling[x].astype(np.float32).tobytes()), np.full(1, -1), zero, zero, zero, zero), ids.type)
-
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = shared.value
-        bucket, keys, counts = None, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        names = ["row", "n_tokens", "n_known", "base_score", "score", "id"]
+        own, last, known, ready = shared(), None, {}, {}
         for batch in batches:
-            kinds = batch.column(0).to_numpy()
-            done = batch.filter(pa.array((kinds == 0) & (batch.column(1).to_numpy() < 0)))
-            if len(done):
-                yield done.select(names)
-            for k in np.flatnonzero(batch.column(1).to_numpy() >= 0).tolist():
-                b, x, y, z = (batch.column(c)[k].as_py() for c in (1, 2, 3, 4))
-                if kinds[k] == 0:
-                    bucket, keys, counts = b, np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.int64)
+            for kind, _, _, chunk, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if chunk != last:
+                    last, known, ready = chunk, {ASKED_CODES: ([], []), ASKED_WORDS: ([], [])}, {}
+                if kind != TEXTS:
+                    keys, values = opened(blob)
+                    known[kind][0].append(np.cumsum(keys, dtype=keys.dtype))
+                    known[kind][1].append(values)
                     continue
-                if b != bucket:
-                    bucket, keys, counts = b, keys[:0], counts[:0]
-                h, rows, spelling = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.int64), np.frombuffer(z, dtype=np.float32).astype(np.float64)
-                at = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
-                count = np.where(keys[at] == h, counts[at], 0) if len(keys) else np.zeros(len(h), dtype=np.int64)
-                own, doc = np.unique(rows, return_inverse=True)
-                sums = [np.bincount(doc, weights=w) for w in (count > 0, m.base(count), m.mixed(count, spelling))]
-                yield _with_ids(_scored(0, -1, (None, None, None), own, np.zeros(len(own), dtype=np.int64), sums[0].astype(np.int64), sums[1], sums[2]), batch.column("id").type).select(names)
-
-    # ids go along with their texts: rows dealt at random may come in another order when they are read again
-    source = docs.select(F.col(text_column), F.monotonically_increasing_id().alias("row"), F.col(id_column).alias("id"))
+                if not ready:
+                    ready = {k: tuple(np.concatenate(x) if x else np.zeros(0, dtype=np.uint64) for x in pair) for k, pair in known.items()}
+                    known = {}
+                yield from scored(own, _unsealed(blob), ready)
+
+    def scored(own: Shared, texts: pa.RecordBatch, ready: dict) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(texts.column(0)):
+            found, n = find_words(part, WORD_NOT_SPACE), len(part)
+            symbol, begins = symbols(part, found)
+            keys, values = ready[ASKED_CODES]
+            total = np.add.reduceat(values[np.searchsorted(keys, context_codes(symbol, own.depth))].astype(np.float64), begins[:-1])
+            keys, counts = ready[ASKED_WORDS]
+            count = counts[np.searchsorted(keys, word_hashes(part, found))] if len(keys) else np.zeros(0, dtype=np.int64)
+            doc = found.doc_of()
+            sums = [np.bincount(doc, weights=x, minlength=n) for x in (count > 0, own.base(count))]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    texts.column(1).slice(part.first, n), texts.column(2).slice(part.first, n), pa.array(np.diff(found.bounds) + 1, pa.int64()), pa.array(sums[0].astype(np.int64) + (own.documents > 0), pa.int64()),
+                    pa.array(np.full(n, own.tokens), pa.int64()), pa.array(sums[1] + own.base(own.documents), pa.float64()), pa.array(total, pa.float64()),
+                ],
+                names=[id_column, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
+
+    return score
+
+
+def _sealed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unsealed(blob: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(blob).read_next_batch()
+
+
+def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", held_out: tuple[int, int] = HELD_OUT, depth: int = DEPTH, min_count: int = MIN_COUNT, cutoff: float = CUTOFF) -> DataFrame:
+    """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 of the text's probability in the tree)."""
+    if not 2 <= depth <= 6:
+        raise ValueError("depth must be from 2 to 6")
+    folds, out_fold = held_out
+    spark = docs.sparkSession
+    docs = small_batches(docs)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = PARTS * partitions
+    counted = durable(count_table(docs, text_column, fold(id_column, folds) != out_fold, depth, parts))
+    tree = durable(tree_table(counted, depth, min_count, cutoff, partitions))
+    totals = counted.where(F.col("kind") == TOTALS).agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
+    pairs = [tuple(r) for r in tree.select("bucket", "pair", "longer").collect()]  # 255 ** 2 at most, of 256 counts at most
+    known = Shared.of(pairs, tuple(totals), depth, parts, min_count, cutoff)
+    broadcast = spark.sparkContext.broadcast(known)
+    shared = lambda: broadcast.value
+
+    is_held_out = F.coalesce(fold(id_column, folds) == out_fold, F.lit(True))
+    asked = durable(docs.select(F.col(text_column), F.col(id_column), is_held_out.alias("held_out")).mapInArrow(frugal(questions(shared)), ROWS))
+    copied = {int(p): int(known.copies[p]) for p in np.flatnonzero(known.copies > 1)}
+    copies = F.coalesce(F.create_map(*[F.lit(x) for pair in copied.items() for x in pair])[F.col("bucket").cast("int")], F.lit(1)) if copied else F.lit(1)
+    part_of_tree = tree.select(F.lit(CODES).alias("kind"), "bucket", "blob", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    none = F.lit(0).cast("bigint").alias("chunk")
+    told = part_of_tree.select("kind", (F.col("bucket") * 65536 + F.col("copy")).alias("to"), "bucket", none, "blob")
+    told = told.unionAll(counted.where(F.col("kind") == WORDS).select("kind", (-1 - F.col("bucket")).alias("to"), "bucket", none, "blob"))
+    met = told.unionAll(asked.where(F.col("kind") != TEXTS)).repartition(partitions, "to").sortWithinPartitions("to", "kind")
+    answered = met.mapInArrow(frugal(answers(shared)), ROWS)
+    whole = answered.unionAll(asked.where(F.col("kind") == TEXTS)).repartition(partitions, "chunk").sortWithinPartitions("chunk", "kind", "bucket")
     kind = docs.schema[id_column].dataType.simpleString()
-    schema = f"{SCORED}, id {kind}"
-    scored = source.mapInArrow(frugal(score), schema)
-    if not model.whole:
-        empty = [F.lit(None).cast(t).alias(c) for c, t in (("row", "bigint"), ("n_tokens", "bigint"), ("n_known", "bigint"), ("base_score", "double"), ("score", "double"), ("id", kind))]
-        spread = F.when(F.col("bucket") < 0, -1 - F.col("row") % BUCKETS).otherwise(F.col("bucket"))  # rows without a lookup go anywhere
-        scored = scored.unionByName(table.select("kind", "bucket", "a", "b", "c", *empty)).withColumn("to", spread)
-        scored = scored.repartition(BUCKETS, "to").sortWithinPartitions("to", "kind").drop("to")
-        scored = scored.mapInArrow(frugal(look_up), f"row bigint, n_tokens bigint, n_known bigint, base_score double, score double, id {kind}")
-    sums = scored.groupBy("row").agg(F.max("id").alias("id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
-    is_held_out = F.coalesce(fold("id", folds), F.lit(out_fold)) == out_fold
-    return sums.select(F.col("id").alias(id_column), is_held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
+    return whole.mapInArrow(frugal(scorer(shared, id_column)), f"`{id_column}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

@@ -150,71 +150,62 @@ def test_decontamination(spark, docs, rows, empty):
     assert not any(r.contaminated for r in decontaminate.find_contamination(docs, bench.where("false")).collect())
 
 
-@pytest.mark.parametrize("lookup", [1 << 19, 64])
-def test_lm_scores(docs, rows, monkeypatch, lookup):
-    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, *_ in rows}
-    tokens = {i: [*SPACE.findall(low(t)), None] for i, t, *_ in rows}
-    count = Counter(w for i, t in tokens.items() if not held[i] for w in t)
+def brute_tree(texts, depth=6, min_count=4, cutoff=4.0):
+    """log10 P(byte | past) with contexts in dictionaries. texts: lists of bytes and a last None."""
+    seen = defaultdict(Counter)
+    pasts = lambda t: ([*reversed(t[:i]), None] for i in range(len(t)))
+    for t in texts:
+        for past, s in zip(pasts(t), t, strict=True):
+            for k in range(min(depth, len(past)) + 1):
+                seen[tuple(past[:k])][s] += 1
+    stay = {()}
+    for c, own in seen.items():
+        up, n = seen[c[:-1]], sum(own.values())
+        if c and n >= min_count and sum(x * math.log(x / n / (up[s] / sum(up.values()))) for s, x in own.items()) >= cutoff:
+            stay |= {c[:k] for k in range(len(c) + 1)}
+
+    def p(c, s):
+        up = p(c[:-1], s) if c else 1 / 255
+        own = seen[c] if c in seen else {}
+        return (own.get(s, 0) + len(own) * up) / (sum(own.values()) + len(own)) if own else up
+
+    def score(t):
+        return sum(math.log10(p(max((tuple(past[:k]) for k in range(min(depth, len(past)) + 1) if tuple(past[:k]) in stay), key=len), s)) for past, s in zip(pasts(t), t, strict=True))
+
+    return score, stay
+
+
+@pytest.mark.parametrize("dealt, options", [(lambda d: d, {}), (lambda d: d.repartition(5), {"min_count": 2, "cutoff": 0.5}), (lambda d: d.repartition(3, "n_chars").orderBy("lang"), {"depth": 3})])
+def test_lm_scores(spark, rows, monkeypatch, dealt, options):
+    extra = [(600, "nul \x00 byte \x00", "en", "s", 1), (600, "Текст на 日本語 текст", "en", "s", 1), (601, "very " * 3000 + "l" * 5000, "en", "s", 1)]
+    rows = [*rows, *extra]
+    docs = dealt(spark.createDataFrame(rows, SCHEMA)).withColumnRenamed("source", "chunk").withColumnRenamed("n_chars", "kind")
+    monkeypatch.setattr(lm_score, "CHUNK_BYTES", 4000)
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    tokens = [(i, [*SPACE.findall(low(t)), None]) for i, t, *_ in rows]
+    count = Counter(w for i, t in tokens if not held(i) for w in t)
     total, kinds = sum(count.values()), len(count)
-    monkeypatch.setattr(lm_score, "LOOKUP_WORDS", lookup)
-    got = {r.doc_id: r for r in lm_score.score_documents(docs).collect()}
-    assert len(got) == len(rows)
-    for i, t in tokens.items():
-        r = got[i]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(t), sum(count[w] > 0 for w in t), total)
-        assert math.isclose(r.base_score, sum(math.log10((count[w] + 1) / (total + kinds + 1)) for w in t), rel_tol=1e-9)
-        assert r.score < 0
-
-
-def test_lm_tree_is_a_distribution_and_takes_the_longest_suffix():
-    text = b"abcabcabdabcabcabc"
-    data = np.frombuffer(text * 30 + b"\xff", dtype=np.uint8)
-    classes = lm_score.classes_of(np.bincount(data, minlength=256))
-    codes, counts = np.unique(lm_score.context_codes(classes[data], 4), return_counts=True)
-    nodes = [(c, n, lm_score._sparse(x)) for c, n, _, x in lm_score.tree_nodes(codes, counts, 4, 2, 0.5)]
-    tree = lm_score.build_tree(nodes, classes, 4)
-    assert max(n for _, n, _ in nodes) >= 3
-    members = np.ones(lm_score.CLASSES)
-    members[lm_score.OTHER] = (classes == lm_score.OTHER).sum()
-    assert np.allclose((10.0 ** tree.log10 * members)[:, 1:].sum(1), 1, atol=1e-4)
-    own = {(n, c) for c, n, _ in nodes}
-    symbols = classes[data]
-    expected = []
-    for p in range(8, 60):
-        best = max((n for n in range(2, 5) if (n, sum(int(symbols[p - j - 1]) << (6 * (n - 1 - j)) for j in range(n))) in own), default=1)
-        state = 0
-        for j in range(best):
-            state = tree.child[state, symbols[p - j - 1]]
-        expected.append(tree.log10[state, symbols[p]])
-    assert np.allclose(tree.score(data)[8:60], expected)
-
-
-@pytest.mark.parametrize("lookup", [1 << 19, 64])
-def test_lm_scores_use_every_context_that_stays(docs, rows, monkeypatch, lookup):
-    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, *_ in rows}
-    monkeypatch.setattr(lm_score, "LOOKUP_WORDS", lookup)
-    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 1000)
-    joined = {i: b"".join(w.encode() + b" " for w in SPACE.findall(low(t))) + b"\xff" for i, t, *_ in rows}
-    learned = [np.frombuffer(x, dtype=np.uint8) for i, x in joined.items() if not held[i]]
-    classes = lm_score.classes_of(np.bincount(np.concatenate(learned), minlength=256))
-    codes, counts = np.unique(np.concatenate([lm_score.context_codes(classes[x], 6) for x in learned]), return_counts=True)
-    nodes = [(c, n, lm_score._sparse(x)) for c, n, _, x in lm_score.tree_nodes(codes, counts, 6, lm_score.MIN_COUNT, lm_score.CUTOFF)]
-    tree = lm_score.build_tree(nodes, classes, 6)
-    words = Counter(w for i, t, *_ in rows if not held[i] for w in [*SPACE.findall(low(t)), None])
-    total, most = sum(words.values()), sum(n == 2 for _, n, _ in nodes) + 20
-    assert len(nodes) > 2 * most  # most contexts are in blocks only
-    got = {r.doc_id: r.score for r in lm_score.score_documents(docs, max_states=most).collect()}
-    for i, t, *_ in rows:
-        lp, at, expected = tree.score(np.frombuffer(joined[i], dtype=np.uint8)).astype(float), 0, 0.0
-        for w in [*SPACE.findall(low(t)), None]:
-            size = 1 if w is None else len(w.encode()) + 1
-            expected += math.log10(0.5 * words[w] / total + 0.5 * 10 ** lp[at : at + size].sum())
-            at += size
-        assert math.isclose(got[i], expected, rel_tol=1e-5), i
+    symbols = lambda t: [b for w in t[:-1] for b in [*w.encode(), 0x20]] + [None]
+    score, stay = brute_tree([symbols(t) for i, t in tokens if not held(i)], **options)
+    assert max(map(len, stay)) == options.get("depth", 6)
+    expected = sorted((i, held(i), len(t), sum(count[w] > 0 for w in t), total, round(sum(math.log10((count[w] + 1) / (total + kinds + 1)) for w in t), 6), round(score(symbols(t)), 2)) for i, t in tokens)
+    got = sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 2)) for r in lm_score.score_documents(docs, **options).collect())
+    assert [x[:6] for x in got] == [x[:6] for x in expected]
+    assert np.allclose([x[6] for x in got], [x[6] for x in expected], rtol=1e-4, atol=0.02)
 
 
-def test_lm_without_training_rows(empty):
+def test_lm_edges(spark, docs, empty):
     assert lm_score.score_documents(empty).count() == 0
+    nothing = spark.createDataFrame([(None, "a b", "x", "y", 1), (None, None, "x", "y", 1)], SCHEMA)
+    got = sorted((r.n_tokens, r.n_known, r.train_tokens, r.held_out, round(r.base_score, 6), round(r.score, 6)) for r in lm_score.score_documents(nothing).collect())
+    assert got == [(1, 0, 0, True, 0.0, round(math.log10(1 / 255), 6)), (3, 0, 0, True, 0.0, round(5 * math.log10(1 / 255), 6))]
+
+
+def test_lm_parts_of_frequent_pairs_are_copied():
+    rows = [(0x6162, lm_score.squeezed(np.array([0x63], np.uint8), np.array([900])), True), (0x6161, lm_score.squeezed(np.array([0x63], np.uint8), np.array([100])), True)]
+    shared = lm_score.Shared.of(rows, (10, 5), 6, 96, 4, 4.0)
+    assert shared.copies[0x6162] == 87 and shared.copies[0x6161] == 10 and shared.copies[0] == 1
+    assert np.allclose(shared.first[:, 1:].sum(1), 1) and np.allclose(shared.second[:, 1:].sum(1), 1, atol=1e-6)
 
 
 def test_sharding(docs, rows):
