@@ -29,6 +29,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def forget(*frames: DataFrame) -> None:
+    """Deletes the files of durable() tables that nothing reads any more."""
+    for df in frames:
+        path = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if path.isDefined():
+            folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path.get())
+            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fold(id_column: str, folds: int) -> Column:
     """crc32 of the id's decimal text, modulo `folds`; null for a null id."""
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % F.lit(folds)

@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, fold, frugal, small_batches
+from .common import durable, fold, forget, frugal, small_batches
 from .textvec import END, WORD_NOT_SPACE, TextSlice, Words, find_words, mix64, text_slices, word_hashes
 
 DEPTH = 6
@@ -53,9 +53,9 @@ MIN_COUNT = 4
 CUTOFF = 4.0
 HELD_OUT = (7, 2)  # folds, the one that isn't learned from
 #: Text that is asked for and scored together; codes that a counting task holds.
-CHUNK_BYTES, HELD_CODES = 8 << 20, 3_000_000
+CHUNK_BYTES, HELD_CODES = 16 << 20, 3_000_000
 #: Parts of the kept tables for each shuffle partition.
-PARTS = 8
+PARTS = 2
 PAD, STOP = 0, END
 #: byte -> symbol: PAD takes the place of the zero byte, which moves to one that UTF-8 never has.
 SYMBOL = np.arange(256, dtype=np.int64)
@@ -254,7 +254,7 @@ def tree_table(counted: DataFrame, depth: int, min_count: int, cutoff: float, pa
     """(bucket, blob, pair, longer): for each two latest symbols the contexts that stay, then by themselves the counts of the context of these two, and whether a longer one stays."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, total = None, Sum(np.int64, 4 * HELD_CODES)
+        last, total = None, Sum(np.int64)
         for batch in batches:
             for bucket, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if bucket != last and last is not None:
@@ -327,10 +327,14 @@ class Shared:
         second = np.stack([smooth(by_pair[p], first[p >> 8]) for p in two]) if two else np.zeros((0, 256))
         copies = np.ones(1 << 16, dtype=np.int64)
         for p, x in by_pair.items():
-            copies[p] += int(x.sum() / zero.sum() * parts)
+            copies[p] = min(parts, 1 + int(x.sum() / zero.sum() * parts))
         documents = int(zero[STOP])
         return cls(depth, parts, first, np.array(two, dtype=np.int64), second.astype(np.float32), copies, documents, words[0] + documents, words[1] + (documents > 0))
 
+    def part_of(self, pair: np.ndarray, copy: np.ndarray | int) -> np.ndarray:
+        """The part that answers for a pair; `copy` chooses among the copies of frequent ones."""
+        return ((mix64(pair.astype(np.uint64)) % np.uint64(self.parts)).astype(np.int64) + copy % self.copies[pair]) % self.parts
+
     def base(self, count: np.ndarray | int) -> np.ndarray:
         return np.log10((count + 1) / (self.tokens + self.kinds + 1))
 
@@ -377,9 +381,10 @@ def questions(shared: Callable[[], Shared]) -> Callable:
         out = [(TEXTS, 0, k, chunk, x) for k, x in enumerate(texts)]
         keys = distinct(np.concatenate(codes))
         pairs = keys >> (8 * (own.depth - 1))
-        for a, b in runs(pairs):
-            pair = int(pairs[a])
-            out.append((ASKED_CODES, pair << 16 | copy % int(own.copies[pair]), pair, chunk, squeezed(steps(keys[a:b]))))
+        to = own.part_of(pairs, copy)
+        order = np.argsort(to, kind="stable")
+        keys, to = keys[order], to[order]
+        out += [(ASKED_CODES, int(to[a]), int(to[a]), chunk, squeezed(steps(keys[a:b]))) for a, b in runs(to)]
         keys = distinct(np.concatenate(words))
         out += [(ASKED_WORDS, -1 - bucket, bucket, chunk, squeezed(steps(keys[a:b]))) for a, b, bucket in _by_hash(keys, own.parts)]
         return _batch(out, ROWS)
@@ -387,23 +392,40 @@ def questions(shared: Callable[[], Shared]) -> Callable:
     return ask
 
 
+def copies(shared: Callable[[], Shared]) -> Callable:
+    """The tree's parts (pair, blob) -> ROWS, one for each copy."""
+
+    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared()
+        for batch in batches:
+            for pair, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n = int(own.copies[pair])
+                to = own.part_of(np.full(n, pair), np.arange(n))
+                yield _batch([(CODES, int(t), pair, 0, blob) for t in to], ROWS)
+
+    return copy
+
+
 def answers(shared: Callable[[], Shared]) -> Callable:
     """ROWS sorted by (to, kind): what is known, then what is asked -> ROWS (chunk; keys and the tree's log10 probabilities or the words' counts)."""
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, last, levels, keys, counts = shared(), None, [], np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+        own, last, tree, keys, counts = shared(), None, {}, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         for batch in batches:
             out = []
             for kind, to, bucket, chunk, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if to != last:
-                    last, levels, keys, counts = to, [], keys[:0], counts[:0]
+                    last, tree, keys, counts = to, {}, keys[:0], counts[:0]
                 arrays = opened(blob)
                 if kind == CODES:
-                    levels = [(c, n, x, total, kinds) for c, n in zip(arrays[::2], arrays[1::2], strict=True) for x, _, total, kinds in [by_context(c, n)]]
+                    tree[bucket] = [(c, n, x, total, kinds) for c, n in zip(arrays[::2], arrays[1::2], strict=True) for x, _, total, kinds in [by_context(c, n)]]
                 elif kind == WORDS:
                     keys, counts = np.cumsum(arrays[0], dtype=np.uint64), arrays[1]
                 elif kind == ASKED_CODES:
-                    out.append((kind, 0, bucket, chunk, squeezed(arrays[0], own.log10(np.cumsum(arrays[0]), levels).astype(np.float32))))
+                    codes = np.cumsum(arrays[0])
+                    pairs = codes >> (8 * (own.depth - 1))
+                    found = [own.log10(codes[a:b], tree.get(int(pairs[a]), [])) for a, b in runs(pairs)]
+                    out.append((kind, 0, bucket, chunk, squeezed(arrays[0], np.concatenate(found).astype(np.float32))))
                 else:
                     wanted = np.cumsum(arrays[0], dtype=np.uint64)
                     at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
@@ -429,7 +451,7 @@ def scorer(shared: Callable[[], Shared], id_column: str) -> Callable:
                     known[kind][1].append(values)
                     continue
                 if not ready:
-                    ready = {k: tuple(np.concatenate(x) if x else np.zeros(0, dtype=np.uint64) for x in pair) for k, pair in known.items()}
+                    ready = {k: _sorted(*pair) for k, pair in known.items()}
                     known = {}
                 yield from scored(own, _unsealed(blob), ready)
 
@@ -437,10 +459,8 @@ def scorer(shared: Callable[[], Shared], id_column: str) -> Callable:
         for part in text_slices(texts.column(0)):
             found, n = find_words(part, WORD_NOT_SPACE), len(part)
             symbol, begins = symbols(part, found)
-            keys, values = ready[ASKED_CODES]
-            total = np.add.reduceat(values[np.searchsorted(keys, context_codes(symbol, own.depth))].astype(np.float64), begins[:-1])
-            keys, counts = ready[ASKED_WORDS]
-            count = counts[np.searchsorted(keys, word_hashes(part, found))] if len(keys) else np.zeros(0, dtype=np.int64)
+            total = np.add.reduceat(_looked_up(context_codes(symbol, own.depth), *ready[ASKED_CODES]), begins[:-1], dtype=np.float64)
+            count = _looked_up(word_hashes(part, found), *ready[ASKED_WORDS])
             doc = found.doc_of()
             sums = [np.bincount(doc, weights=x, minlength=n) for x in (count > 0, own.base(count))]
             yield pa.RecordBatch.from_arrays(
@@ -454,6 +474,24 @@ def scorer(shared: Callable[[], Shared], id_column: str) -> Callable:
     return score
 
 
+def _sorted(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    if not keys:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    k, v = np.concatenate(keys), np.concatenate(values)
+    order = np.argsort(k, kind="stable")
+    return k[order], v[order]
+
+
+def _looked_up(wanted: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Values of keys that are all there. In sorted order: a search for each one by itself misses the caches."""
+    order = np.argsort(wanted)
+    w = wanted[order]
+    first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])) if len(w) else np.zeros(0, dtype=np.int64)
+    out = np.empty(len(w), dtype=values.dtype)
+    out[order] = np.repeat(values[np.searchsorted(keys, w[first])], np.diff(np.append(first, len(w)))) if len(w) else values[:0]
+    return out
+
+
 def _sealed(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -484,12 +522,11 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     is_held_out = F.coalesce(fold(id_column, folds) == out_fold, F.lit(True))
     asked = durable(docs.select(F.col(text_column), F.col(id_column), is_held_out.alias("held_out")).mapInArrow(frugal(questions(shared)), ROWS))
-    copied = {int(p): int(known.copies[p]) for p in np.flatnonzero(known.copies > 1)}
-    copies = F.coalesce(F.create_map(*[F.lit(x) for pair in copied.items() for x in pair])[F.col("bucket").cast("int")], F.lit(1)) if copied else F.lit(1)
-    part_of_tree = tree.select(F.lit(CODES).alias("kind"), "bucket", "blob", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    words = durable(counted.where(F.col("kind") == WORDS).select("bucket", "blob"))
+    forget(counted)
+    part_of_tree = tree.select("bucket", "blob").mapInArrow(frugal(copies(shared)), ROWS)
     none = F.lit(0).cast("bigint").alias("chunk")
-    told = part_of_tree.select("kind", (F.col("bucket") * 65536 + F.col("copy")).alias("to"), "bucket", none, "blob")
-    told = told.unionAll(counted.where(F.col("kind") == WORDS).select("kind", (-1 - F.col("bucket")).alias("to"), "bucket", none, "blob"))
+    told = part_of_tree.unionAll(words.select(F.lit(WORDS).alias("kind"), (-1 - F.col("bucket")).alias("to"), "bucket", none, "blob"))
     met = told.unionAll(asked.where(F.col("kind") != TEXTS)).repartition(partitions, "to").sortWithinPartitions("to", "kind")
     answered = met.mapInArrow(frugal(answers(shared)), ROWS)
     whole = answered.unionAll(asked.where(F.col("kind") == TEXTS)).repartition(partitions, "chunk").sortWithinPartitions("chunk", "kind", "bucket")

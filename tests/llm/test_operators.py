@@ -204,7 +204,7 @@ def test_lm_edges(spark, docs, empty):
 def test_lm_parts_of_frequent_pairs_are_copied():
     rows = [(0x6162, lm_score.squeezed(np.array([0x63], np.uint8), np.array([900])), True), (0x6161, lm_score.squeezed(np.array([0x63], np.uint8), np.array([100])), True)]
     shared = lm_score.Shared.of(rows, (10, 5), 6, 96, 4, 4.0)
-    assert shared.copies[0x6162] == 87 and shared.copies[0x6161] == 10 and shared.copies[0] == 1
+    assert shared.copies[0x6162] == 87 and shared.copies[0x6161] == 10 and sorted(shared.part_of(np.full(87, 0x6162), np.arange(87))) == sorted(set(shared.part_of(np.full(87, 0x6162), np.arange(87)))) and shared.copies[0] == 1
     assert np.allclose(shared.first[:, 1:].sum(1), 1) and np.allclose(shared.second[:, 1:].sum(1), 1, atol=1e-6)
 
 
