@@ -45,14 +45,14 @@ def score_all(docs: DataFrame, scorer: Callable[[pa.Array], np.ndarray], folds:
     return small_batches(docs).select(F.col(text_column), F.col(id_column), held_out).mapInArrow(frugal(run), f"`{id_column}` {kind}, held_out boolean, score double, predicted int")
 
 
-def keep_scored(docs: DataFrame, scorer: Callable[[pa.Array], np.ndarray], threshold: float, text_column: str = "text") -> DataFrame:
-    """The documents that score at least `threshold`, all columns."""
+def keep_scored(docs: DataFrame, scorer: Callable[[pa.Array], np.ndarray], threshold: float, text_column: str = "text", below: bool = False) -> DataFrame:
+    """The documents that score at least `threshold`, or those that score below it, all columns."""
     give_back()  # what fitting left
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
     position = docs.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(shared.value(batch.column(position)) >= threshold))
+            yield batch.filter(pa.array((shared.value(batch.column(position)) < threshold) == below))
 
     return small_batches(docs).mapInArrow(frugal(run), docs.schema)

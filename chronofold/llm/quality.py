@@ -117,18 +117,25 @@ def dual_coordinate_descent(rows: list[np.ndarray], values: list[np.ndarray], y:
 
 
 def logistic_curve(margin: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 100) -> tuple[float, float]:
-    """(a, b) of 1 / (1 + exp(-(a margin + b))), by Newton steps with a small ridge."""
-    a, b = 1.0, 0.0
+    """(a, b) of 1 / (1 + exp(-(a margin + b))), by Newton steps with a small ridge; a step that doesn't help is halved."""
+
+    def loss(ab: np.ndarray) -> float:
+        z = ab[0] * margin + ab[1]
+        return float((weight * (np.logaddexp(0, z) - y * z)).sum() + 5e-3 * ((ab[0] - 1) ** 2 + ab[1] ** 2))
+
+    ab = np.array([1.0, 0.0])
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a * margin + b, -40, 40)))
-        g = np.array([(weight * (p - y) * margin).sum() + 1e-2 * (a - 1), (weight * (p - y)).sum() + 1e-2 * b])
+        p = 1 / (1 + np.exp(-np.clip(ab[0] * margin + ab[1], -40, 40)))
+        g = np.array([(weight * (p - y) * margin).sum() + 1e-2 * (ab[0] - 1), (weight * (p - y)).sum() + 1e-2 * ab[1]])
         h = weight * p * (1 - p)
-        m = np.array([[(h * margin * margin).sum() + 1e-2, (h * margin).sum()], [(h * margin).sum(), h.sum() + 1e-2]])
-        step = np.linalg.solve(m, g)
-        a, b = a - step[0], b - step[1]
+        step = np.linalg.solve(np.array([[(h * margin * margin).sum() + 1e-2, (h * margin).sum()], [(h * margin).sum(), h.sum() + 1e-2]]), g)
+        now = loss(ab)
+        while loss(ab - step) > now and abs(step).max() > 1e-9:
+            step /= 2
+        ab = ab - step
         if abs(step).max() < 1e-6:
             break
-    return float(a), float(b)
+    return float(ab[0]), float(ab[1])
 
 
 @dataclass

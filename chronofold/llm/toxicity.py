@@ -2,21 +2,29 @@
 
 A word's vector is the mean of the embeddings of its character n-grams (three
 to six, with word boundary marks) and of the word itself, all hashed to a
-fixed number of rows; a text's vector is the mean of its words' vectors,
-weighted by how telling a word is (learned too: the weight is a softmax over
-the text's words of their own evidence, with a learned temperature); a linear
-softmax over two classes gives the score. Embeddings, class vectors and
-temperature are trained jointly by Adam in numpy. A misspelled word shares
-most n-grams with its original and so most of its vector.
+fixed number of rows; a text's vector is the mean of the vectors of its
+distinct words, weighted by how telling a word is (learned too: the weight is a
+softmax over the text's words of their own evidence, with a learned
+temperature); a linear softmax over two classes gives the score. Embeddings,
+class vectors and temperature are trained jointly by Adam in numpy. A
+misspelled word shares most n-grams with its original and so most of its
+vector. The plain mean was tried and misses texts with a few telling words
+among many (figures in the README).
 
 Learning takes at most `rows` labelled rows, half of either label (all, where
-there are no more), on the driver; a quarter of them fits the scores' curve. Scoring is a map over all documents and whole texts: as only a
-word's projection on the class direction matters, the trained embeddings are
-folded into one number a row before the broadcast.
+there are no more), on the driver. The curve that turns margins into scores is
+the best rising one through the labels (isotonic regression) over margins of
+rows by models of the other rows, with a slight slope where it is flat. Scoring is a map over
+all documents and whole texts: as only a word's projection on the class
+direction matters, the trained embeddings are folded into one number a row
+before the broadcast, which is of fixed size.
 
 Defined results: a text without words, null too, gets the share of label 1;
 without labels of both classes every score is the share of label 1 (0.5
-without any); repeated rows are scored alike.
+without any); of contradicting labels of one id the 1 counts; a null id isn't
+learned from and counts as held out; repeated rows are scored alike; words are
+of any length; an empty table stays empty; other columns, whatever their
+names, are untouched.
 """
 
 from __future__ import annotations
@@ -28,7 +36,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .features import keep_scored, labelled_sample, score_all
-from .quality import logistic_curve
 from .textvec import WORD_ALNUM, TextSlice, Words, find_words, text_slices, word_hashes
 
 BITS, WIDTH = 17, 6
@@ -36,27 +43,20 @@ ROWS = 2000
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.3
 NGRAMS = (3, 4, 5, 6)
-LONGEST_WORD = 64  # bytes; a longer run counts as several words
+#: Rounds over the rows, and Adam steps, at least; the rate falls by this factor in the course of a sixth of them.
+ROUNDS, STEPS, RATE, DECAY, BATCH = 6, 200, 0.02, 0.8, 64
+CHECKS = 3
+#: The part of the score that rises everywhere.
+SLOPE = 0.02
 
 
-def split_words(part: TextSlice) -> Words:
+def distinct_words(part: TextSlice) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """The words, the position of one occurrence of each distinct word of the slice, each document's distinct words by number, and how many they are."""
     words = find_words(part, WORD_ALNUM)
-    size = words.ends - words.starts
-    if not len(size) or size.max() <= LONGEST_WORD:
-        return words
-    pieces = -(-size // LONGEST_WORD)
-    owner = np.repeat(np.arange(len(size)), pieces)
-    nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    starts = words.starts[owner] + nth * LONGEST_WORD
-    return Words(starts, np.minimum(starts + LONGEST_WORD, words.ends[owner]), np.concatenate([[0], np.cumsum(pieces)])[words.bounds])
-
-
-def distinct_words(part: TextSlice) -> tuple[Words, np.ndarray, np.ndarray]:
-    """The words, the position of one occurrence of each distinct word, and each word's number among the distinct ones."""
-    words = split_words(part)
-    hashes = word_hashes(part, words)
-    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
-    return words, first, number
+    _, first, number = np.unique(word_hashes(part, words), return_index=True, return_inverse=True)
+    own = np.unique(words.doc_of() * max(1, len(first)) + number)
+    doc, number = np.divmod(own, max(1, len(first)))
+    return words, first, number, np.bincount(doc, minlength=len(part))
 
 
 def subwords(part: TextSlice, words: Words, which: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -101,20 +101,18 @@ class ToxicModel:
     evidence: np.ndarray  # of each n-gram row: its embedding times the class direction
     heat: float
     bias: float
-    a: float = 1.0
-    b: float = 0.0
+    curve: tuple[np.ndarray, np.ndarray]  # margins, and the share of label 1 at each one
     bits: int = BITS
     share: float = 0.5  # of label 1: the score of a text without words
 
     def margins(self, column: pa.Array) -> np.ndarray:
         out = []
         for part in text_slices(column):
-            words, first, number = distinct_words(part)
+            words, first, number, counts = distinct_words(part)
             if not len(first):
                 out.append(np.full(len(part), np.nan))
                 continue
             own = mean_by(self.evidence[(x := subwords(part, words, first, self.bits))[0]].astype(np.float64), x[1])[number]
-            counts = np.diff(words.bounds)
             have = counts > 0
             score = np.full(len(part), np.nan)
             score[have] = self.bias + _pooled(own, counts[have], self.heat)[0]
@@ -122,8 +120,22 @@ class ToxicModel:
         return np.concatenate(out) if out else np.zeros(0)
 
     def __call__(self, column: pa.Array) -> np.ndarray:
-        score = 1 / (1 + np.exp(-np.clip(self.a * self.margins(column) + self.b, -40, 40)))
-        return np.where(np.isnan(score), self.share, score)
+        margin = self.margins(column)
+        rising = 0.5 + margin / (1 + np.abs(margin)) / 2
+        return np.where(np.isnan(margin), self.share, (1 - SLOPE) * np.interp(margin, *self.curve) + SLOPE * rising)
+
+
+def isotonic_curve(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(margins, shares of label 1) of the rising step function of least weighted squared error: neighbours that fall are pooled."""
+    margins, which = np.unique(margin, return_inverse=True)
+    pools: list[list[float]] = []  # weight, weight of label 1, least and largest margin
+    for m, n, ones in zip(margins.tolist(), np.bincount(which, weights=weight).tolist(), np.bincount(which, weights=weight * y).tolist(), strict=True):
+        pools.append([n, ones, m, m])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
+            last = pools.pop()
+            pools[-1] = [pools[-1][0] + last[0], pools[-1][1] + last[1], pools[-1][2], last[3]]
+    at = [(edge, pool[1] / pool[0]) for pool in pools for edge in pool[2:]]
+    return np.array([m for m, _ in at]), np.array([p for _, p in at])
 
 
 def _pooled(own: np.ndarray, counts: np.ndarray, heat: float) -> tuple[np.ndarray, np.ndarray]:
@@ -141,17 +153,18 @@ def _fit_plain(rows: np.ndarray, sizes: np.ndarray, texts: list[np.ndarray], y:
     table = random.normal(0, 0.1, (1 << bits, width))
     head = random.normal(0, 0.5, (width, 2))
     offset = np.zeros(2)
-    heat = np.array(2.0)
+    heat = np.array([2.0])
     ends = np.cumsum(sizes)
     spans = np.stack([ends - sizes, ends], axis=1)
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in (("table", table), ("head", head), ("offset", offset), ("heat", heat))}
-    step, rate = 0, 0.02
-    have = np.array([i for i, t in enumerate(texts) if len(t)])
-    weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (1 - y).sum()))
-    for turn in range(rounds):
+    have = np.array([i for i, t in enumerate(texts) if len(t)], dtype=np.int64)
+    rounds = max(rounds, -(-STEPS // max(1, -(-len(have) // BATCH))))
+    step, rate = 0, RATE
+    weight = np.where(y == 1, len(y) / (2 * max(1, y.sum())), len(y) / (2 * max(1, (1 - y).sum())))
+    for _ in range(rounds):
         order = random.permutation(have)
-        for at in range(0, len(order), 64):
-            batch = order[at : at + 64]
+        for at in range(0, len(order), BATCH):
+            batch = order[at : at + BATCH]
             words, number = np.unique(np.concatenate([texts[i] for i in batch]), return_inverse=True)
             counts = np.array([len(texts[i]) for i in batch])
             size = sizes[words]
@@ -159,7 +172,7 @@ def _fit_plain(rows: np.ndarray, sizes: np.ndarray, texts: list[np.ndarray], y:
             vector = mean_by(table[gram], size)
             direction = head[:, 1] - head[:, 0]
             own = (vector @ direction)[number]
-            pooled, share = _pooled(own, counts, float(heat))
+            pooled, share = _pooled(own, counts, heat[0])
             text = np.add.reduceat(share[:, None] * vector[number], np.cumsum(counts) - counts)
             logit = text @ head + offset
             logit -= logit.max(1, keepdims=True)
@@ -176,8 +189,8 @@ def _fit_plain(rows: np.ndarray, sizes: np.ndarray, texts: list[np.ndarray], y:
             g_logit = share * (along - mean_along)
             g_vector = np.zeros_like(vector)
             for j in range(width):
-                g_vector[:, j] = np.bincount(number, weights=share * spread[:, j] + g_logit * float(heat) * direction[j], minlength=len(words))
-            g_direction = float(heat) * (g_logit[:, None] * vector[number]).sum(0)
+                g_vector[:, j] = np.bincount(number, weights=share * spread[:, j] + g_logit * heat[0] * direction[j], minlength=len(words))
+            g_direction = heat[0] * (g_logit[:, None] * vector[number]).sum(0)
             g_head = text.T @ error
             g_head[:, 1] += g_direction
             g_head[:, 0] -= g_direction
@@ -188,13 +201,10 @@ def _fit_plain(rows: np.ndarray, sizes: np.ndarray, texts: list[np.ndarray], y:
             _adam(table, g_table, state["table"], step, rate, touched)
             _adam(head, g_head, state["head"], step, rate)
             _adam(offset, error.sum(0), state["offset"], step, rate)
-            heat = heat.reshape(1)
-            state["heat"] = tuple(s.reshape(1) for s in state["heat"])
             _adam(heat, np.array([(g_logit * own).sum()]), state["heat"], step, rate)
             heat = np.clip(heat, 0.0, 20.0)
-        rate *= 0.8
-    heat = float(np.asarray(heat).reshape(-1)[0])
-    return ToxicModel((table @ (head[:, 1] - head[:, 0])).astype(np.float32), heat, float(offset[1] - offset[0]), bits=bits)
+        rate *= DECAY ** (ROUNDS / rounds)
+    return ToxicModel((table @ (head[:, 1] - head[:, 0])).astype(np.float32), float(heat[0]), float(offset[1] - offset[0]), (np.array([0.0]), np.array([0.5])), bits)
 
 
 def _adam(x: np.ndarray, g: np.ndarray, state: tuple[np.ndarray, np.ndarray], step: int, rate: float, rows: np.ndarray | slice = slice(None)) -> None:
@@ -204,30 +214,35 @@ def _adam(x: np.ndarray, g: np.ndarray, state: tuple[np.ndarray, np.ndarray], st
     x[rows] -= rate * (m[rows] / (1 - 0.9**step)) / (np.sqrt(v[rows] / (1 - 0.99**step)) + 1e-8)
 
 
-def fit(texts: list[str], y: np.ndarray, weight: np.ndarray | None = None, bits: int = BITS, width: int = WIDTH, rounds: int = 6, seed: int = 11) -> ToxicModel:
+def fit(texts: list[str], y: np.ndarray, weight: np.ndarray | None = None, bits: int = BITS, width: int = WIDTH, rounds: int = ROUNDS, seed: int = 11) -> ToxicModel:
     """weight: how many labelled rows each one stands for, for the scores' curve."""
     weight = np.ones(len(y)) if weight is None else weight
     if len(set(y.tolist())) < 2:
         share = min(max(float(y.mean()) if len(y) else 0.5, 1e-6), 1 - 1e-6)
-        return ToxicModel(np.zeros(1 << bits, np.float32), 0.0, 0.0, 0.0, float(np.log(share / (1 - share))), bits, share)
+        return ToxicModel(np.zeros(1 << bits, np.float32), 0.0, 0.0, (np.array([0.0]), np.array([share])), bits, share)
     column = pa.array(texts, pa.string())
     rows, sizes, docs, base = [], [], [], 0
     for part in text_slices(column):
-        words, first, number = distinct_words(part)
+        words, first, number, counts = distinct_words(part)
         r, s = subwords(part, words, first, bits)
         rows.append(r)
         sizes.append(s)
-        docs += [base + np.unique(number[a:b]) for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True)]
+        docs += [base + x for x in np.split(number, np.cumsum(counts)[:-1])]
         base += len(first)
     rows, sizes = np.concatenate(rows), np.concatenate(sizes)
-    check = np.arange(len(docs)) % 4 == 0  # the scores' curve is fitted on these
-    if min(len(set(y[~check].tolist())), len(set(y[check].tolist()))) < 2:
-        check = np.zeros(len(docs), dtype=bool)
-    model = _fit_plain(rows, sizes, [docs[i] for i in np.flatnonzero(~check)], y[~check], bits, width, rounds, seed)
-    check = check if check.any() else ~check
-    unseen = model.margins(pa.array([texts[i] for i in np.flatnonzero(check)], pa.string()))
+    fold, unseen = np.zeros(len(y), dtype=np.int64), np.full(len(y), np.nan)
+    for k in (0, 1):  # either label is spread over the folds
+        own = np.flatnonzero(y == k)
+        fold[own] = np.arange(len(own)) % CHECKS
+    for k in range(CHECKS):
+        rest, own = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        if len(set(y[rest].tolist())) == 2 and len(own):
+            part = _fit_plain(rows, sizes, [docs[i] for i in rest], y[rest], bits, width, rounds, seed + k)
+            unseen[own] = part.margins(pa.array([texts[i] for i in own], pa.string()))
+    model = _fit_plain(rows, sizes, docs, y, bits, width, rounds, seed)
     known = ~np.isnan(unseen)
-    model.a, model.b = logistic_curve(unseen[known], y[check][known], weight[check][known])
+    if len(set(y[known].tolist())) == 2:
+        model.curve = isotonic_curve(unseen[known], y[known], weight[known])
     model.share = float((weight * y).sum() / weight.sum())
     return model
 
@@ -243,5 +258,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Data
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> DataFrame:
     """The documents that score below the threshold, all columns."""
-    model = train(docs, labels, rows)
-    return keep_scored(docs, lambda column: 1 - model(column), 1 - THRESHOLD + 1e-12)
+    return keep_scored(docs, train(docs, labels, rows), THRESHOLD, below=True)

@@ -272,15 +272,45 @@ def test_misspelled_words_share_their_ngrams():
     assert b > 0.3 > a
 
 
-def test_classifier_queries(spark, docs, rows):
-    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 2)) for i, *_ in rows], "doc_id bigint, quality int, toxic int")
+def test_classifier_queries(spark, docs, rows, empty):
+    labels = [(i, int(i % 3 > 0), int(i % 2)) for i, *_ in rows]
+    labels = spark.createDataFrame([*labels, (3, 1, 0), (3, 0, 1), (None, 1, 1), (77777, 1, 1), (5, None, None), (7, 9, 9)], "doc_id bigint, quality int, toxic int")
+    odd = docs.unionAll(docs.where("doc_id < 3")).unionAll(spark.createDataFrame([(None, "no id", "en", "s", 1)], SCHEMA))
+    odd = odd.withColumnRenamed("lang", "score").withColumnRenamed("source", "__text").withColumnRenamed("n_chars", "__label")
     for f, folds, held in ((quality.score_quality, 5, 0), (toxicity.score_toxicity, 4, 2)):
-        got = {r.doc_id: r for r in f(docs, labels).collect()}
-        assert len(got) == len(rows)
-        for i, r in got.items():
-            assert r.held_out == (zlib.crc32(str(i).encode()) % folds == held) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
-    assert quality.drop_poor(docs, labels).columns == docs.columns == toxicity.drop_toxic(docs, labels).columns
-    assert quality.score_quality(docs, labels.where("false")).count() == len(rows)
+        got = f(odd, labels).collect()
+        assert len(got) == len(rows) + 4
+        for r in got:
+            assert r.held_out == (r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % folds == held) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+        assert f(empty, labels).count() == 0 and f(docs, labels.where("false")).count() == len(rows)
+    for keep, score, stays in ((quality.drop_poor, quality.score_quality, 1), (toxicity.drop_toxic, toxicity.score_toxicity, 0)):
+        kept = keep(odd, labels)
+        assert kept.columns == odd.columns
+        assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in score(odd, labels).collect() if r.predicted == stays)
+
+
+def test_toxic_scores_of_odd_texts():
+    texts, toxic, _ = labelled(400)
+    model = toxicity.fit(texts, toxic)
+    plain = "word1 word2 word3 word4 word5 word6"
+    odd = model(pa.array([plain, f"{plain} {'x' * 30000} worthless", f"{plain} {'Ж' * 5000}", "pathetic " * 5000, None, " . ", texts[0], texts[0]], pa.string()))
+    assert odd[1] > 0.3 > odd[0] and odd[3] > 0.3 and 0 <= odd[2] <= 1
+    assert odd[4] == odd[5] == model.share and odd[6] == odd[7]
+    one, two = model(pa.array([texts[1], f"{texts[1]} {texts[1]}"], pa.string()))
+    assert np.isclose(one, two)  # a word counts once, in learning as in scoring
+
+
+def test_isotonic_curve():
+    random = np.random.default_rng(1)
+    margin = np.round(random.normal(size=60), 1)
+    y, weight = (random.random(60) < 1 / (1 + np.exp(-margin))).astype(int), random.integers(1, 4, 60).astype(float)
+    at, share = toxicity.isotonic_curve(margin, y, weight)
+    assert (np.diff(at) >= 0).all() and (np.diff(share) >= -1e-12).all()
+    kinds = np.unique(margin)
+    n, ones = (np.array([w[margin == k].sum() for k in kinds]) for w in (weight, weight * y))
+    # the least of the largest means of the blocks that end and begin there
+    brute = [max(min(ones[a : b + 1].sum() / n[a : b + 1].sum() for b in range(i, len(kinds))) for a in range(i + 1)) for i in range(len(kinds))]
+    assert np.allclose([dict(zip(at.tolist(), share.tolist(), strict=True)).get(k, np.interp(k, at, share)) for k in kinds.tolist()], brute)
 
 
 def test_bpe_equals_the_library(docs, rows, empty):
