@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, forget
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ def connected_components(edges: DataFrame, most: int = 60) -> DataFrame:
     now = durable(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = None
     for _ in range(most):
-        now = durable(_small_star(_large_star(now)))
+        before, now = now, durable(_small_star(_large_star(now)))
+        forget(before)
         new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(new) == mark:
             break

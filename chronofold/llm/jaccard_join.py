@@ -2,7 +2,8 @@
 
 Two documents link when their sets of k-word shingles have a Jaccard
 similarity of `percent` / 100 or more; documents that links connect are one
-component. The join is exact (shingles are told apart by 64-bit hashes).
+component. The join is exact as far as 64-bit hashes tell words, shingles and
+whole sets apart.
 
 1. A sketch counts, over all documents, how many hold the shingles of each of
    2**24 hash slots. It defines one global order of shingles, rare ones first.
@@ -19,8 +20,8 @@ component. The join is exact (shingles are told apart by 64-bit hashes).
    brought together by bucket.
 4. In a bucket the links are found breadth first. Each set reached is a query
    against an inverted index of the sets not reached yet: the short lists are
-   merged, their survivors are probed in the long lists by binary search
-   (DivideSkip), and sets with the required overlap are retained, reached, and
+   merged by a heap that skips what too few of them hold, the survivors are
+   probed in the long lists by binary search (DivideSkip), and sets with the required overlap are retained, reached, and
    taken out of the index. So a family of near copies is reached by its first
    member, without its pairs.
    A bucket larger than `bucket_sets` is first cut finer by the candidates of
@@ -28,33 +29,43 @@ component. The join is exact (shingles are told apart by 64-bit hashes).
    buckets either). What stays larger is split: sets are compared with a
    pivot, in parallel; Jaccard distance is a metric, so sets far enough from
    the pivot can't link to those near it, and each part goes on by itself.
+   What is still larger after that is cut into blocks of sets, and each pair of
+   its blocks is searched by itself. So no task holds more than a bucket's
+   bound, and every link is found.
 
 Defined results: null, empty and blank texts have no shingles and stand alone;
 a text of fewer than k words has its whole sequence as one shingle; repeated
 rows share a set; null ids are ignored as component ids unless there is no
-other; an empty table gives an empty result.
+other; rows that share an id are one document to drop_near_copies(), which
+keeps or drops all of them; an empty table gives an empty result; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from hashlib import blake2b
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, frugal, give_back, small_batches
+from .common import durable, forget, frugal, give_back, opened, small_batches, squeezed, steps
 from .components import connected_components
 from .textvec import WORD_NOT_SPACE, find_words, mix64, shingle_sets, text_slices, word_hashes
 
 SHINGLE, PERCENT = 4, 85
 SKETCH_BITS, SKETCH_CHUNK = 24, 1 << 19
-#: Candidate sets whose ids are broadcast (16 bytes each); beyond, they are joined by a shuffle.
+#: Candidate sets whose ids are broadcast (24 bytes each, 48 MB in all); beyond, they are joined by a shuffle.
 BROADCAST_SETS = 2_000_000
-BUCKET_SETS = 4096
-SALTS = 16
+BUCKET_SETS = 1024
+#: Sets of more copies than this, and than a part of all rows, are dealt over SALTS tasks when rows learn their component.
+SALTS, MANY_COPIES, MANY_SHARE = 16, 1024, 10_000
+#: Bits of shingles and sets in the search for candidates: two that fall together make a bucket larger, never a link.
+NODE = (1 << 48) - 1
 #: Rounds that cut large buckets finer, and the sketch of such a round: at most 2**REFINE_BITS bytes.
 REFINEMENTS, REFINE_BITS = 3, 26
 #: DivideSkip's balance between merging short lists and probing long ones.
@@ -148,55 +159,104 @@ def prefixes(docs: DataFrame, id_column: str, text_column: str, ranks: np.ndarra
     return docs.select(text_column, id_column).mapInArrow(frugal(cut), f"id {kind}, n bigint, set bigint, prefix array<bigint>")
 
 
+def node_of(name: Column) -> Column:
+    return name.bitwiseAND(F.lit(NODE))
+
+
 def candidate_edges(sets: DataFrame, block: int = 3_000_000) -> DataFrame:
-    """(u, v): a connected graph over the sets that share a prefix shingle. sets: (set, prefix); equal rows fall together within each task."""
+    """(u, v) of nodes: a connected graph over the sets that share a prefix shingle. sets: (set, prefix); equal rows fall together within each task."""
+    partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def own(shingles: np.ndarray, heads: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def stars(shingles: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct shingles, the least head of each one, and edges from it to the others."""
         order = np.lexsort((heads, shingles))
         s, h = shingles[order], heads[order]
-        new = np.concatenate([[True], s[1:] != s[:-1]])
+        new = np.concatenate([[True], s[1:] != s[:-1]]) if len(s) else np.zeros(0, dtype=bool)
         first = np.flatnonzero(new)
         head = h[first][np.cumsum(new) - 1]
-        edge = np.unique(np.stack([head[~new], h[~new]], axis=1), axis=0) if (~new).any() else np.zeros((0, 2), dtype=np.int64)
-        yield rows(np.zeros(len(first), dtype=np.int8), s[first], h[first])
-        yield rows(np.ones(len(edge), dtype=np.int8), edge[:, 0], edge[:, 1])
+        edge = np.unique(np.stack([head[~new], h[~new]], axis=1), axis=0)
+        edge = edge[edge[:, 0] != edge[:, 1]]
+        return s[first], h[first], edge[:, 0], edge[:, 1]
 
-    def rows(kind: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(kind, pa.int8()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["kind", "a", "b"])
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        part, postings, u, v = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(postings, pa.binary()), pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["part", "postings", "u", "v"])
+
+    def own(shingles: list[np.ndarray], heads: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        s, h, u, v = stars(np.concatenate(shingles), np.concatenate(heads))
+        edges = np.searchsorted(s, (np.arange(1, partitions) * (NODE + 1)) // partitions)  # shingles are hashes: parts are even
+        bounds = [0, *edges.tolist(), len(s)]
+        out = [(k, squeezed(steps(s[a:b]), h[a:b]), None, None) for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)) if b > a]
+        yield packed(out + [(int(x) % partitions, None, int(x), int(y)) for x, y in zip(u.tolist(), v.tolist(), strict=True)])
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, heads, size = [], [], 0
         for batch in batches:
             column = batch.column(1)
             lengths = np.diff(column.offsets.to_numpy())
-            shingles.append(column.flatten().to_numpy())
-            heads.append(np.repeat(batch.column(0).to_numpy(), lengths))
+            shingles.append(column.flatten().to_numpy() & NODE)
+            heads.append(np.repeat(batch.column(0).to_numpy() & NODE, lengths))
             size += len(heads[-1])
             if size > block:
-                yield from own(np.concatenate(shingles), np.concatenate(heads))
+                yield from own(shingles, heads)
                 shingles, heads, size = [], [], 0
         if size:
-            yield from own(np.concatenate(shingles), np.concatenate(heads))
+            yield from own(shingles, heads)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, head = None, 0
+        last, keys, heads = None, [], []
         for batch in batches:
-            kind, a, b = (batch.column(i).to_numpy() for i in range(3))
-            done = kind == 1
-            u, v = [a[done]], [b[done]]
-            s, h = a[~done], b[~done]
-            if len(s):
-                new = np.concatenate([[s[0] != last], s[1:] != s[:-1]])
-                at = np.maximum.accumulate(np.where(new, np.arange(len(s)), -1))
-                heads = np.where(at >= 0, h[np.maximum(at, 0)], head)
-                u.append(heads[~new])
-                v.append(h[~new])
-                last, head = s[-1], heads[-1]
-            u, v = np.concatenate(u), np.concatenate(v)
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
-    made = sets.select("set", "prefix").mapInArrow(frugal(postings), "kind tinyint, a bigint, b bigint")
-    return made.repartition("a").sortWithinPartitions("kind", "a", "b").mapInArrow(frugal(link), "u bigint, v bigint").where("u != v").distinct()
+            known = batch.column(2).is_valid()
+            yield pa.RecordBatch.from_arrays([batch.column(2).filter(known), batch.column(3).filter(known)], names=["u", "v"])
+            for part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if blob is None:
+                    continue
+                if part != last and keys:
+                    yield edges_of(keys, heads)
+                    keys, heads = [], []
+                last = part
+                s, h = opened(blob)
+                keys.append(np.cumsum(s))
+                heads.append(h)
+                if sum(map(len, keys)) > 2 * block:  # what is settled leaves one head a shingle
+                    s, h, u, v = stars(np.concatenate(keys), np.concatenate(heads))
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+                    keys, heads = [s], [h]
+        if keys:
+            yield edges_of(keys, heads)
+
+    def edges_of(keys: list[np.ndarray], heads: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in stars(np.concatenate(keys), np.concatenate(heads))[2:]], names=["u", "v"])
+
+    made = sets.select("set", "prefix").mapInArrow(frugal(postings), "part int, postings binary, u bigint, v bigint")
+    return made.repartition(partitions, "part").sortWithinPartitions("part").mapInArrow(frugal(link), "u bigint, v bigint").where("u != v").distinct()
+
+
+def heap_merge(lists: list[list[int]], least: int) -> Iterator[tuple[int, int]]:
+    """(number, in how many of the sorted lists it is) of every number that `least` lists or more hold. What fewer can hold is skipped."""
+    at = [0] * len(lists)
+    heap = [(own[0], i) for i, own in enumerate(lists) if own]
+    heapify(heap)
+
+    def go_on(popped: list[int], to: int) -> None:
+        for i in popped:
+            at[i] = bisect_left(lists[i], to, at[i])
+            if at[i] < len(lists[i]):
+                heappush(heap, (lists[i][at[i]], i))
+
+    while len(heap) >= least:
+        top, popped = heap[0][0], []
+        while heap and heap[0][0] == top:
+            popped.append(heappop(heap)[1])
+        if len(popped) >= least:
+            yield top, len(popped)
+            go_on(popped, top + 1)
+            continue
+        while heap and len(popped) < least - 1:
+            popped.append(heappop(heap)[1])
+        if not heap:
+            return  # fewer than `least` lists are left
+        go_on(popped, heap[0][0])
 
 
 class Index:
@@ -236,9 +296,10 @@ class Index:
         longest = int(length[order[-1]])
         long_lists = min(need - 1, int(need / (MU * np.log2(longest + 1) + 1)))
         short, long = tokens[order[: len(order) - long_lists]], tokens[order[len(order) - long_lists :]]
-        merged = np.sort(np.concatenate([self.lists[self.at[t] : self.at[t + 1]] for t in short.tolist()]))
-        first = np.flatnonzero(np.concatenate([[True], merged[1:] != merged[:-1]]))
-        found, seen = merged[first], np.diff(np.append(first, len(merged)))
+        merged = [x for x in heap_merge([self.lists[self.at[t] : self.at[t + 1]].tolist() for t in short.tolist()], need - long_lists)]
+        if not merged:
+            return np.zeros(0, dtype=np.int64)
+        found, seen = (np.array(x, dtype=np.int64) for x in zip(*merged, strict=True))
         # overlap o links if 100 o >= percent (n + m - o)
         least = -(-self.percent * (n + self.size[found]) // (100 + self.percent))
         ok = self.live[found] & (seen + long_lists >= least) & (least <= np.minimum(n, self.size[found]))
@@ -339,8 +400,8 @@ def _refined(docs: DataFrame, id_column: str, text_column: str, members: DataFra
         ids = marked.where("large").select(F.col("id").alias("_id")).distinct()
         own = docs.select(id_column, text_column).join(F.broadcast(ids) if sets <= broadcast_sets else ids, F.col(id_column).eqNullSafe(F.col("_id")), "left_semi")
         ranks = sketch(own, text_column, k, min(bits, int(shingles).bit_length() + 1), turn)
-        parts = connected_components(candidate_edges(durable(prefixes(own, id_column, text_column, ranks, k, percent, turn).where("n > 0"))))
-        finer = marked.where("large").drop("large").join(parts.withColumnRenamed("node", "set"), "set").withColumn("bucket", F.xxhash64("bucket", "component", F.lit(turn)))
+        parts = connected_components(candidate_edges(prefixes(own, id_column, text_column, ranks, k, percent, turn).where("n > 0")))
+        finer = marked.where("large").drop("large").join(parts, node_of(F.col("set")) == F.col("node")).withColumn("bucket", F.xxhash64("bucket", "component", F.lit(turn)))
         now = durable(marked.where("large is null").select("set", "id", "n", "bucket").unionAll(finer.select("set", "id", "n", "bucket")))
         before, members = members, now
         if now.count() == before.count() and now.select("bucket").distinct().count() == before.select("bucket").distinct().count():
@@ -381,7 +442,20 @@ def _split_large(sets: DataFrame, percent: int, bucket_sets: int, most: int = 8)
         edges = edges.unionAll(_cross_links(outer.select("bucket", "set", "shingles"), rest.where(shell).select("bucket", "set", "shingles"), percent, bucket_sets))
         edges = durable(edges)
         sets = durable(cold.unionAll(rest.select(F.xxhash64("bucket", F.lit(1)).alias("bucket"), "set", "shingles")))
-    return edges, sets  # after `most` rounds a bucket of many unlike sets goes on whole: the search stays exact
+    return edges, _in_pairs(sets, bucket_sets)
+
+
+def _in_pairs(sets: DataFrame, bucket_sets: int) -> DataFrame:
+    """Sets (bucket, set, shingles); each pair of blocks of a large bucket is a bucket of its own, of about `bucket_sets` sets. So any two sets still meet."""
+    large = sets.groupBy("bucket").agg(F.count_distinct("set").alias("n")).where(F.col("n") > bucket_sets)
+    large = durable(large.select("bucket", F.ceil(F.col("n") * 2 / bucket_sets).cast("bigint").alias("blocks")))
+    if large.isEmpty():
+        return sets
+    marked = sets.join(F.broadcast(large), "bucket", "left")  # at most (sets / bucket_sets) rows
+    a, b = F.pmod(F.xxhash64("set"), F.col("blocks")), F.col("other")
+    pairs = marked.where("blocks is not null").withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    pairs = pairs.select(F.xxhash64("bucket", F.least(a, b), F.greatest(a, b)).alias("bucket"), "set", "shingles")
+    return marked.where("blocks is null").select("bucket", "set", "shingles").unionAll(pairs)
 
 
 def _cross_links(near: DataFrame, shell: DataFrame, percent: int, block: int) -> DataFrame:
@@ -426,11 +500,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50 and at most 100")
     docs = small_batches(docs)
-    own = durable(prefixes(docs, id_column, text_column, sketch(docs, text_column, k, sketch_bits), k, percent))
+    whole = durable(prefixes(docs, id_column, text_column, sketch(docs, text_column, k, sketch_bits), k, percent))
     give_back()  # the driver's copies of the sketch; again after the larger ones
-    ids = durable(own.where("n > 0").groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n")))
-    buckets = connected_components(candidate_edges(own.where("n > 0")))
-    members = durable(ids.join(buckets.withColumnRenamed("node", "set").withColumnRenamed("component", "bucket"), "set")).select("set", "id", "n", "bucket")
+    buckets = connected_components(candidate_edges(whole.where("n > 0")))
+    own = durable(whole.select("id", "n", "set"))
+    forget(whole)
+    ids = durable(own.where("n > 0").groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")))
+    members = durable(ids.join(buckets.withColumnRenamed("component", "bucket"), node_of(F.col("set")) == F.col("node")).select("set", "id", "n", "bucket"))
     members = _refined(docs, id_column, text_column, members, k, percent, bucket_sets, broadcast_sets, REFINE_BITS)
     give_back()
     large = durable(members.groupBy("bucket").count().where(F.col("count") > bucket_sets).select("bucket", F.lit(True).alias("large")))
@@ -444,8 +520,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     linked = connected_components(found if edges is None else edges.unionAll(found))
     named = ids.join(linked.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
-    named = named.join(least, "component").select("set", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = own.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    named = durable(named.join(least, "component").select("set", "component_id", "copies"))
+    many = max(MANY_COPIES, own.count() // MANY_SHARE)
+    hot = F.broadcast(named.where(F.col("copies") > many).select("set", F.lit(True).alias("hot")))  # MANY_SHARE rows at most
+    salts = F.when(F.col("copies") > many, SALTS).otherwise(1)
+    named = named.select("set", "component_id", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
+    salted = own.join(hot, "set", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(0).cast("int"))
     found = salted.join(named, ["set", "salt"], "left")
     return found.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 

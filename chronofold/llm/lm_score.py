@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, fold, forget, frugal, small_batches
+from .common import durable, fold, forget, frugal, opened, small_batches, squeezed, steps
 from .textvec import END, WORD_NOT_SPACE, TextSlice, Words, find_words, mix64, text_slices, word_hashes
 
 DEPTH = 6
@@ -67,33 +67,6 @@ COUNTED = "kind int, bucket bigint, blob binary, tokens bigint, kinds bigint"
 ROWS = "kind int, to bigint, bucket bigint, chunk bigint, blob binary"
 
 
-def squeezed(*arrays: np.ndarray) -> bytes:
-    """Arrays in one blob, compressed byte plane by byte plane: high bytes are mostly zero."""
-    out = []
-    for x in arrays:
-        planes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T.tobytes()
-        blob = pa.compress(planes, codec="zstd", asbytes=True)
-        out += [np.array([len(planes), len(blob)], dtype=np.int64).tobytes(), x.dtype.str.encode().ljust(8), blob]
-    return b"".join(out)
-
-
-def opened(blob: bytes) -> list[np.ndarray]:
-    """The arrays of squeezed()."""
-    out, at = [], 0
-    while at < len(blob):
-        size, packed = np.frombuffer(blob, dtype=np.int64, count=2, offset=at).tolist()
-        kind = np.dtype(blob[at + 16 : at + 24].decode().strip())
-        at += 24 + packed
-        planes = np.frombuffer(pa.decompress(blob[at - packed : at], size, codec="zstd", asbytes=True), dtype=np.uint8)
-        out.append(np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).reshape(-1))
-    return out
-
-
-def steps(keys: np.ndarray) -> np.ndarray:
-    """Sorted keys as differences, which compress well; np.cumsum() undoes it."""
-    return np.diff(keys, prepend=keys.dtype.type(0))
-
-
 def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sums counts of equal keys; sorted by key."""
     k, c = np.concatenate(keys), np.concatenate(counts)

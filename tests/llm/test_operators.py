@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 
 from chronofold.llm import bpe, decontaminate, exact_dedup, html_text, jaccard_join, lm_score, quality, secrets, sharding, toxicity
+from chronofold.llm.common import squeezed
 from chronofold.llm.queries import vocabulary_path
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -101,6 +102,38 @@ def test_jaccard_join_edges(empty, docs):
     assert kept.columns == docs.columns and kept.count() == len({r.component_id for r in jaccard_join.near_duplicates(docs).collect()})
 
 
+def test_jaccard_join_of_odd_rows(spark):
+    r = np.random.default_rng(8)
+    long = " ".join(f"q{k}" for k in r.integers(0, 400, 30000))
+    rows = [(1, long, "en", "s", 0), (2, long + " more", "en", "s", 0), (None, long.upper(), "en", "s", 0), (3, "a b c d e", None, None, 0), (3, "a b c d e", None, None, 0), (None, "x y", "en", "s", 0), (None, "x y", "en", "s", 0), (4, "z" * 50000, "en", "s", 0)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumnRenamed("lang", "set").withColumnRenamed("source", "bucket").withColumnRenamed("n_chars", "component_id")
+    got = Counter((x.doc_id, x.component_id) for x in jaccard_join.near_duplicates(df).collect())
+    assert got == Counter({(1, 1): 1, (2, 1): 1, (None, 1): 1, (3, 3): 2, (None, None): 2, (4, 4): 1})
+    kept = jaccard_join.drop_near_copies(df)
+    assert kept.columns == df.columns and Counter(x.doc_id for x in kept.collect()) == Counter({1: 1, 3: 2, 4: 1, None: 3})
+
+
+def test_heap_merge_skips_but_misses_nothing():
+    r = np.random.default_rng(6)
+    for least in (1, 2, 5, 9):
+        for _ in range(20):
+            lists = [sorted(r.choice(60, int(r.integers(0, 40)), replace=False).tolist()) for _ in range(int(r.integers(1, 14)))]
+            count = Counter(x for own in lists for x in own)
+            assert list(jaccard_join.heap_merge(lists, least)) == sorted((x, n) for x, n in count.items() if n >= least)
+
+
+def test_jaccard_join_of_a_bucket_that_pivots_do_not_split(spark):
+    """Sets that are unlike each other but share passages stay in one bucket until its blocks meet in pairs."""
+    r = np.random.default_rng(3)
+    sets = [(7, int(k), sorted({*range(40), *r.integers(100, 10**6, 80).tolist()})) for k in range(60)]
+    sets += [(7, 100 + k, sorted({*s[2][:-3], 10**7 + k})) for k, s in enumerate(sets[:20])]
+    df = spark.createDataFrame(sets, "bucket bigint, set bigint, shingles array<bigint>")
+    edges, left = jaccard_join._split_large(df, 85, 12, most=1)
+    assert max(x["count"] for x in left.groupBy("bucket").count().collect()) < 40
+    got = {frozenset(x) for x in edges.unionAll(jaccard_join.link_edges(left, 85)).collect()}
+    assert got == {frozenset((k, 100 + k)) for k in range(20)}
+
+
 def test_exact_dedup(docs, rows, empty):
     groups = defaultdict(list)
     for i, t, *_ in rows:
@@ -202,7 +235,7 @@ def test_lm_edges(spark, docs, empty):
 
 
 def test_lm_parts_of_frequent_pairs_are_copied():
-    rows = [(0x6162, lm_score.squeezed(np.array([0x63], np.uint8), np.array([900])), True), (0x6161, lm_score.squeezed(np.array([0x63], np.uint8), np.array([100])), True)]
+    rows = [(0x6162, squeezed(np.array([0x63], np.uint8), np.array([900])), True), (0x6161, squeezed(np.array([0x63], np.uint8), np.array([100])), True)]
     shared = lm_score.Shared.of(rows, (10, 5), 6, 96, 4, 4.0)
     assert shared.copies[0x6162] == 87 and shared.copies[0x6161] == 10 and sorted(shared.part_of(np.full(87, 0x6162), np.arange(87))) == sorted(set(shared.part_of(np.full(87, 0x6162), np.arange(87)))) and shared.copies[0] == 1
     assert np.allclose(shared.first[:, 1:].sum(1), 1) and np.allclose(shared.second[:, 1:].sum(1), 1, atol=1e-6)
