@@ -3,20 +3,23 @@
 The documents are cut into shards, each shard's words are numbered by the
 benchmark's vocabulary (0: not in it), and the shard's suffixes that begin with
 a benchmark word are sorted by their first `window` words or more. Every
-suffix of the benchmark is binary-searched in every shard: the range of
-suffixes that begin with its next `window` words are the places where that
-window occurs. Matches are extended to the left and right for the longest
-verbatim match. Suffixes that begin with other words can't match and aren't
-sorted.
+suffix of the benchmark that is a window long is binary-searched in every shard
+(those that begin with the same window at once): the range of the shard's
+suffixes that begin with its next `window` words are the places where it
+occurs. A place's longest verbatim match is with one of its neighbours in the
+sorted suffixes of the benchmark, which a second binary search finds. Suffixes
+that begin with other words can't match and aren't sorted.
 
 A shard is a few MB of text within one task, so nothing is shuffled and a
 document's rows never meet. The benchmark is sent to the tasks in blocks of
-bounded size (`block_bytes`); each shard is searched for each block.
+bounded size (`block_bytes`); the driver and a task hold one block at a time.
 
 Defined results: a null text has no words; an item without words matches
 nothing; an item of fewer words than a window is one window; repeated items
 count by id; a null item id is written as an empty string; an empty benchmark
-leaves all documents clean.
+leaves all documents clean; documents with null or repeated ids are looked at
+row by row; an empty table gives an empty result; other columns, whatever their
+names, are untouched, and not read unless `keep` is set.
 """
 
 from __future__ import annotations
@@ -26,11 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import frugal, small_batches
-from .textvec import WORD_ALNUM, TextSlice, find_words, text_slices, word_hashes
+from .textvec import WORD_ALNUM, TextSlice, Words, find_words, text_slices, word_hashes
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -47,17 +51,49 @@ class Benchmark:
         self.vocabulary = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, dtype=np.uint64)
         self.items = [np.searchsorted(self.vocabulary, h) + 1 for h in hashes]
         self.bits = max(1, int(len(self.vocabulary)).bit_length())
-        self.per_key = max(1, min(window, 63 // self.bits))
-        #: distinct windows: (words) -> [(item, place)]
-        self.windows: dict[tuple, list[tuple[int, int]]] = {}
+        self.per_key = max(1, min(window, 62 // self.bits))  # the key past the last one fits too
+        #: The whole text with a 0 after each item, and the suffixes in order: compared as words up to the item's end.
+        self.flat = np.concatenate([np.append(item, 0) for item in self.items]) if self.items else np.zeros(0, dtype=np.int64)
+        ends = np.cumsum([len(item) + 1 for item in self.items]) if self.items else np.zeros(0, dtype=np.int64)
+        self.item_of = np.repeat(np.arange(len(self.items)), np.diff(ends, prepend=0))
+        self.end = ends[self.item_of] - 1 if len(ends) else ends
+        self.order = _suffix_order(self.flat)
+        #: distinct windows: (words) -> their suffixes' places in `order`, first and past
+        self.windows: dict[tuple, tuple[int, int]] = {}
+        short: dict[tuple, list[int]] = {}  # items of fewer words than a window: they match wherever they stand
+        for at, where in enumerate(self.order.tolist()):
+            if self.end[where] - where >= window:
+                words = tuple(self.flat[where : where + window].tolist())
+                self.windows[words] = (self.windows.get(words, (at,))[0], at + 1)
         for k, item in enumerate(self.items):
-            n = min(window, len(item))
-            for at in range(len(item) - n + 1) if n else ():
-                self.windows.setdefault(tuple(item[at : at + n].tolist()), []).append((k, at))
-        self.searched = list(self.windows)
+            if 0 < len(item) < window:
+                short.setdefault(tuple(item.tolist()), []).append(k)
+        #: window -> the items that hold it
+        self.owners = {words: np.unique(self.item_of[self.order[a:b]]) for words, (a, b) in self.windows.items()}
+        self.owners |= {words: np.array(items) for words, items in short.items()}
+        self.searched = list(self.owners)
         self.first_key = np.array([self._key(w, 0)[0] for w in self.searched], dtype=np.int64)
         self.first_past = np.array([self._key(w, 0)[1] for w in self.searched], dtype=np.int64)
 
+    def longest(self, words: tuple, text: np.ndarray, place: int) -> tuple[int, int]:
+        """(length, item) of the longest match of the text from this place on, which begins with these words."""
+        if words not in self.windows:
+            return len(words), int(self.owners[words][0])
+        low, high = self.windows[words]
+        best = (0, 0)
+        while low < high:  # towards the suffix that follows the text's in order; the longest match is met on the way or beside it
+            middle = (low + high) // 2
+            where = int(self.order[middle])
+            n = min(int(self.end[where]) - where, len(text) - place)
+            differs = np.flatnonzero(self.flat[where : where + n] != text[place : place + n])
+            same = int(differs[0]) if len(differs) else n
+            best = max(best, (same, -int(self.item_of[where])))
+            if same == int(self.end[where]) - where or same < n and self.flat[where + same] < text[place + same]:
+                low = middle + 1
+            else:
+                high = middle
+        return best[0], -best[1]
+
     def _key(self, words: tuple, level: int) -> tuple[int, int]:
         """The least key of suffixes that begin with these words, and the first one beyond, at a level."""
         own = words[level * self.per_key : (level + 1) * self.per_key]
@@ -111,21 +147,29 @@ class SuffixArray:
             if low < high:
                 yield words, self.place[low:high]
 
-    def extend(self, place: int, item: np.ndarray, at: int) -> tuple[int, int]:
-        """The longest match that holds word `at` of the item at this place: its place and length."""
-        a, x = place, at
-        while a > 0 and x > 0 and self.numbers[a - 1] == item[x - 1]:
-            a, x = a - 1, x - 1
-        b, y = place, at
-        while b < len(self.numbers) and y < len(item) and self.numbers[b] == item[y]:
-            b, y = b + 1, y + 1
-        return a, b - a
-
-
-def _search(part: TextSlice, benchmark: Benchmark) -> tuple:
-    """Per document of the slice: first number of its words, and what occurs."""
-    words = find_words(part, WORD_ALNUM)
-    hashes = word_hashes(part, words)
+
+def _suffix_order(flat: np.ndarray) -> np.ndarray:
+    """The suffixes' places in order, each compared up to its item's end (the next 0). By doubling: ranks of 1, 2, 4 ... words."""
+    n = len(flat)
+    rank = np.unique(flat, return_inverse=True)[1] if n else flat
+    zero = np.flatnonzero(flat == 0)
+    end = zero[np.searchsorted(zero, np.arange(n))] if n else zero
+    size = 1
+    while n:
+        past = np.arange(n) + size
+        after = np.where(past <= end, rank[np.minimum(past, n - 1)], -1)  # beyond the item's end nothing follows
+        order = np.lexsort((after, rank))
+        change = (rank[order][1:] != rank[order][:-1]) | (after[order][1:] != after[order][:-1])
+        new = np.empty(n, dtype=np.int64)
+        new[order] = np.concatenate([[0], np.cumsum(change)])
+        if new.max() == rank.max() or 2 * size > n:
+            return order[flat[order] > 0]
+        rank, size = new, 2 * size
+    return np.zeros(0, dtype=np.int64)
+
+
+def _numbered(benchmark: Benchmark, words: Words, hashes: np.ndarray) -> tuple:
+    """Per document of the slice: its words, the place of the first one; and the slice's suffix array."""
     at = np.minimum(np.searchsorted(benchmark.vocabulary, hashes), max(0, len(benchmark.vocabulary) - 1))
     known = benchmark.vocabulary[at] == hashes if len(benchmark.vocabulary) else np.zeros(len(hashes), dtype=bool)
     counts = np.diff(words.bounds)
@@ -135,26 +179,21 @@ def _search(part: TextSlice, benchmark: Benchmark) -> tuple:
     return counts, begin, SuffixArray(numbers, benchmark)
 
 
-def _matches(array: SuffixArray, begin: np.ndarray) -> tuple[np.ndarray, dict[int, set[int]], dict[int, tuple[int, int, int]]]:
+def _matches(array: SuffixArray, begin: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray], dict[int, tuple[int, int, int]]]:
     """Hit words, items by document, and (length, item, word offset) of each document's longest match."""
     steps = np.zeros(len(array.numbers) + 1, dtype=np.int64)
-    items: dict[int, set[int]] = {}
+    owners: dict[int, list[np.ndarray]] = {}
     longest: dict[int, tuple[int, int, int]] = {}
     for words, places in array.occurrences():
         np.add.at(steps, places, 1)
         np.add.at(steps, places + len(words), -1)
         docs = np.searchsorted(begin, places, side="right") - 1
-        owners = array.b.windows[words]
         for d in np.unique(docs).tolist():
-            items.setdefault(d, set()).update(k for k, _ in owners)
+            owners.setdefault(d, []).append(array.b.owners[words])
         for d, p in zip(docs.tolist(), places.tolist(), strict=True):
-            for k, at in owners:
-                item = array.b.items[k]
-                if at and p and array.numbers[p - 1] == item[at - 1] and longest.get(d, (0, 0, 0))[0] >= len(words):
-                    continue  # the match begins further left and is seen from there
-                a, n = array.extend(p, item, at)
-                longest[d] = max(longest.get(d, (0, 0, 0)), (n, -k, -(a - int(begin[d]))))
-    return np.cumsum(steps[:-1]) > 0, items, {d: (n, -k, -a) for d, (n, k, a) in longest.items()}
+            n, item = array.b.longest(words, array.numbers, p)
+            longest[d] = max(longest.get(d, (0, 0, 0)), (n, -item, -(p - int(begin[d]))))
+    return np.cumsum(steps[:-1]) > 0, {d: np.unique(np.concatenate(x)) for d, x in owners.items()}, {d: (n, -k, -a) for d, (n, k, a) in longest.items()}
 
 
 def benchmark_blocks(benchmark: DataFrame, id_column: str = "item_id", text_column: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> Iterator[Benchmark]:
@@ -166,6 +205,12 @@ def benchmark_blocks(benchmark: DataFrame, id_column: str = "item_id", text_colu
         yield Benchmark([r.id or "" for r in rows], [r.text for r in rows], window)
 
 
+def _let_go(block: Broadcast) -> None:
+    """This process forgets the block's content; its next use reads it from the executor's copy again."""
+    if getattr(block, "_path", None) and hasattr(block, "_value"):
+        del block._value
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", window: int = WINDOW, block_bytes: int = BLOCK_BYTES, keep: bool = False) -> DataFrame:
     """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated, longest_match, match_item, match_at.
 
@@ -176,15 +221,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
 
     def look(part: TextSlice) -> tuple:
         hit, found, best, counts, begin = None, {}, {}, None, None
-        for k, block in enumerate(blocks):
-            counts, begin, array = _search(part, block.value)
+        words = find_words(part, WORD_ALNUM)
+        hashes = word_hashes(part, words)
+        for block in blocks:
+            counts, begin, array = _numbered(block.value, words, hashes)
             marks, items, longest = _matches(array, begin)
             hit = marks if hit is None else hit | marks
             for d, own in items.items():
-                found.setdefault(d, set()).update(block.value.ids[i] for i in own)
+                found.setdefault(d, set()).update(block.value.ids[i] for i in own.tolist())
             for d, (n, i, a) in longest.items():
                 if n > best.get(d, (0, "", 0))[0]:
                     best[d] = n, block.value.ids[i], a
+            if len(blocks) > 1:
+                _let_go(block)
         total = np.concatenate([[0], np.cumsum(hit)])
         return counts, total[begin + counts] - total[begin], found, best
 
@@ -205,7 +254,6 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "
                 )
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-
         for batch in batches:
             for part in text_slices(batch.column(position), SHARD_BYTES):
                 hits = look(part)[1]

@@ -92,4 +92,4 @@ FROM docs WINDOW g AS (PARTITION BY text_sha256)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL}
+    return {"op3_decontamination": OP3_SQL, "op6_exact_dedup": OP6_SQL}

@@ -183,6 +183,53 @@ def test_decontamination(spark, docs, rows, empty):
     assert not any(r.contaminated for r in decontaminate.find_contamination(docs, bench.where("false")).collect())
 
 
+def test_longest_matches(spark):
+    r = np.random.default_rng(4)
+    words = [f"w{k}" for k in range(6)]
+    items = [(k, " ".join(words[i] for i in r.integers(0, 6, int(r.integers(1, 14))))) for k in range(30)] + [(99, None)]
+    texts = [(k, " ".join(words[i] for i in r.integers(0, 6, 40)), "en", "s", 0) for k in range(20)]
+    bench, docs = spark.createDataFrame(items, "item_id bigint, text string"), spark.createDataFrame(texts, SCHEMA).withColumnRenamed("lang", "n_hit").withColumnRenamed("source", "longest_match")
+    got = {x.doc_id: x for x in decontaminate.find_contamination(docs, bench, window=4).collect()}
+    for i, t, *_ in texts:
+        w, best = t.split(), 0
+        for _, other in items[:-1]:
+            o = other.split()
+            n = min(4, len(o))
+            for a in range(len(w)):
+                for b in range(len(o) - n + 1):
+                    same = next((k for k in range(min(len(w) - a, len(o) - b)) if w[a + k] != o[b + k]), min(len(w) - a, len(o) - b))
+                    best = max(best, same if same >= n else 0)
+        x = got[i]
+        assert (x.longest_match or 0) == best
+        if best:
+            own = dict((str(k), v.split()) for k, v in items[:-1])[x.match_item]
+            part = w[x.match_at : x.match_at + best]
+            assert any(own[b : b + best] == part for b in range(len(own)))
+    assert decontaminate.drop_contaminated(docs, bench, window=4).columns == docs.columns
+
+
+def test_suffix_order_of_items():
+    r = np.random.default_rng(2)
+    items = [r.integers(1, 4, int(r.integers(0, 9))) for _ in range(25)]
+    flat = np.concatenate([np.append(x, 0) for x in items])
+    end = lambda p: p + int(np.flatnonzero(flat[p:] == 0)[0])
+    order = decontaminate._suffix_order(flat).tolist()
+    suffixes = [flat[p : end(p)].tolist() for p in order]
+    assert suffixes == sorted(suffixes) and sorted(order) == np.flatnonzero(flat).tolist()
+
+
+@pytest.mark.parametrize("kinds", [1, 2, 126, 127, 128, 511, 512])
+def test_decontamination_of_any_vocabulary(kinds):
+    """Keys of the last word of a vocabulary, again and again, fit into 64 bits."""
+    item = [*(f"v{k}" for k in range(kinds)), *[f"v{kinds - 1}"] * 30]
+    bench = decontaminate.Benchmark(["1"], [" ".join(item)])
+    [part] = decontaminate.text_slices(pa.array([" ".join(["other", *item, "other"])]))
+    words = decontaminate.find_words(part, decontaminate.WORD_ALNUM)
+    _, begin, array = decontaminate._numbered(bench, words, decontaminate.word_hashes(part, words))
+    hit, items, longest = decontaminate._matches(array, begin)
+    assert hit.sum() == len(item) and items[0].tolist() == [0] and longest[0] == (len(item), 0, 1)
+
+
 def brute_tree(texts, depth=6, min_count=4, cutoff=4.0):
     """log10 P(byte | past) with contexts in dictionaries. texts: lists of bytes and a last None."""
     seen = defaultdict(Counter)
