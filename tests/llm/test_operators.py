@@ -154,6 +154,15 @@ def test_exact_dedup_keeps_one_of_identical_rows(spark):
     assert exact_dedup.drop_exact_copies(df).count() == 3
 
 
+def test_exact_dedup_with_clashing_columns(spark):
+    rows = [(1, "a", "x", "y", 1), (2, "A", "x", "y", 2), (3, None, "x", "y", 3), (4, "", "z", "y", 4), (5, "é" * 9000, "x", "y", 5), (6, "É" * 9000, "x", "y", 6)]
+    for names in (("doc", "sha", "size"), ("__size", "__sha", "id"), ("row", "repeated", "a.b"), ("keep", "salt", "pos0"), ("kept", "bucket0", "bitmap1")):
+        df = spark.createDataFrame(rows, f"doc_id bigint, text string, `{names[0]}` string, `{names[1]}` string, `{names[2]}` int")
+        kept = exact_dedup.drop_exact_copies(df)
+        assert kept.columns == df.columns and sorted(map(tuple, kept.collect())) == [rows[1], rows[3], rows[4], rows[5]]
+        assert sorted(r.doc_id for r in exact_dedup.duplicate_groups(df).where("kept").collect()) == [2, 4, 5, 6]
+
+
 def test_decontamination(spark, docs, rows, empty):
     words = re.compile(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
     texts = [t for _, t, *_ in rows if t and len(words.findall(t)) > 25]
