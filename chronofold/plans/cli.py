@@ -7,11 +7,14 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from chronofold.operators.sink import read_current
+from chronofold import ship
+from chronofold.operators.sink import LostPointer, read_current
 from chronofold.operators.verify import compare_counts, compare_tables
 
 from .config import Config
 from .datagen import Shape, write_lifecycle
+from .lifecycle import verify_lifecycle
+from .progress import Cancelled
 from .restore import restore
 
 
@@ -47,6 +50,15 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--updates", type=int, default=30)
     g.add_argument("--deletes", type=int, default=20)
     g.add_argument("--seed", type=int, default=42)
+    r.add_argument("--files-per-step", type=int, default=0, help="decode so many files at a time and keep them; needs --resume")
+    r.add_argument("--keep-versions", type=int, help="versions of the table that stay")
+    r.add_argument("--quiet", action="store_true", help="no lines of progress")
+    c = commands.add_parser("lifecycle", help="generate, restore and check a table phase by phase")
+    c.add_argument("--path", required=True)
+    c.add_argument("--items", type=int, default=100)
+    c.add_argument("--updates", type=int, default=30)
+    c.add_argument("--deletes", type=int, default=20)
+    c.add_argument("--seed", type=int, default=42)
     v = commands.add_parser("verify")
     v.add_argument("--source", required=True)
     v.add_argument("--target", required=True)
@@ -58,11 +70,30 @@ def main(argv: list[str] | None = None) -> int:
     if argv and argv[0].startswith("-"):
         argv = ["restore", *argv]
     args = parser().parse_args(argv)
-    spark = SparkSession.builder.appName("chronofold").getOrCreate()
+    try:
+        return _run(args)
+    except (ValueError, Cancelled, LostPointer) as e:
+        print(f"error: {e}", file=sys.stderr)
+        return 130 if isinstance(e, Cancelled) else 2
+
+
+def _run(args: argparse.Namespace) -> int:
+    config = None
     if args.command == "restore":
-        config = Config(args.table, args.export, tuple(args.keys.split(",")), args.type, args.view, args.region, args.resume, args.workers, args.batch_size, args.report, args.dry_run, args.shutdown_timeout, args.on_corrupt, args.order, True, args.root)
-        print(restore(spark, config, args.target).report.as_text())
+        remote = args.export.startswith(("s3:", "s3a:"))  # then the checks of URIs and region hold
+        config = Config(
+            args.table, args.export, tuple(args.keys.split(",")), args.type, args.view, args.region, args.resume, args.workers, args.batch_size, args.report, args.dry_run, args.shutdown_timeout, args.on_corrupt, args.order, not remote, args.root,
+            args.files_per_step, keep_versions=args.keep_versions,
+        )
+    spark = SparkSession.builder.appName("chronofold").getOrCreate()
+    ship(spark)
+    if config:
+        print(restore(spark, config, args.target, say=None if args.quiet else lambda line: print(line, flush=True)).report.as_text())
         return 0
+    if args.command == "lifecycle":
+        phases = verify_lifecycle(spark, args.path, Shape(args.items, args.updates, args.deletes, args.seed)).collect()
+        print("\n".join(f"{'ok  ' if p.ok else 'FAIL'} {p.phase}: {p.detail}" for p in phases))
+        return 0 if all(p.ok for p in phases) else 1
     if args.command == "generate":
         print("\n".join(write_lifecycle(spark, args.path, Shape(args.items, args.updates, args.deletes, args.seed))))
         return 0

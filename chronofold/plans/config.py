@@ -27,6 +27,9 @@ class Config:
     order: str = "strict"
     local: bool = True  # accept any path and no region
     root: str | None = None
+    files_per_step: int = 0  # decode so many files at a time and keep them, so that a run that dies goes on from there; 0: all at once
+    tries: int = 3  # of each step
+    keep_versions: int | None = None  # of the table; all if None
 
     def __post_init__(self) -> None:
         checks = (
@@ -43,6 +46,9 @@ class Config:
             (self.shutdown_timeout >= 1, "shutdown timeout must be at least one second"),
             (self.on_corrupt in ("count", "fail"), "on_corrupt must be count or fail"),
             (self.order in ("strict", "batched"), "order must be strict or batched"),
+            (self.files_per_step >= 0, "files per step must not be negative"),
+            (self.tries >= 1, "at least one try is needed"),
+            (self.keep_versions is None or self.keep_versions >= 1, "at least one version must be kept"),
         )
         for ok, message in checks:
             if not ok:

@@ -12,8 +12,11 @@ from random import Random
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FIRST = ("Attr", "Field", "Data", "Value", "Info", "Meta", "Config", "Setting")
-SECOND = ("Name", "Type", "Status", "Count", "Size", "Level", "Score", "Index")
+from chronofold.operators.sink import file_system, list_names
+
+#: Names of the random attributes are one of either.
+FIRST = ("river", "cedar", "amber", "north", "stone", "cloud", "ember", "frost")
+SECOND = ("Height", "Colour", "Owner", "Weight", "Origin", "Season", "Shelf", "Grade")
 KEYS = ("PK", "SK")
 #: Secondary layouts: name -> (partition attribute, sort attribute).
 INDEXES = {"by_category": ("category", "createdAt"), "by_timestamp": ("PK", "timestamp")}
@@ -85,8 +88,13 @@ def write_export(spark: SparkSession, root: str, name: str, lines: list[str], ex
         key = f"{folder}/data/{hashlib.sha256(name.encode() + blob + bytes([len(listed)])).hexdigest()[:26]}.json.gz"
         _put(spark, f"{root}/{key}", blob)
         listed.append({"itemCount": len(part), "md5Checksum": base64.b64encode(hashlib.md5(blob).digest()).decode(), "etag": hashlib.md5(blob).hexdigest() + "-1", "dataFileS3Key": key})
+    return _write_manifest(spark, root, folder, name, listed, export_type)
+
+
+def _write_manifest(spark: SparkSession, root: str, folder: str, name: str, listed: list[dict], export_type: str) -> str:
     _put(spark, f"{root}/{folder}/manifest-files.json", "".join(json.dumps(x) + "\n" for x in listed).encode())
-    summary = {"version": "2023-08-01", "exportArn": f"export/{name}", "tableArn": "table/test", "s3Bucket": "local", "s3Prefix": None, "manifestFilesS3Key": f"{folder}/manifest-files.json", "itemCount": len(lines), "billedSizeBytes": 0, "outputFormat": "DYNAMODB_JSON"}
+    items = sum(x["itemCount"] for x in listed)
+    summary = {"version": "2023-08-01", "exportArn": f"export/{name}", "tableArn": "table/test", "s3Bucket": "local", "s3Prefix": None, "manifestFilesS3Key": f"{folder}/manifest-files.json", "itemCount": items, "billedSizeBytes": 0, "outputFormat": "DYNAMODB_JSON"}
     if export_type != "FULL":
         summary |= {"exportType": "INCREMENTAL_EXPORT", "outputView": "NEW_AND_OLD_IMAGES"}
     _put(spark, f"{root}/{folder}/manifest-summary.json", json.dumps(summary).encode())
@@ -95,9 +103,8 @@ def write_export(spark: SparkSession, root: str, name: str, lines: list[str], ex
 
 def _put(spark: SparkSession, path: str, blob: bytes) -> None:
     """Through Hadoop's file systems, so any store that Spark writes will do."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    fs, p = file_system(spark, path)
+    out = fs.create(p, True)
     try:
         out.write(bytearray(blob))
     finally:
@@ -109,12 +116,35 @@ def write_lifecycle(spark: SparkSession, root: str, shape: Shape = Shape()) -> l
     return [write_export(spark, root, "full", full_lines(shape)), write_export(spark, root, "incremental", lifecycle_lines(shape), "INCREMENTAL")]
 
 
+def write_lines(lines: DataFrame, root: str, name: str, files: int = 4, export_type: str = "INCREMENTAL") -> str:
+    """Writes a table of lines (line, and `part`: which of the files) as an export, by Spark's tasks; returns the summary's path."""
+    from chronofold.sources.changelog import read_lines
+    from chronofold.sources.manifest import content_checksums
+
+    spark = lines.sparkSession
+    folder = f"exports/{name}"
+    raw = f"{root}/{folder}/raw"
+    lines.select("line", (F.col("part") % files).alias("part"), *[c for c in lines.columns if c == "place"]).repartition(files, "part").sortWithinPartitions(*["part", *[c for c in lines.columns if c == "place"]]).select("line", "part").write.partitionBy("part").option("compression", "gzip").text(raw)
+    paths = []
+    for part in [n for n in list_names(spark, raw) if n.startswith("part=")]:
+        for file in [n for n in list_names(spark, f"{raw}/{part}") if n.endswith(".gz")]:
+            key = f"{folder}/data/{part.replace('=', '-')}-{file}"
+            fs, source = file_system(spark, f"{raw}/{part}/{file}")
+            target = file_system(spark, f"{root}/{key}")[1]
+            fs.mkdirs(target.getParent())
+            fs.rename(source, target)
+            paths.append(key)
+    sums = {r.path.rpartition("/")[2]: r.md5 for r in content_checksums(spark, [f"{root}/{k}" for k in paths]).collect()}  # one row a file
+    counts = {r.file: r["count"] for r in read_lines(spark, [(k, f"{root}/{p}") for k, p in enumerate(paths)]).groupBy("file").count().collect()}
+    listed = [{"itemCount": counts.get(p.rpartition("/")[2], 0), "md5Checksum": sums[p.rpartition("/")[2]], "etag": f"{k}-1", "dataFileS3Key": p} for k, p in enumerate(paths)]
+    return _write_manifest(spark, root, folder, name, listed, export_type)
+
+
 def index_view(items: DataFrame, index: str) -> DataFrame:
     """(partition, sort, key, place): the items that have both attributes, as a secondary index orders them."""
-    from pyspark.sql import Window
-
     from chronofold.functions.values import as_number_text, as_string, attribute
+    from chronofold.operators.rank import place_in_partition
 
     first, second = INDEXES[index]
     out = items.select("key", as_string(attribute("item", first)).alias("partition"), as_number_text(attribute("item", second)).try_cast("bigint").alias("sort")).where("partition is not null and sort is not null")
-    return out.withColumn("place", F.row_number().over(Window.partitionBy("partition").orderBy("sort", "key")))
+    return place_in_partition(out, "partition", "sort", "key")

@@ -47,7 +47,12 @@ class Report:
         return "\n".join(f"{k}: {v}" for k, v in rows.items())
 
 
-def operation_counts(decoded: DataFrame, batch_size: int = 25) -> DataFrame:
-    """(file, op, n, batches): one row for each file and operation; op null: corrupt. One aggregation."""
-    n = decoded.groupBy("file", "op").agg(F.count(F.lit(1)).alias("n"))
-    return n.withColumn("batches", F.ceil(F.col("n") / batch_size))
+def operation_counts(decoded: DataFrame) -> DataFrame:
+    """(file, op, n): one row for each file and operation; op null: corrupt. One aggregation."""
+    return decoded.groupBy("file", "op").agg(F.count(F.lit(1)).alias("n"))
+
+
+def file_counts(counts: DataFrame, batch_size: int = 25) -> DataFrame:
+    """operation_counts() -> (file, items, corrupt, batches): a file's operations of all kinds fill its batches together."""
+    items = F.sum(F.when(F.col("op").isNotNull(), F.col("n")).otherwise(0))
+    return counts.groupBy("file").agg(items.alias("items"), (F.sum("n") - items).alias("corrupt")).withColumn("batches", F.ceil(F.col("items") / batch_size))

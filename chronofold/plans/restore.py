@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
-from dataclasses import dataclass
+import uuid
+from collections.abc import Callable
+from contextlib import ExitStack
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +15,24 @@ from pyspark.sql import functions as F
 
 from chronofold.operators.apply import apply_operations, batched_order, key_text, strict_order
 from chronofold.operators.decode import decode_lines, with_keys
-from chronofold.operators.sink import read_current, swap_in
+from chronofold.operators.sink import current_version, delete, read_current, read_current_or_none, swap_in
 from chronofold.sources.changelog import read_lines
-from chronofold.sources.ledger import Ledger, ParquetLedger, pending_files
+from chronofold.sources.ledger import DONE, SCHEMA, STAGED, Ledger, ParquetLedger, pending_files, staged_places
 from chronofold.sources.manifest import FILES, Manifest, load_manifest
 
 from .config import Config
-from .report import Report, operation_counts
+from .progress import Totals, shown_progress, stoppable, tried
+from .report import Report, file_counts, operation_counts
 
 
 class CorruptLines(ValueError):
     pass
 
 
+#: What is kept of a decoded line.
+KEPT = ("op", "keys", "new_image", "old_image", "write_micros", "is_corrupt", "reason", "file", "file_ordinal", "block_start", "line_number")
+
+
 @dataclass
 class Result:
     report: Report
@@ -62,65 +71,132 @@ def with_key_maps(snapshot: DataFrame, key_columns: list[str]) -> DataFrame:
     return snapshot.withColumn("keys", F.map_filter("item", lambda k, _: F.array_contains(wanted, k)))
 
 
-def restore(spark: SparkSession, config: Config, target: str, ledger: Ledger | None = None) -> Result:
+@dataclass
+class _Run:
+    """A restore as far as it has come."""
+
+    spark: SparkSession
+    config: Config
+    target: str
+    manifest: Manifest
+    ledger: Ledger | None
+    totals: Totals = field(default_factory=Totals)
+    errors: list[str] = field(default_factory=list)
+    counts: dict[str, dict[str | None, int]] = field(default_factory=dict)  # file -> operation (None: corrupt) -> lines
+
+    def tried(self, work: Callable) -> object:
+        return tried(work, self.config.tries, lambda e: self.errors.append(repr(e)))
+
+    def staging(self) -> str:
+        return f"{self.target}/_staging/{hashlib.sha256(self.manifest.export_id.encode()).hexdigest()[:16]}"
+
+    def counted(self, decoded: DataFrame) -> None:
+        """Adds up a decoded part's lines by file and operation: a few rows a file."""
+        names = {k.rsplit("/", 1)[-1]: k for k in (f["dataFileS3Key"] for f in self.manifest.files)}
+        rows = operation_counts(decoded)
+        for r in rows.collect():
+            self.counts.setdefault(names[r.file], {})[r.op] = r.n
+        for r in file_counts(rows, self.config.batch_size).collect():
+            self.totals.items += r["items"]
+            self.totals.batches += r.batches
+
+    def enter(self, files: list[str], state: str, place: str | None = None) -> None:
+        if self.ledger and files:
+            now = datetime.now(timezone.utc)
+            own = {f: self.counts.get(f, {}) for f in files}
+            rows = [(self.manifest.export_id, f, sum(n for op, n in c.items() if op), c.get(None, 0), now, state, place) for f, c in own.items()]
+            self.ledger.append(self.spark.createDataFrame(rows, SCHEMA))
+
+    def stage(self, files: list[str]) -> str:
+        """Decodes some files and keeps their lines; they enter the ledger after that."""
+        place = f"{self.staging()}/{uuid.uuid4().hex}"
+        decode_export(self.spark, self.manifest, list(self.config.key_columns), files).select(*KEPT).write.parquet(place)
+        return place
+
+
+def restore(spark: SparkSession, config: Config, target: str, ledger: Ledger | None = None, say: Callable[[str], None] | None = None) -> Result:
     """Applies one export to the table under `target`. A dry run decodes, checks and reports, and writes nothing.
 
-    The export's pending files are applied together, in one write that is
-    swapped in, and enter the ledger after it; so a run that dies leaves the
-    table and ledger as they were and is simply run again.
+    With a ledger and `files_per_step` the export's files are decoded in steps;
+    what a step has decoded is kept and entered, so a run that dies goes on with
+    the files that are left. All of the export is then applied in one write,
+    swapped in, and entered as done: the order of operations is that of the
+    whole export, however it was read. say: gets lines of progress.
     """
     began, start = time.time(), datetime.now(timezone.utc)
     manifest = load_manifest(spark, config.export, config.root)
     ledger = ledger or (ParquetLedger(spark, config.resume) if config.resume else None)
+    run = _Run(spark, config, target, manifest, ledger)
     warnings = []
     if manifest.export_type != config.export_type:
         warnings.append(f"the manifest is of a {manifest.export_type} export, not {config.export_type}")
+    if config.files_per_step and not ledger:
+        warnings.append("without a ledger no step is kept")
+    keys = list(config.key_columns)
     files = spark.createDataFrame([tuple(f[c.split()[0]] for c in FILES.split(", ")) for f in manifest.files], FILES)
+    places: dict[str, str] = {}
     if ledger:
-        files = pending_files(files, ledger.read(), manifest.export_id)
-    names = [r.dataFileS3Key for r in files.select("dataFileS3Key").collect()]  # one row a file
-    keys = list(config.key_columns)
-    decoded = decode_export(spark, manifest, keys, names).persist()
-    try:
-        counts = operation_counts(decoded, config.batch_size).collect()  # a few rows a file
-        corrupt = sum(r.n for r in counts if r.op is None)
+        known = ledger.read()
+        files = pending_files(files, known, manifest.export_id)
+        places = staged_places(known, manifest.export_id)
+    names = sorted(r.dataFileS3Key for r in files.select("dataFileS3Key").collect())  # one row a file
+    places = {f: p for f, p in places.items() if f in names}
+    base = read_current_or_none(spark, target)  # a table without its pointer stops the run here
+    base = base if base is None else with_key_maps(base, keys)
+    with ExitStack() as stack:
+        stack.enter_context(stoppable(spark, config.shutdown_timeout))
+        if say:
+            stack.enter_context(shown_progress(spark, run.totals, say))
+        if config.files_per_step and ledger and not config.dry_run:
+            for place in sorted(set(places.values())):
+                run.counted(spark.read.parquet(place).where(F.col("file").isin([f.rsplit("/", 1)[-1] for f, p in places.items() if p == place])))
+            left = [f for f in names if f not in places]
+            for k in range(0, len(left), config.files_per_step):
+                step = left[k : k + config.files_per_step]
+                place = run.tried(lambda step=step: run.stage(step))
+                run.counted(spark.read.parquet(place))
+                run.enter(step, STAGED, place)
+                places |= dict.fromkeys(step, place)
+            decoded = _staged(spark, places) if places else decode_export(spark, manifest, keys, [])
+        else:
+            decoded = decode_export(spark, manifest, keys, names).select(*KEPT).persist()
+            stack.callback(decoded.unpersist)
+            run.tried(lambda: run.counted(decoded))
+        corrupt = sum(c.get(None, 0) for c in run.counts.values())
         if corrupt and config.on_corrupt == "fail":
             raise CorruptLines(f"{corrupt} corrupt lines")
-        base = None
-        try:
-            base = with_key_maps(read_current(spark, target), keys)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
         version = snapshot = None
         if not config.dry_run:
             if names:
-                version = swap_in(_merged(base, decoded, config.order, config.batch_size), target)
+                version = run.tried(lambda: swap_in(_merged(base, decoded, config.order, config.batch_size), target, config.keep_versions))
+                run.enter(names, DONE)
+                delete(spark, run.staging())
                 snapshot = read_current(spark, target)
             elif base is not None:
                 snapshot = base.drop("keys")
-            if ledger and names:
-                now = datetime.now(timezone.utc)
-                short = {n.rsplit("/", 1)[-1]: n for n in names}
-                done = {n: [0, 0] for n in names}
-                for r in counts:
-                    done[short[r.file]][r.op is None] += r.n
-                ledger.append(spark.createDataFrame([(manifest.export_id, n, good, bad, now) for n, (good, bad) in done.items()], "export_id string, file string, items bigint, corrupt bigint, finished_at timestamp"))
-        by_op: dict[str, int] = {}
-        for r in counts:
-            by_op[r.op or "CORRUPT"] = by_op.get(r.op or "CORRUPT", 0) + r.n
-        listed = sum(f["itemCount"] or 0 for f in manifest.files if f["dataFileS3Key"] in names)
-        items = sum(r.n for r in counts) - corrupt
-        if listed != items:
-            warnings.append(f"the manifest lists {listed} items; {items} were decoded")
-        report = Report(start.isoformat(), datetime.now(timezone.utc).isoformat(), items, corrupt, time.time() - began, sum(r.batches for r in counts if r.op), 0, by_op, warnings)
-    finally:
-        decoded.unpersist()
+    by_op: dict[str, int] = {}
+    for own in run.counts.values():
+        for op, n in own.items():
+            by_op[op or "CORRUPT"] = by_op.get(op or "CORRUPT", 0) + n
+    listed = sum(f["itemCount"] or 0 for f in manifest.files if f["dataFileS3Key"] in names)
+    if listed != run.totals.items:
+        warnings.append(f"the manifest lists {listed} items; {run.totals.items} were decoded")
+    report = Report(start.isoformat(), datetime.now(timezone.utc).isoformat(), run.totals.items, corrupt, time.time() - began, run.totals.batches, len(run.errors), by_op, warnings + [f"tried again after {e}" for e in run.errors])
     if config.report and not config.dry_run:
         spark.createDataFrame([(report.as_json(),)], "value string").coalesce(1).write.mode("overwrite").text(config.report)
     return Result(report, snapshot, version)
 
 
+def _staged(spark: SparkSession, places: dict[str, str]) -> DataFrame:
+    """The kept lines of files; of a place only the files that it counts for."""
+    out = None
+    for place in sorted(set(places.values())):
+        own = [f.rsplit("/", 1)[-1] for f, p in places.items() if p == place]
+        part = spark.read.parquet(place).where(F.col("file").isin(own))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def restore_chain(spark: SparkSession, exports: list[DataFrame], key_columns: list[str]) -> DataFrame:
     """(key, item) after decoded exports, one after the other, with nothing written in between."""
     whole = None
@@ -130,4 +206,4 @@ def restore_chain(spark: SparkSession, exports: list[DataFrame], key_columns: li
     return apply_operations(strict_order(whole))
 
 
-__all__ = ["Config", "CorruptLines", "Result", "decode_export", "key_text", "restore", "restore_chain", "with_key_maps"]
+__all__ = ["Config", "CorruptLines", "Result", "current_version", "decode_export", "key_text", "restore", "restore_chain", "with_key_maps"]

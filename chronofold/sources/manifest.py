@@ -9,6 +9,9 @@ from urllib.parse import urlparse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronofold.operators.sink import file_system
+
+# Field names and the format's name of the exports.
 SUMMARY = (
     "version string, exportArn string, startTime string, endTime string, tableArn string, tableId string, exportTime string, exportFromTime string, exportToTime string, s3Bucket string, s3Prefix string, "
     "s3SseAlgorithm string, s3SseKmsKeyId string, manifestFilesS3Key string, billedSizeBytes bigint, itemCount bigint, outputFormat string, outputView string, exportType string"
@@ -89,19 +92,23 @@ def content_checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def verify_checksums(spark: SparkSession, manifest: Manifest) -> DataFrame:
     """(dataFileS3Key, status): ok, mismatch or missing, by the MD5 of the content; an ETag of a multipart upload isn't one."""
-    wanted = spark.createDataFrame([(f["dataFileS3Key"], f["md5Checksum"]) for f in manifest.files], "dataFileS3Key string, expected string")
-    paths = [p for _, p in manifest.data_paths()]
-    there = [p for p in paths if _exists(spark, p)]
-    found = content_checksums(spark, there) if there else spark.createDataFrame([], "path string, md5 string, bytes bigint")
-    joined = wanted.join(found, F.endswith(F.col("path"), F.concat(F.lit("/"), F.col("dataFileS3Key"))), "left")  # a few rows: one a file
+    paths = {f["dataFileS3Key"]: manifest.path(f["dataFileS3Key"]) for f in manifest.files}
+    there = _existing(spark, sorted(set(paths.values())))
+    wanted = spark.createDataFrame([(f["dataFileS3Key"], f["md5Checksum"], there.get(paths[f["dataFileS3Key"]])) for f in manifest.files], "dataFileS3Key string, expected string, path string")
+    found = content_checksums(spark, sorted(there.values())) if there else spark.createDataFrame([], "path string, md5 string, bytes bigint")
     status = F.when(F.col("md5").isNull(), "missing").when(F.col("md5") == F.col("expected"), "ok").otherwise("mismatch")
-    return joined.select("dataFileS3Key", status.alias("status"))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return wanted.join(found, "path", "left").select("dataFileS3Key", status.alias("status"))
+
+
+def _existing(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """path -> its full name as Spark reports it, of those that are there. One listing a folder."""
+    out = {}
+    for folder in sorted({p.rpartition("/")[0] for p in paths}):
+        fs, p = file_system(spark, folder)
+        if fs.exists(p):
+            names = {s.getPath().getName(): s.getPath().toString() for s in fs.listStatus(p)}
+            out |= {x: names[x.rpartition("/")[2]] for x in paths if x.rpartition("/")[0] == folder and x.rpartition("/")[2] in names}
+    return out
 
 
 def hex_of_base64(column: Column) -> Column:
