@@ -33,7 +33,10 @@ def durable(df: DataFrame) -> DataFrame:
 def forget(*frames: DataFrame) -> None:
     """Deletes the files of durable() tables that nothing reads any more."""
     for df in frames:
-        path = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        plan = df._jdf.queryExecution().analyzed()
+        if plan.nodeName() != "LogicalRDD":
+            continue  # not one of them
+        path = plan.rdd().getCheckpointFile()
         if path.isDefined():
             folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path.get())
             folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -61,13 +61,15 @@ SHINGLE, PERCENT = 4, 85
 SKETCH_BITS, SKETCH_CHUNK = 24, 1 << 19
 #: Candidate sets whose ids are broadcast (24 bytes each, 48 MB in all); beyond, they are joined by a shuffle.
 BROADCAST_SETS = 2_000_000
-BUCKET_SETS = 1024
+BUCKET_SETS = 256
 #: Sets of more copies than this, and than a part of all rows, are dealt over SALTS tasks when rows learn their component.
 SALTS, MANY_COPIES, MANY_SHARE = 16, 1024, 10_000
 #: Bits of shingles and sets in the search for candidates: two that fall together make a bucket larger, never a link.
 NODE = (1 << 48) - 1
 #: Rounds that cut large buckets finer, and the sketch of such a round: at most 2**REFINE_BITS bytes.
 REFINEMENTS, REFINE_BITS = 3, 26
+#: Rounds that split large buckets by pivots. A round of either kind that settles less than this share of the sets is the last one of its kind.
+PIVOTS, WORTH = 6, 0.2
 #: DivideSkip's balance between merging short lists and probing long ones.
 MU = 0.01
 
@@ -391,25 +393,29 @@ def _refined(docs: DataFrame, id_column: str, text_column: str, members: DataFra
     shingle (up to 2**bits), so a passage of two sets ranks behind the shingles of one;
     sets go on together if they were together before and still are.
     """
+    last = None
     for turn in range(1, REFINEMENTS + 1):
         large = durable(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).where(F.col("sets") > bucket_sets))
         sets, shingles = large.agg(F.sum("sets"), F.sum("shingles")).first()
-        if not sets:
+        if not sets or last and sets > (1 - WORTH) * last:
             break
+        last = sets
         marked = durable(members.join(F.broadcast(large.select("bucket", F.lit(True).alias("large"))), "bucket", "left"))
         ids = marked.where("large").select(F.col("id").alias("_id")).distinct()
         own = docs.select(id_column, text_column).join(F.broadcast(ids) if sets <= broadcast_sets else ids, F.col(id_column).eqNullSafe(F.col("_id")), "left_semi")
         ranks = sketch(own, text_column, k, min(bits, int(shingles).bit_length() + 1), turn)
         parts = connected_components(candidate_edges(prefixes(own, id_column, text_column, ranks, k, percent, turn).where("n > 0")))
         finer = marked.where("large").drop("large").join(parts, node_of(F.col("set")) == F.col("node")).withColumn("bucket", F.xxhash64("bucket", "component", F.lit(turn)))
-        now = durable(marked.where("large is null").select("set", "id", "n", "bucket").unionAll(finer.select("set", "id", "n", "bucket")))
-        before, members = members, now
-        if now.count() == before.count() and now.select("bucket").distinct().count() == before.select("bucket").distinct().count():
-            break
+        members = durable(marked.where("large is null").select("set", "id", "n", "bucket").unionAll(finer.select("set", "id", "n", "bucket")).coalesce(_partitions(docs)))
+        forget(marked, large)
     return members
 
 
-def _split_large(sets: DataFrame, percent: int, bucket_sets: int, most: int = 8) -> tuple[DataFrame, DataFrame]:
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _split_large(sets: DataFrame, percent: int, bucket_sets: int, most: int = PIVOTS) -> tuple[DataFrame, DataFrame]:
     """(edges between sets, sets that are left), after splitting buckets of more than `bucket_sets` sets.
 
     A large bucket's pivot is its smallest fingerprint. Its sets fall into: near
@@ -420,28 +426,31 @@ def _split_large(sets: DataFrame, percent: int, bucket_sets: int, most: int = 8)
     settled by the triangle inequality.
     """
     edges = sets.select(F.col("set").alias("u"), F.col("set").alias("v")).where("false")
+    last = None
     for _ in range(most):
         large = durable(sets.groupBy("bucket").agg(F.count_distinct("set").alias("n"), F.min("set").alias("pivot")).where(F.col("n") > bucket_sets))
-        if large.isEmpty():
+        left = large.agg(F.sum("n")).first()[0]
+        if not left or last and left > (1 - WORTH) * last:
             break
+        last = left
         # one pivot a large bucket: at most (sets / bucket_sets) rows
-        pivots = durable(sets.join(F.broadcast(large.select("bucket", F.col("pivot").alias("set"))), ["bucket", "set"]).dropDuplicates(["set"]).select("bucket", F.col("set").alias("pivot"), F.col("shingles").alias("pivot_shingles")))
+        pivots = durable(sets.join(F.broadcast(large.select("bucket", F.col("pivot").alias("set"))), ["bucket", "set"]).dropDuplicates(["bucket", "set"]).select("bucket", F.col("set").alias("pivot"), F.col("shingles").alias("pivot_shingles")))
         hot = sets.join(F.broadcast(pivots), "bucket", "left")
         both = F.size(F.array_intersect("shingles", "pivot_shingles"))
-        hot = durable(hot.withColumn("both", both).withColumn("all", F.size("shingles") + F.size("pivot_shingles") - F.col("both")).drop("pivot_shingles"))
-        is_near = F.col("both") * 100 >= F.col("all") * percent
+        hot = hot.withColumn("both", both).withColumn("all", F.size("shingles") + F.size("pivot_shingles") - F.col("both")).drop("pivot_shingles")
+        is_near = F.coalesce(F.col("both") * 100 >= F.col("all") * percent, F.lit(False))
         away = F.col("all") - F.col("both")  # distance = away / all
-        shell = ~is_near & (F.col("both") * 100 >= F.col("all") * (2 * percent - 100))
-        cold = hot.where(F.col("pivot").isNull()).select("bucket", "set", "shingles")
-        near = hot.where(F.col("pivot").isNotNull() & is_near)
-        rest = hot.where(F.col("pivot").isNotNull() & ~is_near)
-        edges = edges.unionAll(near.select(F.col("pivot").alias("u"), F.col("set").alias("v")).where("u != v"))
+        shell = F.col("pivot").isNotNull() & ~F.col("near") & (F.col("both") * 100 >= F.col("all") * (2 * percent - 100))
+        hot = durable(hot.withColumn("near", F.col("pivot").isNotNull() & is_near).withColumn("away", away / F.col("all")))
+        near = hot.where("near")
         # a near set can link to a shell set only if its distance is at least the shell's nearest distance less the limit
-        closest = rest.where(shell).groupBy("pivot").agg(F.min(away / F.col("all")).alias("least"))
-        outer = near.join(F.broadcast(closest), "pivot").where(away / F.col("all") + (100 - percent) / 100 + 1e-9 >= F.col("least"))
-        edges = edges.unionAll(_cross_links(outer.select("bucket", "set", "shingles"), rest.where(shell).select("bucket", "set", "shingles"), percent, bucket_sets))
-        edges = durable(edges)
-        sets = durable(cold.unionAll(rest.select(F.xxhash64("bucket", F.lit(1)).alias("bucket"), "set", "shingles")))
+        closest = hot.where(shell).groupBy("bucket").agg(F.min("away").alias("least"))
+        outer = near.join(F.broadcast(closest), "bucket").where(F.col("away") + (100 - percent) / 100 + 1e-9 >= F.col("least"))
+        crossing = _cross_links(outer.select("bucket", "set", "shingles"), hot.where(shell).select("bucket", "set", "shingles"), percent, bucket_sets)
+        found = near.select(F.col("pivot").alias("u"), F.col("set").alias("v")).where("u != v").unionAll(crossing)
+        edges = durable(edges.unionAll(found).coalesce(_partitions(sets)))
+        before, sets = sets, durable(hot.where(~F.col("near")).select(F.when(F.col("pivot").isNull(), F.col("bucket")).otherwise(F.xxhash64("bucket", F.lit(1))).alias("bucket"), "set", "shingles"))
+        forget(before, hot, pivots, large)
     return edges, _in_pairs(sets, bucket_sets)
 
 
