@@ -6,17 +6,30 @@ puts an item, a purchase, click or view updates it, an error deletes it.
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronofold.functions import values as v
-from chronofold.operators.apply import apply_operations, attribute_rows, batch_number, fold_operations, latest_rows, removes_of, sets_of, update_expression
-from chronofold.operators.decode import decode_lines
-from chronofold.operators.verify import multiset_difference
-from chronofold.sources.ledger import pending_files
-from chronofold.sources.manifest import hex_of_base64, split_uri_column
+from chronofold.operators.apply import apply_chain, apply_operations, attribute_rows, batch_number, batched_order, fold_operations, key_text, latest_rows, removes_of, sets_of, strict_order, update_expression
+from chronofold.operators.decode import decode_lines, with_keys
+from chronofold.operators.rank import place_in_partition
+from chronofold.operators.sink import FileStore, backoff, delete, list_names, put_new, read_current, write_to_store
+from chronofold.operators.verify import compare_counts, compare_tables, multiset_difference
+from chronofold.sources.changelog import read_lines
+from chronofold.sources.ledger import ParquetLedger, naive_pending, pending_files
+from chronofold.sources.manifest import hex_of_base64, load_manifest, read_files, read_summary, reconcile, split_uri_column, verify_checksums
+from chronofold.streaming.apply import start
+
+from .config import Config
+from .datagen import KEYS, Shape, full_lines, index_view, write_lines
+from .lifecycle import verify_lifecycle
+from .report import file_counts, operation_counts, throughput
+from .restore import restore
 
 Query = Callable[[SparkSession, str], DataFrame]
 _found: dict[str, Query] = {}
@@ -197,19 +210,42 @@ def batch_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select("user_id", batch_number(place, 25).alias("batch"), "event_id")
 
 
+#: The log as eight files of an export: user_id modulo 8, in the order of event_id.
+PLACED = "SELECT *, user_id % 8 AS file, row_number() OVER (PARTITION BY user_id % 8 ORDER BY event_id) AS place FROM events"
+
+
+def _in_files(log: DataFrame, file: Column) -> DataFrame:
+    """Decoded operations with the places of their lines in files; write times are as in the log."""
+    ops = operations_of(log.withColumn("__file", file), F.struct("event_id", "__file"))
+    zero = F.lit(0)
+    return ops.select("op", "keys", "new_image", "old_image", zero.alias("export_ordinal"), F.col("seq.event_id").alias("write_micros"), F.col("seq.__file").cast("int").alias("file_ordinal"), zero.cast("bigint").alias("block_start"), F.col("seq.event_id").alias("line_number"))
+
+
 @query(
-    """
-    WITH placed AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events),
-    l AS (SELECT *, ((place - 1) // 25) * 100000 + CASE WHEN event_type IN ('signup', 'error') THEN 50000 ELSE 0 END + (place - 1) % 25 AS seq FROM placed), """
+    f"""
+    WITH l AS (SELECT *, ((place - 1) // 25) * 100000 + CASE WHEN event_type IN ('signup', 'error') THEN 50000 ELSE 0 END + (place - 1) % 25 AS seq FROM ({PLACED})), """
     + EFFECTS
     + " SELECT CAST(user_id AS BIGINT) AS user_id, attr, number FROM result"
 )
 def batched_order_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user's log in batches of 25, within a batch the updates first."""
-    place = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
-    log = events(spark, sf_dir).withColumn("place", place)
-    late = F.col("event_type").isin("signup", "error").cast("int")
-    return _attributes(apply_operations(operations_of(log, F.struct(batch_number(F.col("place"), 25).alias("batch"), late.alias("late"), F.col("place").alias("place")))))
+    """Each file's lines in batches of 25, within a batch the updates first."""
+    return _attributes(apply_operations(batched_order(_in_files(events(spark, sf_dir), F.col("user_id") % 8), 25)))
+
+
+@query(SNAPSHOT_SQL)
+def strict_order_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operations dealt over files that know nothing of each other: the write time orders them."""
+    return _attributes(apply_operations(strict_order(_in_files(events(spark, sf_dir), F.col("event_id") % 5))))
+
+
+@query(SNAPSHOT_SQL)
+def chained_exports_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two exports, one after the other, nothing written in between."""
+    log = events(spark, sf_dir)
+    half = log.agg((F.max("event_id") / 2).cast("bigint").alias("half"))
+    log = log.crossJoin(F.broadcast(half))  # one row
+    parts = [_in_files(log.where(where).drop("half"), F.col("user_id") % 8).drop("export_ordinal") for where in ("event_id <= half", "event_id > half")]
+    return _attributes(apply_chain(parts))
 
 
 @query(SNAPSHOT_SQL)
@@ -247,9 +283,9 @@ def ledger_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 def naive_resume_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """After the first file, by user, is done: what resuming by file name would skip although it is unread."""
     files = _files(spark, sf_dir)
-    last = files.agg(F.min_by("dataFileS3Key", "user_id").alias("last"))
-    joined = files.crossJoin(F.broadcast(last))  # one row
-    return joined.where("dataFileS3Key < last").select("dataFileS3Key", "itemCount")
+    last = files.agg(F.min_by("dataFileS3Key", "user_id").alias("last")).first().last
+    unread = files.where(F.col("dataFileS3Key") != last).select("dataFileS3Key", "itemCount")
+    return unread.join(naive_pending(unread, last), "dataFileS3Key", "left_anti")
 
 
 #: A line's damage by its event's number modulo 10, and what it then is.
@@ -266,8 +302,6 @@ def corrupt_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH f AS ({_FILES}) SELECT CAST(count(*) AS BIGINT) AS files, CAST(sum(itemCount) AS BIGINT) AS listed_items, (SELECT count(*) FROM events) AS decoded_items, CAST(0 AS BIGINT) AS corrupt_lines, (SELECT count(*) FROM events) AS summary_items, TRUE AS consistent FROM f")
 def manifest_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from chronofold.sources.manifest import reconcile
-
     log = events(spark, sf_dir)
     files, decoded = _files(spark, sf_dir), decode_lines(change_lines(log))
     out = reconcile(files, F.lit(None).cast("bigint"), decoded).drop("summary_items", "consistent").crossJoin(log.agg(F.count(F.lit(1)).alias("summary_items")))  # one row each
@@ -284,8 +318,6 @@ _STATE = "SELECT user_id, event_id, event_type, value FROM {log} QUALIFY row_num
 )
 def verify_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table after half the log against that after all of it."""
-    from chronofold.operators.verify import compare_tables
-
     a, b = _states(spark, sf_dir)
     return compare_tables(a, b).select(F.col("key").cast("bigint").alias("user_id"), "status")
 
@@ -301,8 +333,6 @@ def _states(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query(f"WITH early AS (SELECT * FROM events WHERE event_id <= (SELECT max(event_id) // 2 FROM events)), a AS ({_STATE.format(log='early')}), b AS ({_STATE.format(log='events')}) SELECT (SELECT count(*) FROM a) AS expected, (SELECT count(*) FROM b) AS actual, (SELECT count(*) FROM a) = (SELECT count(*) FROM b) AS equal")
 def verify_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from chronofold.operators.verify import compare_counts
-
     return compare_counts(*_states(spark, sf_dir))
 
 
@@ -342,24 +372,33 @@ def tag_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.select(F.explode("new_image").alias("attr", "value")).groupBy(v.tag(F.col("value")).alias("tag"), "attr").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT count(*) AS items, round(count(*) / (epoch_us(max(ts)) - epoch_us(min(ts))) * 1e6, 6) AS per_second FROM events")
+@query("SELECT count(*) AS items, round(count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6), 6) AS per_second FROM events")
 def throughput_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seconds = F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))
-    return events(spark, sf_dir).agg(F.count(F.lit(1)).alias("items"), F.round(F.count(F.lit(1)) / seconds * 1e6, 6).alias("per_second"))
+    seconds = (F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))) / 1e6
+    r = events(spark, sf_dir).agg(F.count(F.lit(1)).alias("items"), seconds.alias("seconds")).first()  # one row
+    return spark.createDataFrame([(r["items"], round(throughput(r["items"], r.seconds), 6))], "items bigint, per_second double")
 
 
 @query("SELECT event_type AS partition, user_id, event_id, row_number() OVER (PARTITION BY event_type ORDER BY value, event_id) AS place FROM events")
 def gsi_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log as a global index orders it: by another partition attribute."""
-    place = F.row_number().over(Window.partitionBy("event_type").orderBy("value", "event_id"))
-    return events(spark, sf_dir).select(F.col("event_type").alias("partition"), "user_id", "event_id", place.alias("place"))
+    """The log as a global index orders it: by another partition attribute. Five large partitions, each placed by many tasks."""
+    rows = events(spark, sf_dir).select(F.col("event_type").alias("partition"), "user_id", "event_id", "value")
+    return place_in_partition(rows, "partition", "value", "event_id").drop("value")
 
 
 @query("SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place FROM events")
 def lsi_by_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As a local index orders it: the same partitions, by time."""
-    place = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id")))
-    return events(spark, sf_dir).select("user_id", "event_id", place.alias("place"))
+    """As a local index orders it: the same partitions, latest first."""
+    return place_in_partition(events(spark, sf_dir).select("user_id", "event_id", "ts"), "user_id", "ts", "event_id", descending=True).drop("ts")
+
+
+@query("SELECT 'cat-' || (user_id % 5) AS partition, CAST(event_id AS VARCHAR) AS key, row_number() OVER (PARTITION BY user_id % 5 ORDER BY 7 * user_id, CAST(event_id AS VARCHAR)) AS place FROM events WHERE event_type <> 'error'")
+def index_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items as the generator makes them, through its index; those without an index attribute aren't in it."""
+    user = F.col("user_id")
+    item = F.create_map(F.lit("category"), v.tagged("S", F.concat(F.lit("cat-"), (user % 5).cast("string"))), F.lit("createdAt"), _number(7 * user))
+    less = F.when(F.col("event_type") == "error", F.map_filter(item, lambda k, _: k != "category")).otherwise(item)
+    return index_view(events(spark, sf_dir).select(F.col("event_id").cast("string").alias("key"), less.alias("item")), "by_category").select("partition", "key", "place")
 
 
 @query("SELECT event_id, md5(props) AS digest FROM events")
@@ -375,16 +414,196 @@ def uri_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select("event_id", bucket.alias("bucket"), key.alias("key"))
 
 
-@query("SELECT user_id, count(*) AS items, CAST(ceil(count(*) / 25.0) AS BIGINT) AS batches FROM events GROUP BY user_id")
+@query("SELECT CAST(user_id AS VARCHAR) AS file, CAST(count(*) FILTER (WHERE event_id % 10 <> 3) AS BIGINT) AS items, CAST(count(*) FILTER (WHERE event_id % 10 = 3) AS BIGINT) AS corrupt, CAST(ceil(count(*) FILTER (WHERE event_id % 10 <> 3) / 25.0) AS BIGINT) AS batches FROM events GROUP BY user_id")
 def operation_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = events(spark, sf_dir).groupBy("user_id").agg(F.count(F.lit(1)).alias("items"))
-    return n.withColumn("batches", F.ceil(F.col("items") / 25).cast("bigint"))
+    """A file a user, some lines of it damaged: its operations of all kinds fill batches together."""
+    lines = change_lines(events(spark, sf_dir)).withColumn("line", F.when(F.col("event_id") % 10 == 3, F.translate("line", '"', "'")).otherwise(F.col("line")))
+    return file_counts(operation_counts(decode_lines(lines.withColumn("file", F.col("user_id").cast("string")))), 25)
+
+
+@query("SELECT CASE WHEN event_id % 4 = 0 THEN 'key attributes are missing' ELSE 'PUT' END AS outcome, count(*) AS n, sum(CASE WHEN event_id % 4 = 0 THEN 0 ELSE event_id END)::BIGINT AS checksum FROM events GROUP BY 1")
+def full_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a full export, which bring items without keys; some lack a key attribute and are corrupt."""
+    keyed = F.when(F.col("event_id") % 4 == 0, F.lit("")).otherwise(F.concat(F.lit(',"sk":{"N":"'), F.col("user_id").cast("string"), F.lit('"}')))
+    line = F.concat(F.lit('{"Item":{"pk":{"N":"'), F.col("event_id").cast("string"), F.lit('"}'), keyed, F.lit("}}"))
+    found = with_keys(decode_lines(events(spark, sf_dir).select(line.alias("line"))), ["pk", "sk"])
+    number = v.as_number_text(v.attribute("keys", "pk")).cast("bigint")
+    return found.groupBy(F.coalesce("reason", "op").alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(number), F.lit(0)).alias("checksum"))
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A new folder that all executors share: in the checkpoint folder. Only where none is set (one machine, tests) a temporary one."""
+    sc = spark.sparkContext
+    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or (tempfile.mkdtemp(prefix="chronofold-") if sc.master.startswith("local[") or sc.master == "local" else None)
+    if not folder:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{folder}/export-{uuid.uuid4().hex}"
+
+
+def _export(spark: SparkSession, sf_dir: str, files: int = 6, damaged: int = 0) -> tuple[str, str]:
+    """(root, summary's path): the log written as an incremental export, line i in the file of its user; every `damaged`-th line is cut short."""
+    lines = change_lines(events(spark, sf_dir))
+    line = F.when(F.col("event_id") % damaged == 0, F.expr("left(line, length(line) - 1)")).otherwise(F.col("line")) if damaged else F.col("line")
+    root = _scratch(spark)
+    return root, write_lines(lines.select(line.alias("line"), F.col("user_id").alias("part"), F.col("event_id").alias("place")), root, "log", files)
+
+
+@query("SELECT count(*) AS \"itemCount\", 'DYNAMODB_JSON' AS \"outputFormat\", 'INCREMENTAL_EXPORT' AS \"exportType\", 'NEW_AND_OLD_IMAGES' AS \"outputView\" FROM events")
+def manifest_summary_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export's summary as it lies in storage."""
+    return read_summary(spark, _export(spark, sf_dir)[1]).select("itemCount", "outputFormat", "exportType", "outputView")
 
 
-@query(f"SELECT dataFileS3Key, itemCount FROM ({_FILES}) f")
+@query("SELECT CAST(count(DISTINCT user_id % 6) AS BIGINT) AS files, CAST(count(*) AS BIGINT) AS items, TRUE AS distinct_names FROM events")
 def manifest_files_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The file list as JSON text, read with the manifest's schema."""
-    from chronofold.sources.manifest import FILES
+    """An export's file list as it lies in storage."""
+    root, path = _export(spark, sf_dir)
+    files = read_files(spark, f"{root}/{read_summary(spark, path).first().manifestFilesS3Key}")
+    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("itemCount").alias("items"), (F.count_distinct("dataFileS3Key") == F.count(F.lit(1))).alias("distinct_names"))
 
-    text = _files(spark, sf_dir).select(F.to_json(F.struct("dataFileS3Key", "itemCount")).alias("value"))
-    return text.select(F.from_json("value", FILES).alias("f")).select("f.dataFileS3Key", "f.itemCount")
+
+@query("SELECT event_id, user_id FROM (SELECT event_id, user_id FROM events)")
+def data_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of an export's gzipped data files."""
+    manifest = load_manifest(spark, _export(spark, sf_dir)[1])
+    found = decode_lines(read_lines(spark, manifest.data_paths()))
+    return found.select(F.col("write_micros").alias("event_id"), v.as_number_text(v.attribute("keys", "user_id")).cast("int").alias("user_id"))
+
+
+@query("SELECT CASE k WHEN 0 THEN 'mismatch' WHEN 1 THEN 'missing' ELSE 'ok' END AS status, CAST(count(*) AS BIGINT) AS n FROM (SELECT row_number() OVER (ORDER BY p) - 1 AS k FROM (SELECT DISTINCT user_id % 6 AS p FROM events)) GROUP BY 1")
+def checksum_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of an export's files one is changed and one deleted after they were listed."""
+    root, path = _export(spark, sf_dir)
+    manifest = load_manifest(spark, path)
+    changed, gone = (manifest.path(f["dataFileS3Key"]) for f in manifest.files[:2])
+    delete(spark, changed)
+    put_new(spark, changed, b"other")
+    delete(spark, gone)
+    return verify_checksums(spark, manifest).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(SNAPSHOT_SQL)
+def restored_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole restore, from the files of an export to the table, decoded in steps that the ledger keeps."""
+    root, path = _export(spark, sf_dir)
+    config = Config("t", path, ("user_id",), "INCREMENTAL", resume=f"{root}/ledger", files_per_step=2)
+    return _attributes(restore(spark, config, f"{root}/table").snapshot)
+
+
+@query(
+    "SELECT CAST(count(*) FILTER (WHERE event_id % 7 <> 0) AS BIGINT) AS items, CAST(count(*) FILTER (WHERE event_id % 7 = 0) AS BIGINT) AS corrupt, CAST(0 AS BIGINT) AS errors, "
+    "(SELECT CAST(sum(ceil(n / 25.0)) AS BIGINT) FROM (SELECT count(*) AS n FROM events WHERE event_id % 7 <> 0 GROUP BY user_id % 6)) AS batches, CAST(count(*) FILTER (WHERE event_id % 7 <> 0 AND event_type = 'signup') AS BIGINT) AS puts FROM events"
+)
+def restore_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a restore of an export with damaged lines, as it was written."""
+    root, path = _export(spark, sf_dir, damaged=7)
+    restore(spark, Config("t", path, ("user_id",), "INCREMENTAL", report=f"{root}/report"), f"{root}/table")
+    text = spark.read.text(f"{root}/report", wholetext=True).withColumn("r", F.from_json("value", "totalItems bigint, corruptCount bigint, errors bigint, batches bigint, byOperation map<string,bigint>"))
+    return text.select(F.col("r.totalItems").alias("items"), F.col("r.corruptCount").alias("corrupt"), "r.errors", "r.batches", F.try_element_at("r.byOperation", F.lit("PUT")).alias("puts"))
+
+
+@query("SELECT 'done' AS state, CAST(count(DISTINCT user_id % 6) AS BIGINT) AS files, CAST(count(*) AS BIGINT) AS items FROM events UNION ALL SELECT 'staged', CAST(count(DISTINCT user_id % 6) AS BIGINT), CAST(count(*) AS BIGINT) FROM events")
+def ledger_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a restore in steps has entered into the ledger."""
+    root, path = _export(spark, sf_dir)
+    restore(spark, Config("t", path, ("user_id",), "INCREMENTAL", resume=f"{root}/ledger", files_per_step=4), f"{root}/table")
+    return ParquetLedger(spark, f"{root}/ledger").read().groupBy("state").agg(F.count(F.lit(1)).alias("files"), F.sum("items").alias("items"))
+
+
+@query(SNAPSHOT_SQL)
+def resumed_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that dies after its first step, and the one that goes on from there."""
+    root, path = _export(spark, sf_dir)
+    config = Config("t", path, ("user_id",), "INCREMENTAL", files_per_step=2, tries=1)
+
+    class Dying(ParquetLedger):
+        left = 1
+
+        def append(self, rows: DataFrame) -> None:
+            if not self.left:
+                raise OSError("the run dies")
+            self.left -= 1
+            super().append(rows)
+
+    try:
+        restore(spark, config, f"{root}/table", Dying(spark, f"{root}/ledger"))
+    except OSError:
+        pass
+    return _attributes(restore(spark, config, f"{root}/table", ParquetLedger(spark, f"{root}/ledger")).snapshot)
+
+
+@query("SELECT CAST(0 AS BIGINT) AS tables, CAST(count(*) AS BIGINT) AS items FROM events")
+def dry_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dry run decodes and counts, and leaves nothing."""
+    root, path = _export(spark, sf_dir)
+    report = restore(spark, Config("t", path, ("user_id",), "INCREMENTAL", dry_run=True), f"{root}/table").report
+    return spark.createDataFrame([(len(list_names(spark, f"{root}/table")), report.total_items)], "tables bigint, items bigint")
+
+
+@query(SNAPSHOT_SQL)
+def stored_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log sent to an outside store in batches and single updates; what the store then holds."""
+    root = _scratch(spark)
+    put_new(spark, f"{root}/store/_made", b"")
+    empty = F.create_map().cast("map<string,string>")
+    ops = operations_of(events(spark, sf_dir)).select(key_text(F.col("keys")).alias("key"), "op", F.col("keys").alias("keys_of"), F.coalesce("new_image", empty).alias("new_image"), F.coalesce("old_image", empty).alias("old_image"), "seq")
+    folder = re.sub("^file:/+", "/", f"{root}/store")
+    write_to_store(ops, lambda: FileStore(folder), 25)
+    return _attributes(spark.read.schema("key string, item map<string,string>").json(f"{root}/store"))
+
+
+@query(SNAPSHOT_SQL)
+def streamed_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An export's files as a stream, two at a time, each applied once to the kept table. All of a user's lines are in one file."""
+    root, path = _export(spark, sf_dir)
+    start(spark, f"{root}/exports/log/data", f"{root}/table", f"{root}/checkpoint", ["user_id"], files_per_batch=2, once=True).awaitTermination()
+    return _attributes(read_current(spark, f"{root}/table"))
+
+
+@query("SELECT 'cat-' || k AS category, CAST(20 AS BIGINT) AS items, CAST(20 AS BIGINT) AS keyed FROM range(5) t(k)")
+def generated_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The generator's hundred items: five categories of twenty, each item with keys and index attributes."""
+    shape = Shape()
+    lines = spark.createDataFrame([(x,) for x in full_lines(shape)], "line string")
+    found = with_keys(decode_lines(lines), list(KEYS))
+    category = v.as_string(v.attribute("new_image", "category"))
+    return found.groupBy(category.alias("category")).agg(F.count(F.lit(1)).alias("items"), F.count("keys").alias("keyed"))
+
+
+@query("SELECT phase, TRUE AS ok FROM (VALUES ('generate'), ('full export'), ('lifecycle'), ('incremental export'), ('checksums'), ('restore full'), ('restore incremental'), ('counts'), ('differences')) t(phase)")
+def lifecycle_phases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_lifecycle(spark, _scratch(spark)).select("phase", "ok")
+
+
+@query("SELECT CAST(k AS BIGINT) AS attempt, least(30.0, 0.1 * 2 ** least(k, 30))::DOUBLE AS least_seconds, 2 * least(30.0, 0.1 * 2 ** least(k, 30))::DOUBLE AS most_seconds FROM range(40) t(k)")
+def backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(k, backoff(k, lambda: 0.0), backoff(k, lambda: 1.0)) for k in range(40)], "attempt bigint, least_seconds double, most_seconds double")
+
+
+@query("SELECT * FROM (VALUES ('table', FALSE), ('export', FALSE), ('export_type', FALSE), ('view', FALSE), ('region', FALSE), ('workers', FALSE), ('batch_size', FALSE), ('report', FALSE), ('shutdown_timeout', FALSE), ('none', TRUE)) t(broken, accepted)")
+def configuration_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A configuration that is right, and one with each of its parts broken."""
+    good = dict(table="t", export="s3://b/k", local=False, region="r")
+    broken = dict(table="", export="http://x/y", export_type="full", view="new", region="", workers=0, batch_size=26, report="x", shutdown_timeout=0.5, none=None)
+
+    def accepted(name: str) -> bool:
+        try:
+            Config(**good | ({} if name == "none" else {name: broken[name]}))
+        except ValueError:
+            return False
+        return True
+
+    return spark.createDataFrame([(name, accepted(name)) for name in broken], "broken string, accepted boolean")
+
+
+@query("SELECT CAST(event_id % 3 AS INT) AS kind, count(*) AS n FROM events WHERE event_id % 3 = 2 GROUP BY 1")
+def deep_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items nested six deep: written otherwise but equal (kind 0 and 1: sets in another order, 1.0 for 1), or unlike (kind 2)."""
+    nested = lambda inner: F.concat(F.lit('{"M":{"a":{"L":[{"M":{"b":{"M":{"c":{"L":['), inner, F.lit("]}}}}}]}}}"))
+    k = F.col("event_id") % 3
+    number = F.col("user_id").cast("string")
+    left = F.concat(F.lit('{"SS":["x","y"]},{"N":"'), number, F.lit('"}'))
+    right = F.when(k == 0, F.concat(F.lit('{"SS":["y","x"]},{"N":"'), number, F.lit('"}'))).when(k == 1, F.concat(F.lit('{"SS":["x","y"]},{"N":"'), number, F.lit('.0"}'))).otherwise(F.concat(F.lit('{"SS":["x","z"]},{"N":"'), number, F.lit('"}')))
+    side = lambda inner: events(spark, sf_dir).select(F.col("event_id").cast("string").alias("key"), F.create_map(F.lit("m"), nested(inner)).alias("item"))
+    found = compare_tables(side(left), side(right))
+    return found.groupBy((F.col("key").cast("bigint") % 3).cast("int").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
