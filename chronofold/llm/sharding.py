@@ -12,7 +12,8 @@ once. As placement goes by the key, a source that holds a third of all rows is
 spread evenly.
 
 Defined results: null keys hash as the text "\\N"; rows with equal keys share a
-shard; an empty table stays empty; other columns are untouched.
+shard; an empty table stays empty; an input column with the name of an added
+one gives way to it; other columns are untouched.
 """
 
 from __future__ import annotations
@@ -76,8 +77,10 @@ def place(docs: DataFrame, key: str = "doc_id", shards: Sequence[str] = SHARDS,
     """Adds each row's slot and shard."""
     owner = fill(shards, slots, weights)
     rows = [(slot, shards[k]) for slot, k in enumerate(owner.tolist())]
-    lookup = docs.sparkSession.createDataFrame(rows, f"`{slot_column}` int, `{shard_column}` string")
-    return docs.withColumn(slot_column, slot_of(F.col(f"`{key}`"), slots)).join(F.broadcast(lookup), slot_column, "left").select(*[F.col(f"`{c}`") for c in docs.columns], slot_column, shard_column)
+    lookup = docs.sparkSession.createDataFrame(rows, "slot int, shard string")  # one row a slot
+    kept = [c for c in docs.columns if c.lower() not in (slot_column.lower(), shard_column.lower())]
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), slot_of(F.col(f"`{key}`"), slots).alias("slot"))
+    return keyed.join(F.broadcast(lookup), "slot", "left").select("doc.*", F.col("slot").alias(slot_column), F.col("shard").alias(shard_column))
 
 
 def write_shards(docs: DataFrame, path: str, key: str = "doc_id", shards: Sequence[str] = SHARDS, slots: int = SLOTS) -> None:
