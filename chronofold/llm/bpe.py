@@ -16,8 +16,11 @@ Ids are those of the tokenizers library for the same vocabulary file without
 added special tokens; an added token's text (such as <|endoftext|>) becomes its
 id, as there. Decoding joins the ids' bytes and reads them as UTF-8.
 
+A vocabulary file with other settings than those is refused.
+
 Defined results: a null or empty text has no ids and decodes to an empty text;
-rows are kept as they are, repeated ones too; an empty table stays empty.
+rows are kept as they are, repeated ones too; an empty table stays empty; an
+input column with the name of an added one gives way to it.
 """
 
 from __future__ import annotations
@@ -61,6 +64,21 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def _settings(data: dict) -> Iterator[tuple[str, dict, str, object]]:
+    """(part, its settings, a setting, the value that the encoder is built for)."""
+    for part, key in (("normalizer", "type"), ("post_processor", "type")):
+        yield part, data.get(part) or {}, key, None
+    for key, right in (("type", "BPE"), ("dropout", None), ("unk_token", None), ("continuing_subword_prefix", None), ("end_of_word_suffix", None), ("byte_fallback", False), ("ignore_merges", False)):
+        yield "model", data["model"], key, right
+    for part in ("pre_tokenizer", "decoder"):
+        yield part, data.get(part) or {"type": None}, "type", "ByteLevel"
+    yield "pre_tokenizer", data.get("pre_tokenizer") or {}, "add_prefix_space", False
+    yield "pre_tokenizer", data.get("pre_tokenizer") or {}, "use_regex", True
+    for token in data.get("added_tokens", []):
+        for key in ("single_word", "lstrip", "rstrip"):
+            yield f"added token {token['content']}", token, key, False
+
+
 @dataclass
 class Vocabulary:
     """A byte-level BPE vocabulary: what each id spells, and which pairs merge, best first."""
@@ -75,6 +93,9 @@ class Vocabulary:
     def read(cls, path: str) -> Vocabulary:
         with open(path, encoding="utf-8") as f:
             data = json.load(f)
+        wrong = [f"{part}: {key}" for part, own, key, right in _settings(data) if own.get(key, right) != right]
+        if wrong:
+            raise ValueError(f"{path} isn't cut and merged in the way that is built here ({', '.join(wrong)})")
         to_byte, ids = byte_alphabet(), data["model"]["vocab"]
         spell = {i: bytes(to_byte[c] for c in t) for t, i in ids.items()}
         pairs = [tuple(p.split(" ") if isinstance(p, str) else p) for p in data["model"]["merges"]]
@@ -453,6 +474,7 @@ def _encoded(docs: DataFrame, text_column: str, path: str, lexicon: bytes | None
     key = hashlib.sha256(lexicon).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, lexicon))
     names = [part.split()[0] for part in schema.split(", ")]
+    columns = [c for c in columns if c.lower() not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decimal, decoded = _worker(*shared.value, key)
@@ -487,8 +509,8 @@ def encode_documents(docs: DataFrame, path: str, text_column: str = "text", colu
 def decode_documents(encoded: DataFrame, path: str, ids_column: str = "ids", text_column: str = "text") -> DataFrame:
     """The texts of id sequences, in place of them."""
     shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(path).spell)
-    rest = [c for c in encoded.columns if c != ids_column]
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*rest).schema) if rest else ""
+    rest = [c for c in encoded.columns if c.lower() not in (ids_column.lower(), text_column.lower())]
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.select(*[F.col(f"`{c}`") for c in rest]).schema) if rest else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spell = shared.value
@@ -496,7 +518,7 @@ def decode_documents(encoded: DataFrame, path: str, ids_column: str = "ids", tex
             texts = [b"".join([spell[i] for i in ids]).decode("utf-8", "replace") if ids is not None else "" for ids in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string())], names=[*rest, text_column])
 
-    return encoded.select(ids_column, *rest).mapInArrow(frugal(run), f"{kept + ', ' if kept else ''}`{text_column}` string")
+    return encoded.select(ids_column, *[F.col(f"`{c}`") for c in rest]).mapInArrow(frugal(run), f"{kept + ', ' if kept else ''}`{text_column}` string")
 
 
 def encode_digests(docs: DataFrame, path: str, text_column: str = "text", columns: list[str] | None = None, lexicon: bytes | None = None, with_ids: bool = False) -> DataFrame:
