@@ -15,12 +15,13 @@ one pass of linear time, however broken it is.
 
 Defined results: null and empty html give an empty text; nothing is dropped
 for its length or cut; repeated rows are extracted alike; an empty table stays
-empty.
+empty; an input column with the name of an added one gives way to it.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -30,14 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import frugal, small_batches
 from .trees import Tree
 
 # Element names of HTML.
-BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
-RAW = frozenset("script style noscript title textarea iframe template svg math object video audio canvas noframes xmp".split())
+BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav noscript ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
+RAW = frozenset("script style title textarea iframe template svg object video audio canvas noframes xmp".split())
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)") for tag in RAW}
 #: Raw elements that are taken as empty if they never end.
-EMPTY = frozenset("svg math object video audio canvas noscript template iframe textarea".split())
+EMPTY = frozenset("svg object video audio canvas template iframe textarea".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 UNCLOSED = frozenset("p li dt dd option tr td th tbody thead tfoot".split())  # often without an end tag
@@ -91,7 +93,8 @@ def _marks(tag: str, attributes: str) -> int:
 def blocks_of(html: str) -> list[Block]:
     """The page's text in flat blocks, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool]] = []  # open elements that hold blocks: tag, marks up to here, inside the main element
+    stack: list[tuple[str, int, bool, int]] = []  # open elements that hold blocks: tag, marks up to here, inside the main element, boilerplate tags up to here
+    is_open: Counter[str] = Counter()
     text: list[str] = []
     link_words = 0
     in_link = heading = False
@@ -102,7 +105,7 @@ def blocks_of(html: str) -> list[Block]:
         nonlocal link_words
         joined = " ".join("".join(text).split())
         if joined:
-            marks, inside = stack[-1][1:] if stack else (0, False)
+            marks, inside = stack[-1][1:3] if stack else (0, False)
             out.append(Block(joined, joined.count(" ") + 1, link_words, heading, inside, marks))
         text.clear()
         link_words = 0
@@ -114,6 +117,10 @@ def blocks_of(html: str) -> list[Block]:
         if in_link:
             link_words += len(piece.split())
 
+    def close(k: int) -> None:
+        is_open.subtract(name for name, *_ in stack[k:])
+        del stack[k:]
+
     at, n = 0, len(html)
     while at < n:
         to = html.find("<", at)
@@ -169,27 +176,26 @@ def blocks_of(html: str) -> list[Block]:
         if tag in HEADINGS:
             heading = not closing
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            if is_open[tag]:  # else the search would go through all that is open, again and again
+                close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
         elif tag not in VOID:
             if tag in UNCLOSED:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == tag:
-                        del stack[k:]  # the one before ends here
+                        close(k)  # the one before ends here
                         break
                     if stack[k][0] not in UNCLOSED:
                         break
-            marks, inside = stack[-1][1:] if stack else (0, False)
+            marks, inside, plain = stack[-1][1:] if stack else (0, False, 0)
             own = _marks(tag, attributes)
             if tag == "header" and not inside:
                 own = max(1, own)
             if tag in WHOLE and not inside:
                 own = HIDDEN if own == HIDDEN else 0
                 if tag in MAIN and marks < HIDDEN:  # what encloses all of the main text says nothing about its parts
-                    marks = sum(name in BOILERPLATE_TAGS for name, *_ in stack)
-            stack.append((tag, marks + own, inside or tag in MAIN or "itemprop=\"articleBody\"" in attributes))
+                    marks = plain
+            stack.append((tag, marks + own, inside or tag in MAIN or "itemprop=\"articleBody\"" in attributes, plain + (tag in BOILERPLATE_TAGS)))
+            is_open[tag] += 1
     end_block()
     return out
 
@@ -364,6 +370,7 @@ def main_text(html: str | None, tree: Tree) -> str:
 def extract_main_text(pages: DataFrame, html_column: str = "html", text_column: str = "text", columns: list[str] | None = None) -> DataFrame:
     """`columns` (all but the html by default), the main text and its number of code points, n_chars."""
     columns = [c for c in pages.columns if c != html_column] if columns is None else columns
+    columns = [c for c in columns if c.lower() not in (text_column.lower(), "n_chars")]
     tree = train_tree()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,4 +379,4 @@ def extract_main_text(pages: DataFrame, html_column: str = "html", text_column:
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*columns, text_column, "n_chars"])
 
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in pages.select(*[F.col(f"`{c}`") for c in columns]).schema)
-    return pages.select(html_column, *[F.col(f"`{c}`") for c in columns]).mapInArrow(run, f"{kept}`{text_column}` string, n_chars bigint")
+    return small_batches(pages).select(html_column, *[F.col(f"`{c}`") for c in columns]).mapInArrow(frugal(run), f"{kept}`{text_column}` string, n_chars bigint")
