@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -103,6 +104,13 @@ def give_back() -> None:
         pass
 
 
+def release(spark: SparkSession) -> None:
+    """Lets go of what finished steps have left: memory here, and shuffle files, which Spark deletes once the driver has collected the plans that made them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    give_back()
+
+
 def frugal(work: Work) -> Work:
     """A function for mapInArrow() whose tasks give back their memory. Workers are used again: what one step keeps, the next one lacks."""
 

@@ -24,9 +24,9 @@ whole sets apart.
    probed in the long lists by binary search (DivideSkip), and sets with the required overlap are retained, reached, and
    taken out of the index. So a family of near copies is reached by its first
    member, without its pairs.
-   A bucket larger than `bucket_sets` is first cut finer by the candidates of
-   other orders, made from that bucket's own counts (no link crosses these
-   buckets either). What stays larger is split: sets are compared with a
+   Buckets are first cut finer by the candidates of another order, made from
+   the counts of candidate sets only (no link crosses these buckets either);
+   those larger than `bucket_sets` once or twice more. What stays larger is split: sets are compared with a
    pivot, in parallel; Jaccard distance is a metric, so sets far enough from
    the pivot can't link to those near it, and each part goes on by itself.
    What is still larger after that is cut into blocks of sets, and each pair of
@@ -53,7 +53,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, forget, frugal, give_back, opened, small_batches, squeezed, steps
+from .common import durable, forget, frugal, opened, release, small_batches, squeezed, steps
 from .components import connected_components
 from .textvec import WORD_NOT_SPACE, find_words, mix64, shingle_sets, text_slices, word_hashes
 
@@ -67,7 +67,7 @@ SALTS, MANY_COPIES, MANY_SHARE = 16, 1024, 10_000
 #: Bits of shingles and sets in the search for candidates: two that fall together make a bucket larger, never a link.
 NODE = (1 << 48) - 1
 #: Rounds that cut large buckets finer, and the sketch of such a round: at most 2**REFINE_BITS bytes.
-REFINEMENTS, REFINE_BITS = 3, 26
+REFINEMENTS, REFINE_BITS = 3, 25
 #: Rounds that split large buckets by pivots. A round of either kind that settles less than this share of the sets is the last one of its kind.
 PIVOTS, WORTH = 6, 0.2
 #: DivideSkip's balance between merging short lists and probing long ones.
@@ -165,7 +165,7 @@ def node_of(name: Column) -> Column:
     return name.bitwiseAND(F.lit(NODE))
 
 
-def candidate_edges(sets: DataFrame, block: int = 3_000_000) -> DataFrame:
+def candidate_edges(sets: DataFrame, block: int = 1_000_000) -> DataFrame:
     """(u, v) of nodes: a connected graph over the sets that share a prefix shingle. sets: (set, prefix); equal rows fall together within each task."""
     partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -386,28 +386,38 @@ def _bucketed_sets(docs: DataFrame, id_column: str, text_column: str, members: D
 
 
 def _refined(docs: DataFrame, id_column: str, text_column: str, members: DataFrame, k: int, percent: int, bucket_sets: int, broadcast_sets: int, bits: int) -> DataFrame:
-    """members (set, id, n, bucket) with the buckets of more than `bucket_sets` sets cut finer, by other orders of shingles.
-
-    Linked sets share a prefix shingle in every order. Each round counts the
-    shingles of the large buckets' sets only, in a sketch with a slot or two a
-    shingle (up to 2**bits), so a passage of two sets ranks behind the shingles of one;
-    sets go on together if they were together before and still are.
+    """members (set, id, n, bucket) with their buckets cut finer, by other orders of shingles.
+
+    Linked sets share a prefix shingle in every order. The first round counts
+    the shingles of all candidate sets and of no others, so that what is rare
+    among them leads; sets that then share no prefix shingle with another are
+    settled. Further rounds do the same for the buckets of more than
+    `bucket_sets` sets. A round's sketch has a slot or two a shingle (up to
+    2**bits); sets go on together if they were together before and still are.
     """
+    none = members.where("false")
     last = None
     for turn in range(1, REFINEMENTS + 1):
-        large = durable(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles")).where(F.col("sets") > bucket_sets))
-        sets, shingles = large.agg(F.sum("sets"), F.sum("shingles")).first()
+        settled, own = none, members
+        if turn > 1:
+            large = durable(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") > bucket_sets).select("bucket", F.lit(True).alias("large")))
+            marked = members.join(F.broadcast(large), "bucket", "left")  # at most (sets / bucket_sets) rows
+            settled, own = marked.where("large is null").drop("large"), durable(marked.where("large").drop("large"))
+        sets, shingles = own.agg(F.count(F.lit(1)), F.sum("n")).first()
         if not sets or last and sets > (1 - WORTH) * last:
             break
-        last = sets
-        marked = durable(members.join(F.broadcast(large.select("bucket", F.lit(True).alias("large"))), "bucket", "left"))
-        ids = marked.where("large").select(F.col("id").alias("_id")).distinct()
-        own = docs.select(id_column, text_column).join(F.broadcast(ids) if sets <= broadcast_sets else ids, F.col(id_column).eqNullSafe(F.col("_id")), "left_semi")
-        ranks = sketch(own, text_column, k, min(bits, int(shingles).bit_length() + 1), turn)
-        parts = connected_components(candidate_edges(prefixes(own, id_column, text_column, ranks, k, percent, turn).where("n > 0")))
-        finer = marked.where("large").drop("large").join(parts, node_of(F.col("set")) == F.col("node")).withColumn("bucket", F.xxhash64("bucket", "component", F.lit(turn)))
-        members = durable(marked.where("large is null").select("set", "id", "n", "bucket").unionAll(finer.select("set", "id", "n", "bucket")).coalesce(_partitions(docs)))
-        forget(marked, large)
+        last = sets if turn > 1 else None
+        ids = own.select(F.col("id").alias("_id")).distinct()
+        theirs = docs.select(id_column, text_column).join(F.broadcast(ids) if sets <= broadcast_sets else ids, F.col(id_column).eqNullSafe(F.col("_id")), "left_semi")
+        ranks = sketch(theirs, text_column, k, min(bits, int(shingles).bit_length() + 1), turn)
+        leads = durable(prefixes(theirs, id_column, text_column, ranks, k, percent, turn).where("n > 0").select("set", "prefix"))
+        parts = connected_components(candidate_edges(leads))
+        forget(leads)
+        finer = own.join(parts, node_of(F.col("set")) == F.col("node")).withColumn("bucket", F.xxhash64("bucket", "component", F.lit(turn)))
+        before, members = members, durable(settled.select("set", "id", "n", "bucket").unionAll(finer.select("set", "id", "n", "bucket")).coalesce(_partitions(docs)))
+        forget(before, own)
+        del before, own, finer, parts, leads, theirs, ids, ranks
+        release(docs.sparkSession)
     return members
 
 
@@ -510,14 +520,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         raise ValueError("percent must be over 50 and at most 100")
     docs = small_batches(docs)
     whole = durable(prefixes(docs, id_column, text_column, sketch(docs, text_column, k, sketch_bits), k, percent))
-    give_back()  # the driver's copies of the sketch; again after the larger ones
+    release(docs.sparkSession)  # the driver's copies of the sketch, and what was shuffled for it; again after the steps that follow
     buckets = connected_components(candidate_edges(whole.where("n > 0")))
     own = durable(whole.select("id", "n", "set"))
     forget(whole)
     ids = durable(own.where("n > 0").groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")))
     members = durable(ids.join(buckets.withColumnRenamed("component", "bucket"), node_of(F.col("set")) == F.col("node")).select("set", "id", "n", "bucket"))
+    del buckets, whole
+    release(docs.sparkSession)
     members = _refined(docs, id_column, text_column, members, k, percent, bucket_sets, broadcast_sets, REFINE_BITS)
-    give_back()
     large = durable(members.groupBy("bucket").count().where(F.col("count") > bucket_sets).select("bucket", F.lit(True).alias("large")))
     edges = None
     if not large.isEmpty():  # at most (sets / bucket_sets) rows
@@ -525,6 +536,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         edges, left = _split_large(durable(_bucketed_sets(docs, id_column, text_column, members.where("large"), k, broadcast_sets)), percent, bucket_sets)
         edges = edges.unionAll(link_edges(left, percent))
         members = members.where("large is null")
+        release(docs.sparkSession)
     found = link_edges(_bucketed_sets(docs, id_column, text_column, members, k, broadcast_sets), percent)
     linked = connected_components(found if edges is None else edges.unionAll(found))
     named = ids.join(linked.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))

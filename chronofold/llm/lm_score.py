@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, fold, forget, frugal, opened, small_batches, squeezed, steps
+from .common import durable, fold, forget, frugal, opened, release, small_batches, squeezed, steps
 from .textvec import END, WORD_NOT_SPACE, TextSlice, Words, find_words, mix64, text_slices, word_hashes
 
 DEPTH = 6
@@ -497,6 +497,8 @@ def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str
     asked = durable(docs.select(F.col(text_column), F.col(id_column), is_held_out.alias("held_out")).mapInArrow(frugal(questions(shared)), ROWS))
     words = durable(counted.where(F.col("kind") == WORDS).select("bucket", "blob"))
     forget(counted)
+    del counted
+    release(spark)
     part_of_tree = tree.select("bucket", "blob").mapInArrow(frugal(copies(shared)), ROWS)
     none = F.lit(0).cast("bigint").alias("chunk")
     told = part_of_tree.unionAll(words.select(F.lit(WORDS).alias("kind"), (-1 - F.col("bucket")).alias("to"), "bucket", none, "blob"))
