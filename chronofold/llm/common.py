@@ -18,10 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's `spark.checkpoint.dir`, which all executors share. Only where it is unset (tests on one machine) a temporary one is made."""
+    """The session's `spark.checkpoint.dir`, which all executors share. Only where it is unset and all runs on one machine (tests) a temporary one is made."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and sc.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc.getCheckpointDir()
 
 
@@ -39,8 +42,14 @@ def forget(*frames: DataFrame) -> None:
             continue  # not one of them
         path = plan.rdd().getCheckpointFile()
         if path.isDefined():
-            folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path.get())
-            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            drop_folder(df.sparkSession, path.get())
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever store it is."""
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def fold(id_column: str, folds: int) -> Column:
