@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chronofold.llm import bpe, decontaminate, exact_dedup, jaccard_join, quality
-from chronofold.llm.common import shared_folder, table
+from chronofold.llm.common import drop_folder, release, shared_folder, table
 from chronofold.llm.queries import vocabulary_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -57,11 +57,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows. What each stage writes stays in the shared folder until the session's folder is cleared."""
+    """The last stage's rows. What a stage has written is deleted in the shared folder once the next one is done; the last one's files stay, as the result reads them."""
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            drop_folder(spark, before)
+        before = path
+        release(spark)
     return docs
