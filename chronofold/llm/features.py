@@ -16,15 +16,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     """Texts and 0/1 labels to learn from, and how many labelled rows each one stands for.
 
     At most `rows` labelled rows outside the held-out fold, half of them of
-    either label, chosen by a hash of the id; all where there are no more. Only
-    this documented sample reaches the driver.
+    either label, chosen by a hash of the id; all where there are no more. Of
+    contradicting labels of one id the 1 counts, of several texts of one id the
+    least. Only this documented sample reaches the driver, one text an id.
     """
     wanted = labels.where(F.col(label).isin(0, 1) & (fold(id_column, folds) != held)).groupBy(id_column).agg(F.max(label).alias("__label"))
     per_label = {r[0]: r[1] for r in wanted.groupBy("__label").count().collect()}
     order = F.xxhash64(id_column), F.col(id_column)
     chosen = wanted.where("__label = 0").orderBy(*order).limit(rows // 2).unionAll(wanted.where("__label = 1").orderBy(*order).limit(rows // 2))
-    texts = docs.select(F.col(id_column), text_or_empty(text_column).alias("__text"))
-    got = sorted(texts.join(F.broadcast(chosen), id_column).select(id_column, "__text", "__label").collect())
+    texts = docs.select(F.col(id_column), text_or_empty(text_column).alias("__text"))  # a column of either name is no clash: nothing else is selected
+    found = texts.join(F.broadcast(chosen), id_column).groupBy(id_column, "__label").agg(F.min("__text").alias("__text"))
+    got = sorted(found.select(id_column, "__text", "__label").collect())
     y = np.array([r[2] for r in got], dtype=np.int64)
     stands_for = np.array([per_label[k] / max(1, (y == k).sum()) for k in y.tolist()], dtype=np.float64)
     return [r[1] for r in got], y, stands_for

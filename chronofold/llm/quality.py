@@ -16,7 +16,9 @@ broadcast of 2**bits weights. Labels, lang, source and id are no inputs.
 
 Defined results: null and empty texts get the score of an empty indicator
 set; without labels of both classes every score is the share of label 1 (0.5
-without any); repeated rows are scored alike.
+without any); of contradicting labels of one id the 1 counts; a null id isn't
+learned from and counts as held out; repeated rows are scored alike; an empty
+table stays empty; other columns, whatever their names, are untouched.
 """
 
 from __future__ import annotations
