@@ -136,10 +136,11 @@ def sketch(docs: DataFrame, text_column: str, k: int, bits: int = SKETCH_BITS, t
 def prefixes(docs: DataFrame, id_column: str, text_column: str, ranks: np.ndarray, k: int, percent: int, turn: int = 0) -> DataFrame:
     """(id, n, set, prefix) of every document: its set's size, fingerprint and first shingles in the global order."""
     bits = int(np.log2(len(ranks)))
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast(pa.compress(ranks.tobytes(), codec="zstd", asbytes=True))  # executors keep a file of it
+    slots = len(ranks)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = shared.value
+        rank = np.frombuffer(pa.decompress(shared.value, slots, codec="zstd", asbytes=True), dtype=np.uint8)
         for batch in batches:
             for first, sets in document_sets(batch.column(0), k):
                 prefix = []
