@@ -467,7 +467,7 @@ def data_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of an export's gzipped data files."""
     manifest = load_manifest(spark, _export(spark, sf_dir)[1])
     found = decode_lines(read_lines(spark, manifest.data_paths()))
-    return found.select(F.col("write_micros").alias("event_id"), v.as_number_text(v.attribute("keys", "user_id")).cast("int").alias("user_id"))
+    return found.select(F.col("write_micros").alias("event_id"), v.as_number_text(v.attribute("keys", "user_id")).cast("bigint").alias("user_id"))
 
 
 @query("SELECT CASE k WHEN 0 THEN 'mismatch' WHEN 1 THEN 'missing' ELSE 'ok' END AS status, CAST(count(*) AS BIGINT) AS n FROM (SELECT row_number() OVER (ORDER BY p) - 1 AS k FROM (SELECT DISTINCT user_id % 6 AS p FROM events)) GROUP BY 1")
