@@ -21,14 +21,14 @@ from chronofold.operators.rank import place_in_partition
 from chronofold.operators.sink import FileStore, backoff, delete, list_names, put_new, read_current, write_to_store
 from chronofold.operators.verify import compare_counts, compare_tables, multiset_difference
 from chronofold.sources.changelog import read_lines
-from chronofold.sources.ledger import ParquetLedger, naive_pending, pending_files
+from chronofold.sources.ledger import ParquetLedger, naive_pending, pending_files, totals
 from chronofold.sources.manifest import hex_of_base64, load_manifest, read_files, read_summary, reconcile, split_uri_column, verify_checksums
 from chronofold.streaming.apply import start
 
 from .config import Config
 from .datagen import KEYS, Shape, full_lines, index_view, write_lines
 from .lifecycle import verify_lifecycle
-from .report import file_counts, operation_counts, throughput
+from .report import Report, duration_text, file_counts, operation_counts, throughput
 from .restore import restore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -607,3 +607,53 @@ def deep_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     side = lambda inner: events(spark, sf_dir).select(F.col("event_id").cast("string").alias("key"), F.create_map(F.lit("m"), nested(inner)).alias("item"))
     found = compare_tables(side(left), side(right))
     return found.groupBy((F.col("key").cast("bigint") % 3).cast("int").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT CAST(count(DISTINCT user_id % 6) AS BIGINT) AS files, CAST(count(*) FILTER (WHERE event_id % 9 <> 0) AS BIGINT) AS items, CAST(count(*) FILTER (WHERE event_id % 9 = 0) AS BIGINT) AS corrupt FROM events")
+def progress_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger says of an export so far, whether its files are staged or done."""
+    root, path = _export(spark, sf_dir, damaged=9)
+    restore(spark, Config("t", path, ("user_id",), "INCREMENTAL", files_per_step=3), f"{root}/table", ledger := ParquetLedger(spark, f"{root}/ledger"))
+    return totals(ledger.read(), load_manifest(spark, path).export_id)
+
+
+@query("SELECT * FROM (VALUES (0.25::DOUBLE, '0.25s'), (59.0, '59s'), (60.0, '1m0s'), (61.5, '1m1.5s'), (3600.0, '1h0m0s'), (3723.125, '1h2m3.125s'), (90061.0, '25h1m1s')) t(seconds, shown)")
+def duration_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(x, duration_text(x)) for x in (0.25, 59.0, 60.0, 61.5, 3600.0, 3723.125, 90061.0)], "seconds double, shown string")
+
+
+@query(
+    "SELECT name, value FROM (SELECT CAST(count(*) AS VARCHAR) AS total_items, '0' AS corrupt_count, '0' AS errors, (SELECT CAST(CAST(sum(ceil(n / 10.0)) AS BIGINT) AS VARCHAR) FROM (SELECT count(*) AS n FROM events GROUP BY user_id % 6)) AS batches FROM events) "
+    "UNPIVOT (value FOR name IN (total_items, corrupt_count, errors, batches))"
+)
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a restore as it is printed, in batches of ten."""
+    root, path = _export(spark, sf_dir)
+    said = restore(spark, Config("t", path, ("user_id",), "INCREMENTAL", batch_size=10), f"{root}/table").report.as_text()
+    rows = [tuple(line.split(": ", 1)) for line in said.splitlines()]
+    return spark.createDataFrame([r for r in rows if r[0] in ("total_items", "corrupt_count", "errors", "batches")], "name string, value string")
+
+
+@query("SELECT event_type AS kind, count(*) AS n FROM events WHERE event_type <> 'view' GROUP BY 1")
+def other_decoder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A restore with parts of its own: a decoder that counts views as corrupt, and an uploader that keeps the report's counts."""
+    root, path = _export(spark, sf_dir)
+    kept: dict[str, int] = {}
+
+    def decode(lines: DataFrame) -> DataFrame:
+        found = decode_lines(lines)
+        seen = F.coalesce(F.map_contains_key("new_image", F.lit("seen")), F.lit(False))
+        return found.withColumn("is_corrupt", F.col("is_corrupt") | seen).withColumn("op", F.when(~seen, F.col("op")))
+
+    def upload(_: SparkSession, report: Report, uri: str) -> None:
+        kept.update(report.by_op)
+
+    table = restore(spark, Config("t", path, ("user_id",), "INCREMENTAL", report="kept"), f"{root}/table", decode=decode, upload=upload)
+    if table.report.corrupt_count != kept["CORRUPT"]:
+        raise ValueError("the report and what was uploaded differ")
+    manifest = load_manifest(spark, path)
+    names = {"signup": "PUT", "error": "DELETE"}
+    kinds = decode(read_lines(spark, manifest.data_paths())).where("not is_corrupt").select(F.col("write_micros").alias("event_id"), "op")
+    log = events(spark, sf_dir).select("event_id", F.col("event_type").alias("kind"))
+    right = F.coalesce(F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("kind")], F.lit("UPDATE")) == F.col("op")
+    return kinds.join(log, "event_id").where(right).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from contextlib import ExitStack
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,28 @@ class CorruptLines(ValueError):
     pass
 
 
+class Loader(Protocol):
+    """Finds an export's manifest."""
+
+    def __call__(self, spark: SparkSession, uri: str, root: str | None = None) -> Manifest: ...
+
+
+class Decoder(Protocol):
+    """Adds to lines what decode_lines() adds: op, keys, new_image, old_image, write_micros, is_corrupt, reason."""
+
+    def __call__(self, lines: DataFrame) -> DataFrame: ...
+
+
+class Uploader(Protocol):
+    """Puts a run's report where it belongs."""
+
+    def __call__(self, spark: SparkSession, report: Report, uri: str) -> None: ...
+
+
+def upload_report(spark: SparkSession, report: Report, uri: str) -> None:
+    spark.createDataFrame([(report.as_json(),)], "value string").coalesce(1).write.mode("overwrite").text(uri)
+
+
 #: What is kept of a decoded line.
 KEPT = ("op", "keys", "new_image", "old_image", "write_micros", "is_corrupt", "reason", "file", "file_ordinal", "block_start", "line_number")
 
@@ -40,10 +63,10 @@ class Result:
     version: str | None
 
 
-def decode_export(spark: SparkSession, manifest: Manifest, key_columns: list[str], files: list[str] | None = None) -> DataFrame:
+def decode_export(spark: SparkSession, manifest: Manifest, key_columns: list[str], files: list[str] | None = None, decode: Decoder = decode_lines) -> DataFrame:
     """The decoded lines of an export's data files, or of some of them. An empty file list gives no rows."""
     paths = [(k, p) for k, p in manifest.data_paths() if files is None or manifest.files[k]["dataFileS3Key"] in files]
-    decoded = decode_lines(read_lines(spark, paths))
+    decoded = decode(read_lines(spark, paths))
     return with_keys(decoded, key_columns) if key_columns else decoded
 
 
@@ -80,6 +103,7 @@ class _Run:
     target: str
     manifest: Manifest
     ledger: Ledger | None
+    decode: Decoder
     totals: Totals = field(default_factory=Totals)
     errors: list[str] = field(default_factory=list)
     counts: dict[str, dict[str | None, int]] = field(default_factory=dict)  # file -> operation (None: corrupt) -> lines
@@ -110,11 +134,11 @@ class _Run:
     def stage(self, files: list[str]) -> str:
         """Decodes some files and keeps their lines; they enter the ledger after that."""
         place = f"{self.staging()}/{uuid.uuid4().hex}"
-        decode_export(self.spark, self.manifest, list(self.config.key_columns), files).select(*KEPT).write.parquet(place)
+        decode_export(self.spark, self.manifest, list(self.config.key_columns), files, self.decode).select(*KEPT).write.parquet(place)
         return place
 
 
-def restore(spark: SparkSession, config: Config, target: str, ledger: Ledger | None = None, say: Callable[[str], None] | None = None) -> Result:
+def restore(spark: SparkSession, config: Config, target: str, ledger: Ledger | None = None, say: Callable[[str], None] | None = None, load: Loader = load_manifest, decode: Decoder = decode_lines, upload: Uploader = upload_report) -> Result:
     """Applies one export to the table under `target`. A dry run decodes, checks and reports, and writes nothing.
 
     With a ledger and `files_per_step` the export's files are decoded in steps;
@@ -124,9 +148,9 @@ def restore(spark: SparkSession, config: Config, target: str, ledger: Ledger | N
     whole export, however it was read. say: gets lines of progress.
     """
     began, start = time.time(), datetime.now(timezone.utc)
-    manifest = load_manifest(spark, config.export, config.root)
+    manifest = load(spark, config.export, config.root)
     ledger = ledger or (ParquetLedger(spark, config.resume) if config.resume else None)
-    run = _Run(spark, config, target, manifest, ledger)
+    run = _Run(spark, config, target, manifest, ledger, decode)
     warnings = []
     if manifest.export_type != config.export_type:
         warnings.append(f"the manifest is of a {manifest.export_type} export, not {config.export_type}")
@@ -157,9 +181,9 @@ def restore(spark: SparkSession, config: Config, target: str, ledger: Ledger | N
                 run.counted(spark.read.parquet(place))
                 run.enter(step, STAGED, place)
                 places |= dict.fromkeys(step, place)
-            decoded = _staged(spark, places) if places else decode_export(spark, manifest, keys, [])
+            decoded = _staged(spark, places) if places else decode_export(spark, manifest, keys, [], decode)
         else:
-            decoded = decode_export(spark, manifest, keys, names).select(*KEPT).persist()
+            decoded = decode_export(spark, manifest, keys, names, decode).select(*KEPT).persist()
             stack.callback(decoded.unpersist)
             run.tried(lambda: run.counted(decoded))
         corrupt = sum(c.get(None, 0) for c in run.counts.values())
@@ -183,7 +207,7 @@ def restore(spark: SparkSession, config: Config, target: str, ledger: Ledger | N
         warnings.append(f"the manifest lists {listed} items; {run.totals.items} were decoded")
     report = Report(start.isoformat(), datetime.now(timezone.utc).isoformat(), run.totals.items, corrupt, time.time() - began, run.totals.batches, len(run.errors), by_op, warnings + [f"tried again after {e}" for e in run.errors])
     if config.report and not config.dry_run:
-        spark.createDataFrame([(report.as_json(),)], "value string").coalesce(1).write.mode("overwrite").text(config.report)
+        upload(spark, report, config.report)
     return Result(report, snapshot, version)
 
 
