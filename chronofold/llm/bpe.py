@@ -48,7 +48,7 @@ from .common import durable, frugal, give_back, small_batches
 LEXICON_WORDS = 1 << 17
 #: Chunks that a worker remembers, within a task, before it starts anew.
 CACHE_CHUNKS = 250_000
-BLOCK_CHARS = 2_000_000
+BLOCK_CHARS, WRITTEN_IDS = 1_000_000, 1 << 18
 NEVER = 1 << 30
 
 #: Fixed value: the byte-level vocabulary's way to cut texts into words.
@@ -395,7 +395,7 @@ class Spelling:
         self.first = np.cumsum(self.size) - self.size
         self.data = np.frombuffer(b"".join(pieces[i] for i in sorted(pieces)), dtype=np.uint8)
 
-    def write(self, raw: list[bytes], most: int = 1 << 20) -> Iterator[bytes]:
+    def write(self, raw: list[bytes], most: int = WRITTEN_IDS) -> Iterator[bytes]:
         """The pieces of each id sequence, joined. About `most` ids are worked on at a time, or one sequence."""
         at = 0
         while at < len(raw):
