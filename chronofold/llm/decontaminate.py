@@ -38,7 +38,7 @@ from .textvec import WORD_ALNUM, TextSlice, Words, find_words, text_slices, word
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 
 
 class Benchmark:

@@ -166,7 +166,7 @@ def node_of(name: Column) -> Column:
     return name.bitwiseAND(F.lit(NODE))
 
 
-def candidate_edges(sets: DataFrame, block: int = 1_000_000) -> DataFrame:
+def candidate_edges(sets: DataFrame, block: int = 600_000) -> DataFrame:
     """(u, v) of nodes: a connected graph over the sets that share a prefix shingle. sets: (set, prefix); equal rows fall together within each task."""
     partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
