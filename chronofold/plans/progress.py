@@ -25,10 +25,11 @@ class Totals:
 
 
 def active_tasks(spark: SparkSession) -> int:
-    """Tasks that are running now, over all active stages."""
-    tracker = spark.sparkContext.statusTracker()
+    """Tasks that are running now, over all active stages. Spark's count lags behind: a stage that has just begun counts with the tasks that its executors can take."""
+    sc = spark.sparkContext
+    tracker = sc.statusTracker()
     stages = [tracker.getStageInfo(k) for k in tracker.getActiveStageIds()]
-    return sum(s.numActiveTasks for s in stages if s)
+    return sum(max(s.numActiveTasks, min(s.numTasks - s.numCompletedTasks, sc.defaultParallelism)) for s in stages if s)
 
 
 def progress_line(totals: Totals, active: int) -> str:
