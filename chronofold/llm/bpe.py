@@ -260,20 +260,41 @@ class Merger:
         self.vocabulary = vocabulary
         self.base = 1 + max(vocabulary.spell)
         pairs = np.array([(a * self.base + b, r) for (a, b), r in vocabulary.rank.items()], dtype=np.int64).reshape(-1, 2)
-        pairs = pairs[np.argsort(pairs[:, 0])]
-        self.keys, self.ranks = pairs[:, 0].copy(), pairs[:, 1].astype(np.int32)
+        # a hash table of pairs, a tenth full: most lookups end at their first slot
+        bits = max(4, (10 * len(pairs)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.ranks = np.full(1 << bits, -1, dtype=np.int64), np.full(1 << bits, NEVER, dtype=np.int32)
+        for at, key, rank in zip(self._slot(pairs[:, 0]).tolist(), pairs[:, 0].tolist(), pairs[:, 1].tolist(), strict=True):
+            while self.keys[at] >= 0:
+                at = (at + 1) & self.mask
+            self.keys[at], self.ranks[at] = key, rank
+        self.any = len(pairs) > 0
         self.merged = np.array(vocabulary.merged, dtype=np.int32)
         self.byte_ids = np.array(vocabulary.byte_ids, dtype=np.int32)
 
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = a.astype(np.int64) * self.base + b
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.ranks[at], NEVER).astype(np.int32)
+        key = (a.astype(np.int64) * self.base + b).ravel()
+        at = self._slot(key)
+        found = self.keys[at]
+        out = np.where(found == key, self.ranks[at], np.int32(NEVER))
+        other = np.flatnonzero((found != key) & (found >= 0))
+        at = at[other]
+        while len(other):  # the slot is another pair's: on to the next one
+            at = (at + 1) & self.mask
+            found = self.keys[at]
+            hit = found == key[other]
+            out[other[hit]] = self.ranks[at[hit]]
+            on = ~hit & (found >= 0)
+            other, at = other[on], at[on]
+        return out.reshape(a.shape)
 
     def merge(self, words: list[bytes], longest: int = 48, rows: int = 16384) -> list[bytes]:
         """Each word's ids, as the bytes of int32 values."""
         out: list[bytes] = [b""] * len(words)
-        if not len(self.keys):
+        if not self.any:
             return [self.byte_ids[np.frombuffer(w, dtype=np.uint8)].tobytes() for w in words]
         order = sorted(range(len(words)), key=lambda k: len(words[k]))
         short = [k for k in order if 0 < len(words[k]) <= longest]
