@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 EVERY = 5.0
+# Spark's local properties of a job group.
+JOB_GROUP = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
 
 
 @dataclass
@@ -67,6 +69,7 @@ def stoppable(spark: SparkSession, timeout: float, end: Callable[[int], None] =
     """
     group, stopped, timers = f"restore-{uuid.uuid4().hex}", threading.Event(), []
     sc = spark.sparkContext
+    own = {k: sc.getLocalProperty(k) for k in JOB_GROUP}  # the caller's
     sc.setJobGroup(group, "restore", interruptOnCancel=True)
 
     def stop(*_: object) -> None:
@@ -96,7 +99,8 @@ def stoppable(spark: SparkSession, timeout: float, end: Callable[[int], None] =
             t.cancel()
         for s, handler in before.items():
             signal.signal(s, handler)
-        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in own.items():
+            sc.setLocalProperty(k, v)
 
 
 def tried(work: Callable[[], object], tries: int, on_error: Callable[[Exception], None], sleep: Callable[[float], None] = time.sleep) -> object:

@@ -134,6 +134,11 @@ def test_progress_and_stopping(spark):
             spark.range(8).repartition(8).foreach(lambda _: time.sleep(30))
     assert time.time() - began < 25 and not ended
     assert spark.range(3).count() == 3  # later jobs aren't touched
+    spark.sparkContext.setJobGroup("mine", "the caller's")
+    with progress.stoppable(spark, 60):
+        assert spark.sparkContext.getLocalProperty("spark.jobGroup.id").startswith("restore-")
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") == "mine"
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     with progress.stoppable(spark, 0.2, ended.append) as stop:
         stop()
         time.sleep(0.8)
