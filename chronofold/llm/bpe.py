@@ -365,9 +365,8 @@ class Encoder:
         return out
 
     def _learn(self, chunks: list[str]) -> None:
-        whole, rest = [], []
-        for c in chunks:
-            (whole if (c[1:] if c[0] == " " else c).isalpha() else rest).append(c)
+        whole = [c for c in chunks if (c[1:] if c[0] == " " else c).isalpha()]
+        rest = [*set(chunks).difference(whole)]
         cut = list(map(WORD.findall, rest))
         words = [*set(whole).union(*cut)]
         ids = dict(zip(words, self.word_ids(words), strict=True))
@@ -444,14 +443,18 @@ def _worker(vocabulary: Vocabulary, lexicon: bytes, key: str) -> tuple[Encoder,
     return _workers[key]
 
 
-def count_words(docs: DataFrame, text_column: str = "text", flush: int = 300_000) -> DataFrame:
+def count_words(docs: DataFrame, text_column: str = "text", flush: int = 400_000) -> DataFrame:
     """(word, n) over all documents. Each task sums before the shuffle, in bounded memory."""
 
     def words_of(chunks: Counter) -> pa.RecordBatch:
-        words: Counter = Counter()
+        words: dict[str, int] = {}
+        get = words.get
         for chunk, n in chunks.items():
-            for w in WORD.findall(chunk):
-                words[w] += n
+            if (chunk[1:] if chunk[0] == " " else chunk).isalpha():  # letters only: one word
+                words[chunk] = get(chunk, 0) + n
+            else:
+                for w in WORD.findall(chunk):
+                    words[w] = get(w, 0) + n
         return pa.RecordBatch.from_pydict({"word": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
