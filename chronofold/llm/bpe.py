@@ -47,7 +47,7 @@ from .common import durable, frugal, give_back, small_batches
 #: Words compiled into the lexicon at most.
 LEXICON_WORDS = 1 << 17
 #: Chunks that a worker remembers, within a task, before it starts anew.
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 320_000
 BLOCK_CHARS, WRITTEN_IDS = 1_000_000, 1 << 18
 NEVER = 1 << 30
 
