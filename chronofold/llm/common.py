@@ -96,6 +96,19 @@ def opened(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def sealed(batch: pa.RecordBatch) -> bytes:
+    """A batch in one blob, compressed."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unsealed(blob: bytes) -> pa.RecordBatch:
+    """The batch of sealed()."""
+    return pa.ipc.open_stream(blob).read_next_batch()
+
+
 def steps(keys: np.ndarray) -> np.ndarray:
     """Sorted keys as differences, which compress well; np.cumsum() undoes it."""
     return np.diff(keys, prepend=keys.dtype.type(0))

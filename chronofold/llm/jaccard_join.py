@@ -5,14 +5,18 @@ similarity of `percent` / 100 or more; documents that links connect are one
 component. The join is exact as far as 64-bit hashes tell words, shingles and
 whole sets apart.
 
-1. A sketch counts, over all documents, how many hold the shingles of each of
-   2**24 hash slots. It defines one global order of shingles, rare ones first.
-   Any fixed order gives right results; this one keeps passages that many
-   documents share out of the prefixes.
+1. It is counted in how many documents each shingle is, by 40 bits of its hash:
+   chunks of text send their sets' sorted shingles to the parts of the hash
+   range, and get back those that are in more than one set, with their counts.
+   That defines one global order of shingles, rare ones first. Any fixed order
+   gives right results; this one keeps passages that many documents share out
+   of the prefixes, and knows the shingles of a single set, which link nothing.
+   The counts are exact at any size, and no table of them is gathered anywhere.
 2. Documents with equal sets become one. Two linked sets of which the smaller
    has n shingles share one among the first n - ceil(t n) + 1 of either in the
-   global order, so sets that share no such prefix shingle can't link. Shared
-   prefix shingles give candidate edges: a star for each shingle, not all its
+   global order, so sets that share no such prefix shingle can't link. Most sets
+   have that many shingles of their own and are settled. Shared prefix shingles
+   give candidate edges: a star for each shingle, not all its
    pairs. Tasks merge their own sets' postings first, so a shingle of a third
    of all rows sends one row a task.
 3. Connected candidates form buckets (a distributed component search over
@@ -24,9 +28,9 @@ whole sets apart.
    probed in the long lists by binary search (DivideSkip), and sets with the required overlap are retained, reached, and
    taken out of the index. So a family of near copies is reached by its first
    member, without its pairs.
-   Buckets are first cut finer by the candidates of another order, made from
-   the counts of candidate sets only (no link crosses these buckets either);
-   those larger than `bucket_sets` once or twice more. What stays larger is split: sets are compared with a
+   Buckets of more than `bucket_sets` sets are first cut finer by the candidates
+   of another order, made from the counts of their sets only (no link crosses
+   these buckets either). What stays larger is split: sets are compared with a
    pivot, in parallel; Jaccard distance is a metric, so sets far enough from
    the pivot can't link to those near it, and each part goes on by itself.
    What is still larger after that is cut into blocks of sets, and each pair of
@@ -50,15 +54,19 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, forget, frugal, opened, release, small_batches, squeezed, steps
+from .common import durable, forget, frugal, opened, release, sealed, small_batches, squeezed, steps, unsealed
 from .components import connected_components
 from .textvec import WORD_NOT_SPACE, find_words, mix64, shingle_sets, text_slices, word_hashes
 
 SHINGLE, PERCENT = 4, 85
-SKETCH_BITS, SKETCH_CHUNK = 24, 1 << 19
+#: Bits of a shingle's hash by which it is counted: two that fall together count as more frequent. With its set's number in the chunk they make 64 bits.
+KEY_BITS, SET_BITS = 40, 24
+#: Bytes of text whose sets are sent as one chunk, and the parts of the hash range: at least so many.
+CHUNK_BYTES, PARTS = 16 << 20, 256
 #: Candidate sets whose ids are broadcast (24 bytes each, 48 MB in all); beyond, they are joined by a shuffle.
 BROADCAST_SETS = 2_000_000
 BUCKET_SETS = 256
@@ -66,8 +74,8 @@ BUCKET_SETS = 256
 SALTS, MANY_COPIES, MANY_SHARE = 16, 1024, 10_000
 #: Bits of shingles and sets in the search for candidates: two that fall together make a bucket larger, never a link.
 NODE = (1 << 48) - 1
-#: Rounds that cut large buckets finer, and the sketch of such a round: at most 2**REFINE_BITS bytes.
-REFINEMENTS, REFINE_BITS = 3, 25
+#: Rounds that cut large buckets finer.
+REFINEMENTS = 2
 #: Rounds that split large buckets by pivots. A round of either kind that settles less than this share of the sets is the last one of its kind.
 PIVOTS, WORTH = 6, 0.2
 #: DivideSkip's balance between merging short lists and probing long ones.
@@ -94,72 +102,123 @@ def document_sets(column: pa.Array, k: int) -> Iterator[tuple[int, list[np.ndarr
         yield part.first, shingle_sets(part, words, word_hashes(part, words), k)
 
 
-def slots_of(shingles: np.ndarray, bits: int, turn: int = 0) -> np.ndarray:
-    return (mix64(shingles ^ np.uint64(0x2545F4914F6CDD1D + turn)) >> np.uint64(64 - bits)).astype(np.int64)
+#: Kinds of rows: a chunk's shingles in a part of the hash range, those of them that other sets have too, its documents.
+ASKED, SHARED, DOCS = range(3)
+COUNTED = "kind int, part int, chunk bigint, blob binary"
 
 
-def sketch(docs: DataFrame, text_column: str, k: int, bits: int = SKETCH_BITS, turn: int = 0) -> np.ndarray:
-    """slot -> class of the number of documents that hold its shingles: eight classes for each power of two."""
-    chunk = min(SKETCH_CHUNK, 1 << bits)
-    chunks = (1 << bits) // chunk
+def _counted(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["kind", "part", "chunk", "blob"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << bits, dtype=np.uint8)  # up to 255: the order needs no more of one task
+
+def prefixes(docs: DataFrame, id_column: str, text_column: str, k: int, percent: int, bits: int = KEY_BITS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(id, n, set, prefix) of every document: its set's size, fingerprint, and those of its first shingles in the global order that other sets have too."""
+    partitions = _partitions(docs)
+    parts = max(PARTS, partitions)
+    bounds = [(i << bits) // parts for i in range(parts + 1)]  # less than 2**32 apart
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 24
+        known: dict[int, int] = {}
+        sets, rows, size = [], [], 0
         for batch in batches:
-            for _, sets in document_sets(batch.column(0), k):
-                slots = slots_of(np.concatenate(sets), bits, turn)
-                slots.sort()
-                first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]])) if len(slots) else slots
-                slots, more = slots[first], np.diff(np.append(first, len(slots)))
-                total[slots] = np.minimum(total[slots] + more, 255)
-        parts = total.reshape(chunks, chunk)
-        some = np.flatnonzero(parts.any(axis=1)).tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([pa.compress(parts[i].tobytes(), codec="zstd", asbytes=True) for i in some], pa.binary())], names=["chunk", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+            for first, found in document_sets(batch.column(0), k):
+                names = [fingerprint(s) if len(s) else None for s in found]
+                for f, s in zip(names, found, strict=True):
+                    if f is not None and f not in known:
+                        known[f] = len(sets)
+                        sets.append(mix64(s) >> np.uint64(64 - bits))
+                        size += 8 * len(s)
+                ids = batch.column(1).slice(first, len(found))
+                rows.append(pa.RecordBatch.from_arrays([ids, pa.array([len(s) for s in found], pa.int64()), pa.array(names, pa.int64()), pa.array([-1 if f is None else known[f] for f in names], pa.int32())], names=["id", "n", "set", "at"]))
+                size += 16 * len(found)
+                if size > chunk_bytes:
+                    yield packed(chunk, sets, rows)
+                    chunk, known, sets, rows, size = chunk + 1, {}, [], [], 0
+        if rows:
+            yield packed(chunk, sets, rows)
+
+    def packed(chunk: int, sets: list[np.ndarray], rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        out = [(DOCS, int(mix64(np.array([chunk], dtype=np.uint64))[0]) % parts, chunk, sealed(pa.Table.from_batches(rows).combine_chunks().to_batches()[0]))]
+        both = np.concatenate([np.zeros(0, np.uint64), *sets]) << np.uint64(SET_BITS)
+        both |= np.repeat(np.arange(len(sets), dtype=np.uint64), [len(s) for s in sets])
+        both.sort()
+        keys, owners = both >> np.uint64(SET_BITS), (both & np.uint64((1 << SET_BITS) - 1)).astype(np.uint32)
+        edges = np.searchsorted(keys, np.array(bounds, dtype=np.uint64)).tolist()
+        out += [(ASKED, i, chunk, squeezed(_offsets(keys[a:b], bounds[i]), owners[a:b])) for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+        return _counted(out)
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, asked = None, []
         for batch in batches:
-            for c, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total.setdefault(c, np.zeros(chunk, dtype=np.uint64))
-                total[c] += np.frombuffer(pa.decompress(x, chunk, codec="zstd", asbytes=True), dtype=np.uint8)
-        ranks = {c: np.minimum(255, 8 * np.log2(x.astype(np.float64) + 1)).astype(np.uint8) for c, x in total.items()}
-        yield pa.RecordBatch.from_arrays([pa.array(ranks.keys(), pa.int32()), pa.array([pa.compress(r.tobytes(), codec="zstd", asbytes=True) for r in ranks.values()], pa.binary())], names=["chunk", "counts"])
-
-    schema = "chunk int, counts binary"
-    rows = docs.select(text_column).mapInArrow(frugal(count), schema).repartition(chunks, "chunk").mapInArrow(frugal(add), schema).collect()  # 2**bits bytes at most
-    out = np.zeros(1 << bits, dtype=np.uint8)
-    for r in rows:
-        out[r.chunk * chunk : (r.chunk + 1) * chunk] = np.frombuffer(pa.decompress(r.counts, chunk, codec="zstd", asbytes=True), dtype=np.uint8)
-    return out
-
-
-def prefixes(docs: DataFrame, id_column: str, text_column: str, ranks: np.ndarray, k: int, percent: int, turn: int = 0) -> DataFrame:
-    """(id, n, set, prefix) of every document: its set's size, fingerprint and first shingles in the global order."""
-    bits = int(np.log2(len(ranks)))
-    shared = docs.sparkSession.sparkContext.broadcast(pa.compress(ranks.tobytes(), codec="zstd", asbytes=True))  # executors keep a file of it
-    slots = len(ranks)
+            for kind, part, chunk, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != last and asked:
+                    yield from shared(last, asked)
+                    asked = []
+                last = part
+                if kind == DOCS:
+                    yield _counted([(kind, part, chunk, blob)])
+                else:
+                    keys, owners = opened(blob)
+                    asked.append((chunk, np.cumsum(keys, dtype=np.uint64), owners))
+        if asked:
+            yield from shared(last, asked)
+
+    def shared(part: int, asked: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        every = np.concatenate([keys for _, keys, _ in asked])
+        every.sort()
+        first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+        count = np.diff(np.append(first, len(every)))
+        several = count > 1
+        kinds, count = every[first[several]], np.minimum(count[several], (1 << 32) - 1).astype(np.uint32)
+        del every, first, several
+        if not len(kinds):
+            return
+        for chunk, keys, owners in asked:
+            at = np.minimum(np.searchsorted(kinds, keys), len(kinds) - 1)
+            own = kinds[at] == keys
+            if own.any():
+                yield _counted([(SHARED, part, chunk, squeezed(_offsets(keys[own], 0), owners[own], count[at[own]]))])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = np.frombuffer(pa.decompress(shared.value, slots, codec="zstd", asbytes=True), dtype=np.uint8)
+        last, found = None, []
         for batch in batches:
-            for first, sets in document_sets(batch.column(0), k):
-                prefix = []
-                for s in sets:
-                    p = prefix_size(len(s), percent)
-                    if p < len(s):
-                        r = rank[slots_of(s, bits, turn)]
-                        edge = np.partition(r, p - 1)[p - 1]
-                        s = np.concatenate([s[r < edge], s[r == edge]])[:p]  # equal ranks go by hash
-                    prefix.append(s.view(np.int64))
-                n = len(sets)
-                ends = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(1).slice(first, n), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) if len(s) else None for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefix) if n else np.zeros(0, np.int64)))],
-                    names=["id", "n", "set", "prefix"],
-                )
+            for kind, part, chunk, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if chunk != last:
+                    last, found = chunk, []
+                if kind == SHARED:
+                    keys, owners, count = opened(blob)
+                    found.append((np.cumsum(keys, dtype=np.uint64) + np.uint64(bounds[part]), owners, count))
+                else:  # the last row of its chunk
+                    yield first_of(unsealed(blob), found)
+
+    def first_of(rows: pa.RecordBatch, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        at = rows.column(3).to_numpy()
+        n = np.zeros(int(at.max(initial=-1)) + 1, dtype=np.int64)
+        n[at[at >= 0]] = rows.column(1).to_numpy()[at >= 0]
+        keys, owners, count = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32))
+        # a set's own shingles come first; the prefix has room for so many of the others
+        room = n + (-percent * n // 100) + 1 - (n - np.bincount(owners, minlength=len(n)))
+        some = room[owners] > 0
+        keys, owners, count = keys[some], owners[some], count[some]
+        order = np.lexsort((keys, count, owners))
+        keys, owners = keys[order], owners[order]
+        place = np.arange(len(owners)) - np.searchsorted(owners, owners)
+        taken = place < room[owners]
+        keys, owners = (keys[taken] << np.uint64(NODE.bit_length() - bits)).view(np.int64), owners[taken]
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(n)))]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))
+        return pa.RecordBatch.from_arrays([*rows.columns[:3], lists.take(pa.array(at, mask=at < 0))], names=["id", "n", "set", "prefix"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(text_column, id_column).mapInArrow(frugal(cut), f"id {kind}, n bigint, set bigint, prefix array<bigint>")
+    asked = docs.select(text_column, id_column).mapInArrow(frugal(ask), COUNTED)
+    answered = asked.repartition(partitions, "part").sortWithinPartitions("part").mapInArrow(frugal(answer), COUNTED)
+    return answered.repartition(partitions, "chunk").sortWithinPartitions("chunk", "kind").mapInArrow(frugal(cut), f"id {kind}, n bigint, set bigint, prefix array<bigint>")
+
+
+def _offsets(keys: np.ndarray, base: int) -> np.ndarray:
+    """Sorted keys of one part as steps from its begin."""
+    return steps(keys - np.uint64(base)).astype(np.uint32)
 
 
 def node_of(name: Column) -> Column:
@@ -387,37 +446,30 @@ def _bucketed_sets(docs: DataFrame, id_column: str, text_column: str, members: D
 
 
 def _refined(docs: DataFrame, id_column: str, text_column: str, members: DataFrame, k: int, percent: int, bucket_sets: int, broadcast_sets: int, bits: int) -> DataFrame:
-    """members (set, id, n, bucket) with their buckets cut finer, by other orders of shingles.
+    """members (set, id, n, bucket) with buckets of more than `bucket_sets` sets cut finer, by other orders of shingles.
 
-    Linked sets share a prefix shingle in every order. The first round counts
-    the shingles of all candidate sets and of no others, so that what is rare
+    Linked sets share a prefix shingle in every order. A round counts the
+    shingles of the sets of large buckets and of no others, so that what is rare
     among them leads; sets that then share no prefix shingle with another are
-    settled. Further rounds do the same for the buckets of more than
-    `bucket_sets` sets. A round's sketch has a slot or two a shingle (up to
-    2**bits); sets go on together if they were together before and still are.
+    settled, and sets go on together if they were together before and still are.
     """
-    none = members.where("false")
     last = None
-    for turn in range(1, REFINEMENTS + 1):
-        settled, own = none, members
-        if turn > 1:
-            large = durable(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") > bucket_sets).select("bucket", F.lit(True).alias("large")))
-            marked = members.join(F.broadcast(large), "bucket", "left")  # at most (sets / bucket_sets) rows
-            settled, own = marked.where("large is null").drop("large"), durable(marked.where("large").drop("large"))
-        sets, shingles = own.agg(F.count(F.lit(1)), F.sum("n")).first()
+    for turn in range(REFINEMENTS):
+        large = durable(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("sets")).where(F.col("sets") > bucket_sets))
+        sets = large.agg(F.sum("sets")).first()[0]
         if not sets or last and sets > (1 - WORTH) * last:
             break
-        last = sets if turn > 1 else None
+        last = sets
+        marked = members.join(F.broadcast(large.select("bucket", F.lit(True).alias("large"))), "bucket", "left")  # at most (sets / bucket_sets) rows
+        settled, own = marked.where("large is null").drop("large"), durable(marked.where("large").drop("large"))
         ids = own.select(F.col("id").alias("_id")).distinct()
         theirs = docs.select(id_column, text_column).join(F.broadcast(ids) if sets <= broadcast_sets else ids, F.col(id_column).eqNullSafe(F.col("_id")), "left_semi")
-        ranks = sketch(theirs, text_column, k, min(bits, int(shingles).bit_length() + 1), turn)
-        leads = durable(prefixes(theirs, id_column, text_column, ranks, k, percent, turn).where("n > 0").select("set", "prefix"))
+        leads = durable(prefixes(theirs, id_column, text_column, k, percent, bits).where("size(prefix) > 0").select("set", "prefix"))
         parts = connected_components(candidate_edges(leads))
-        forget(leads)
         finer = own.join(parts, node_of(F.col("set")) == F.col("node")).withColumn("bucket", F.xxhash64("bucket", "component", F.lit(turn)))
         before, members = members, durable(settled.select("set", "id", "n", "bucket").unionAll(finer.select("set", "id", "n", "bucket")).coalesce(_partitions(docs)))
-        forget(before, own)
-        del before, own, finer, parts, leads, theirs, ids, ranks
+        forget(before, own, leads, large)
+        del before, own, finer, parts, leads, theirs, ids, large
         release(docs.sparkSession)
     return members
 
@@ -515,21 +567,23 @@ def link_edges(sets: DataFrame, percent: int) -> DataFrame:
     return sets.groupBy("bucket").applyInArrow(search, "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = SHINGLE, percent: int = PERCENT, bucket_sets: int = BUCKET_SETS, broadcast_sets: int = BROADCAST_SETS, sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """One row per document: id, n_shingles, component_id (the smallest id that links reach)."""
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", k: int = SHINGLE, percent: int = PERCENT, bucket_sets: int = BUCKET_SETS, broadcast_sets: int = BROADCAST_SETS, sketch_bits: int = KEY_BITS) -> DataFrame:
+    """One row per document: id, n_shingles, component_id (the smallest id that links reach). Shingles are counted by `sketch_bits` bits, 40 at most."""
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50 and at most 100")
+    if not 0 < sketch_bits <= KEY_BITS:
+        raise ValueError(f"sketch_bits must be from 1 to {KEY_BITS}")
     docs = small_batches(docs)
-    whole = durable(prefixes(docs, id_column, text_column, sketch(docs, text_column, k, sketch_bits), k, percent))
-    release(docs.sparkSession)  # the driver's copies of the sketch, and what was shuffled for it; again after the steps that follow
-    buckets = connected_components(candidate_edges(whole.where("n > 0")))
+    whole = durable(prefixes(docs, id_column, text_column, k, percent, sketch_bits))
+    release(docs.sparkSession)  # what was shuffled for it; again after the steps that follow
+    buckets = connected_components(candidate_edges(whole.where("size(prefix) > 0")))
     own = durable(whole.select("id", "n", "set"))
     forget(whole)
     ids = durable(own.where("n > 0").groupBy("set").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.count(F.lit(1)).alias("copies")))
     members = durable(ids.join(buckets.withColumnRenamed("component", "bucket"), node_of(F.col("set")) == F.col("node")).select("set", "id", "n", "bucket"))
     del buckets, whole
     release(docs.sparkSession)
-    members = _refined(docs, id_column, text_column, members, k, percent, bucket_sets, broadcast_sets, REFINE_BITS)
+    members = _refined(docs, id_column, text_column, members, k, percent, bucket_sets, broadcast_sets, sketch_bits)
     large = durable(members.groupBy("bucket").count().where(F.col("count") > bucket_sets).select("bucket", F.lit(True).alias("large")))
     edges = None
     if not large.isEmpty():  # at most (sets / bucket_sets) rows

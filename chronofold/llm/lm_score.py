@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, fold, forget, frugal, opened, release, small_batches, squeezed, steps
+from .common import durable, fold, forget, frugal, opened, release, sealed, small_batches, squeezed, steps, unsealed
 from .textvec import END, WORD_NOT_SPACE, TextSlice, Words, find_words, mix64, text_slices, word_hashes
 
 DEPTH = 6
@@ -341,7 +341,7 @@ def questions(shared: Callable[[], Shared]) -> Callable:
                 found = find_words(part, WORD_NOT_SPACE)
                 words.append(np.unique(word_hashes(part, found)))
                 codes.append(distinct(context_codes(symbols(part, found)[0], own.depth)))
-                texts.append(_sealed(batch.slice(part.first, len(part))))
+                texts.append(sealed(batch.slice(part.first, len(part))))
                 size += len(part.data)
                 if size >= CHUNK_BYTES:
                     yield rows(own, chunk, codes, words, texts)
@@ -426,7 +426,7 @@ def scorer(shared: Callable[[], Shared], id_column: str) -> Callable:
                 if not ready:
                     ready = {k: _sorted(*pair) for k, pair in known.items()}
                     known = {}
-                yield from scored(own, _unsealed(blob), ready)
+                yield from scored(own, unsealed(blob), ready)
 
     def scored(own: Shared, texts: pa.RecordBatch, ready: dict) -> Iterator[pa.RecordBatch]:
         for part in text_slices(texts.column(0)):
@@ -465,17 +465,6 @@ def _looked_up(wanted: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.n
     return out
 
 
-def _sealed(batch: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def _unsealed(blob: bytes) -> pa.RecordBatch:
-    return pa.ipc.open_stream(blob).read_next_batch()
-
-
 def score_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", held_out: tuple[int, int] = HELD_OUT, depth: int = DEPTH, min_count: int = MIN_COUNT, cutoff: float = CUTOFF) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 of the text's probability in the tree)."""
     if not 2 <= depth <= 6:
