@@ -113,18 +113,18 @@ def test_jaccard_join_of_odd_rows(spark):
     assert kept.columns == df.columns and Counter(x.doc_id for x in kept.collect()) == Counter({1: 1, 3: 2, 4: 1, None: 3})
 
 
-@pytest.mark.parametrize("chunk_bytes", [1, 1 << 24])
-def test_jaccard_prefixes_hold_what_other_sets_have_too(docs, rows, chunk_bytes):
+@pytest.mark.parametrize(("chunk_bytes", "k", "percent"), [(1, 4, 85), (1 << 24, 4, 85), (1 << 24, 5, 80)])  # the last as the pipeline has it
+def test_jaccard_prefixes_hold_what_other_sets_have_too(docs, rows, chunk_bytes, k, percent):
     """Counts are exact whatever the size: a set's own shingles are never searched, and enough of them settle it."""
-    got = {r.id: r for r in jaccard_join.prefixes(docs, "doc_id", "text", 4, 85, chunk_bytes=chunk_bytes).collect()}
+    got = {r.id: r for r in jaccard_join.prefixes(docs, "doc_id", "text", k, percent, chunk_bytes=chunk_bytes).collect()}
     sets = {}
     for i, t, *_ in rows:
         w = SPACE.findall(low(t))
-        sets[i] = frozenset(tuple(w[a : a + 4]) for a in range(len(w) - 3)) if len(w) >= 4 else frozenset([tuple(w)] if w else [])
+        sets[i] = frozenset(tuple(w[a : a + k]) for a in range(len(w) - k + 1)) if len(w) >= k else frozenset([tuple(w)] if w else [])
     holders = Counter(s for own in set(sets.values()) for s in own)
     settled = 0
     for i, own in sets.items():
-        size, alone = len(own) - -(-85 * len(own) // 100) + 1, sum(holders[s] == 1 for s in own)
+        size, alone = len(own) - -(-percent * len(own) // 100) + 1, sum(holders[s] == 1 for s in own)
         assert got[i].n == len(own) and len(got[i].prefix or []) <= max(0, size) and (own or got[i].set is None)
         if list(sets.values()).count(own) == 1:
             assert len(got[i].prefix or []) == (max(0, size - alone) if own else 0)
