@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, forget
+from .common import durable, forget, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,6 +35,8 @@ def connected_components(edges: DataFrame, most: int = 60) -> DataFrame:
     for _ in range(most):
         before, now = now, durable(_small_star(_large_star(now)))
         forget(before)
+        del before
+        release(edges.sparkSession)  # what the round has shuffled
         new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(new) == mark:
             break

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from chronofold.llm import bpe, decontaminate, exact_dedup, html_text, jaccard_join, lm_score, quality, secrets, sharding, toxicity
+from chronofold.llm import bpe, common, decontaminate, exact_dedup, html_text, jaccard_join, lm_score, quality, secrets, sharding, toxicity
 from chronofold.llm.common import squeezed
 from chronofold.llm.queries import vocabulary_path
 
@@ -153,6 +153,18 @@ def test_jaccard_join_of_a_bucket_that_pivots_do_not_split(spark):
     assert got == {frozenset((k, 100 + k)) for k in range(20)}
 
 
+def test_release_shrinks_the_heap(spark):
+    runtime = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+    held = [spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.long, 4 << 20) for _ in range(20)]  # 640 MB
+    assert len(held) == 20
+    spark.sparkContext._jvm.System.gc()
+    del held
+    common.release(spark)
+    common.release(spark)
+    used = runtime.totalMemory() - runtime.freeMemory()
+    assert runtime.totalMemory() < 1.6 * used + (32 << 20)  # 3.3 times with the JVM's own bounds
+
+
 def test_exact_dedup(docs, rows, empty):
     groups = defaultdict(list)
     for i, t, *_ in rows:
