@@ -465,6 +465,7 @@ def _refined(docs: DataFrame, id_column: str, text_column: str, members: DataFra
         ids = own.select(F.col("id").alias("_id")).distinct()
         theirs = docs.select(id_column, text_column).join(F.broadcast(ids) if sets <= broadcast_sets else ids, F.col(id_column).eqNullSafe(F.col("_id")), "left_semi")
         leads = durable(prefixes(theirs, id_column, text_column, k, percent, bits).where("size(prefix) > 0").select("set", "prefix"))
+        release(docs.sparkSession)
         parts = connected_components(candidate_edges(leads))
         finer = own.join(parts, node_of(F.col("set")) == F.col("node")).withColumn("bucket", F.xxhash64("bucket", "component", F.lit(turn)))
         before, members = members, durable(settled.select("set", "id", "n", "bucket").unionAll(finer.select("set", "id", "n", "bucket")).coalesce(_partitions(docs)))
@@ -505,6 +506,7 @@ def _split_large(sets: DataFrame, percent: int, bucket_sets: int, most: int = PI
         away = F.col("all") - F.col("both")  # distance = away / all
         shell = F.col("pivot").isNotNull() & ~F.col("near") & (F.col("both") * 100 >= F.col("all") * (2 * percent - 100))
         hot = durable(hot.withColumn("near", F.col("pivot").isNotNull() & is_near).withColumn("away", away / F.col("all")))
+        forget(sets, pivots, large)  # what is next written finds one other copy of the sets on disk
         near = hot.where("near")
         # a near set can link to a shell set only if its distance is at least the shell's nearest distance less the limit
         closest = hot.where(shell).groupBy("bucket").agg(F.min("away").alias("least"))
@@ -512,8 +514,10 @@ def _split_large(sets: DataFrame, percent: int, bucket_sets: int, most: int = PI
         crossing = _cross_links(outer.select("bucket", "set", "shingles"), hot.where(shell).select("bucket", "set", "shingles"), percent, bucket_sets)
         found = near.select(F.col("pivot").alias("u"), F.col("set").alias("v")).where("u != v").unionAll(crossing)
         edges = durable(edges.unionAll(found).coalesce(_partitions(sets)))
-        before, sets = sets, durable(hot.where(~F.col("near")).select(F.when(F.col("pivot").isNull(), F.col("bucket")).otherwise(F.xxhash64("bucket", F.lit(1))).alias("bucket"), "set", "shingles"))
-        forget(before, hot, pivots, large)
+        sets = durable(hot.where(~F.col("near")).select(F.when(F.col("pivot").isNull(), F.col("bucket")).otherwise(F.xxhash64("bucket", F.lit(1))).alias("bucket"), "set", "shingles"))
+        forget(hot)
+        del large, pivots, hot, near, closest, outer, crossing, found
+        release(sets.sparkSession)
     return edges, _in_pairs(sets, bucket_sets)
 
 
@@ -594,6 +598,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         release(docs.sparkSession)
     found = link_edges(_bucketed_sets(docs, id_column, text_column, members, k, broadcast_sets), percent)
     linked = connected_components(found if edges is None else edges.unionAll(found))
+    release(docs.sparkSession)
     named = ids.join(linked.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
     named = durable(named.join(least, "component").select("set", "component_id", "copies"))

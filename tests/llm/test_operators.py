@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -153,6 +154,26 @@ def test_jaccard_join_of_a_bucket_that_pivots_do_not_split(spark):
     assert got == {frozenset((k, 100 + k)) for k in range(20)}
 
 
+def test_jaccard_join_holds_two_copies_of_large_buckets_at_most(spark, monkeypatch):
+    """When a round writes what is left, only that round's own table is on disk besides, not also the one it came from."""
+    r = np.random.default_rng(4)
+    sets = [(7, k, sorted({*range(40), *r.integers(100, 10**6, 80).tolist()})) for k in range(40)]
+    written, most = [], []
+    durable = jaccard_join.durable
+
+    def counted(df):
+        if "shingles" in df.columns:
+            most.append(sum(map(os.path.exists, written)))
+        df = durable(df)
+        if "shingles" in df.columns:
+            written.append(df._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get().removeprefix("file:"))
+        return df
+
+    monkeypatch.setattr(jaccard_join, "durable", counted)
+    jaccard_join._split_large(counted(spark.createDataFrame(sets, "bucket bigint, set bigint, shingles array<bigint>")), 85, 12, most=1)
+    assert len(written) == 3 and max(most) == 1
+
+
 def test_release_shrinks_the_heap(spark):
     runtime = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
     held = [spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.long, 4 << 20) for _ in range(20)]  # 640 MB
